@@ -91,7 +91,38 @@ def age_distribution(cube: DataFrame, form: str = "object") -> DataFrame:
 
 
 def adverse_profile(reports: DataFrame, dist: str = "object") -> DataFrame:
-    """Metrics LEFT JOIN top reaction LEFT JOIN age distribution (one fact scan)."""
+    """Metrics + top reaction + age distribution per drug, as ONE linear plan.
+
+    The three mart branches (metrics, top reaction, age distribution) are evaluated from the
+    same pre-aggregated cube instead of being joined: the cube (bounded by drugs x reactions x
+    age groups, whatever the fact count) is hash-partitioned by drug once; reaction totals and
+    age-group totals are window sums inside that partitioning (no further exchange); a final
+    per-drug aggregate picks the top reaction with ``min_by`` over (-count, reaction) and builds
+    the sorted age distribution from the (at most 5) distinct age-group pairs. Result equals
+    metrics LEFT JOIN top_reaction LEFT JOIN age_distribution, since every drug has >= 1 row.
+    """
+    cube = adverse_cube(reports).repartition("drug_name")
+    r_tot = F.sum("n").over(Window.partitionBy("drug_name", "reaction"))
+    a_tot = F.sum("n").over(Window.partitionBy("drug_name", "age_group"))
+    c = cube.withColumn("r_tot", r_tot).withColumn("a_tot", a_tot)
+    pick = F.when(F.col("reaction").isNotNull(), F.struct((-F.col("r_tot")).alias("neg_n"), F.col("reaction").alias("r")))
+    pairs = F.sort_array(F.collect_set(F.struct(F.col("age_group"), F.col("a_tot").alias("ag_cnt"))))
+    val = F.to_json(F.map_from_entries(pairs)) if dist == "object" else F.to_json(pairs)
+    if dist not in ("object", "array"):
+        raise ValueError(dist)
+    return c.groupBy("drug_name").agg(
+        F.sum("n").alias("total_reports"),
+        F.sum("serious").alias("serious_reports"),
+        F.sum("hosp").alias("hospitalization_reports"),
+        F.sum("death").alias("death_reports"),
+        F.sum("disab").alias("disability_reports"),
+        F.try_divide(F.sum("age_sum").cast("double"), F.sum("age_n")).alias("avg_age"),
+        F.min_by(F.col("reaction"), pick).alias("most_common_reaction"),
+        val.alias("age_group_distribution"))
+
+
+def adverse_profile_joined(reports: DataFrame, dist: str = "object") -> DataFrame:
+    """The same mart as three roll-ups of the cube joined on drug_name (the SQL model's shape)."""
     cube = adverse_cube(reports)
     m = adverse_metrics(cube)
     tr = top_reaction(reaction_counts(cube)).drop("n")
