@@ -86,5 +86,6 @@ def blank(c) -> Column:
 
 
 def pct1(c) -> Column:
-    """Display form ``x.x`` with half-even rounding, like Python's ``'{:.1f}'`` on doubles."""
-    return F.format_number(F.bround(_c(c).cast("double"), 1), 1)
+    """Display form ``x.x`` like Python's ``'{:.1f}'``: the exact double rounded half-even
+    (``format_number``), without grouping separators."""
+    return F.regexp_replace(F.format_number(_c(c).cast("double"), 1), ",", "")

@@ -90,8 +90,7 @@ def risk_report(requests: DataFrame, master: DataFrame, posts: DataFrame, articl
 
 
 def _num1(c: Column) -> Column:
-    # Python '{:.1f}': correctly rounded half-even on the exact double; no grouping separators
-    return F.regexp_replace(F.format_number(c.cast("double"), 1), ",", "")
+    return rules.pct1(c)
 
 
 def summary_text(report: DataFrame) -> DataFrame:
