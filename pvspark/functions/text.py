@@ -41,38 +41,51 @@ def _c(c) -> Column:
 
 
 def _terms(terms) -> Column:
+    """Terms as ``array<struct<t: original, l: lower-cased>>``, lower-casing done once (at plan
+    time for literal lists, once per query for a dictionary subquery)."""
     if isinstance(terms, Column):
         return terms
     terms = list(terms)
     if len(terms) > MAX_INLINE_TERMS:
         raise ValueError(f"{len(terms)} terms exceed the inline bound {MAX_INLINE_TERMS}")
-    return F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
+    if not terms:
+        return F.array().cast("array<struct<t:string,l:string>>")
+    return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t.lower()).alias("l")) for t in terms])
 
 
 def terms_column(dictionary: DataFrame, col: str = "term", max_terms: int = MAX_INLINE_TERMS) -> Column:
-    """Sorted distinct dictionary as a scalar-subquery Column.
+    """Sorted distinct dictionary as a scalar-subquery Column (``array<struct<t, l>>``).
 
     Evaluated once per query and shipped to tasks as a constant. Its size is checked inside the
     subquery itself: more than ``max_terms`` distinct terms raises instead of silently
-    broadcasting an unbounded value.
+    broadcasting an unbounded value. Project it into a column before using it in the taggers
+    (Spark does not allow subqueries inside lambda functions).
     """
+    pairs = F.sort_array(F.collect_set(F.struct(F.col(col).alias("t"), F.lower(F.col(col)).alias("l"))))
     agg = dictionary.agg(
         F.when(F.count_distinct(col) > F.lit(max_terms),
                F.raise_error(F.lit(f"dictionary larger than {max_terms} terms")))
-        .otherwise(F.sort_array(F.collect_set(col))).alias("terms"))
+        .otherwise(pairs).alias("terms"))
     return agg.scalar()
 
 
+def _with_hay(text, fn) -> Column:
+    """Evaluate ``lower(text)`` ONCE per row and hand it to ``fn`` as a lambda variable (a
+    reference to an outer expression inside a lambda would be re-evaluated per term)."""
+    hay = F.lower(F.coalesce(_c(text), F.lit("")))
+    return F.get(F.transform(F.array(hay), fn), 0)
+
+
 def contains_any(text, terms: Sequence[str] | Column) -> Column:
     """True iff lower(text) contains any term (lower-cased); null text -> False."""
-    hay = F.lower(F.coalesce(_c(text), F.lit("")))
-    return F.exists(_terms(terms), lambda k: F.contains(hay, F.lower(k)))
+    ts = _terms(terms)
+    return _with_hay(text, lambda h: F.exists(ts, lambda k: F.contains(h, k["l"])))
 
 
 def matches(text, terms: Sequence[str] | Column) -> Column:
-    """All terms contained in the text, in dictionary order."""
-    hay = F.lower(F.coalesce(_c(text), F.lit("")))
-    return F.filter(_terms(terms), lambda k: F.contains(hay, F.lower(k)))
+    """All terms contained in the text, in dictionary order (original spelling)."""
+    ts = _terms(terms)
+    return _with_hay(text, lambda h: F.transform(F.filter(ts, lambda k: F.contains(h, k["l"])), lambda k: k["t"]))
 
 
 def tag_all(text, terms: Sequence[str] | Column) -> Column:
