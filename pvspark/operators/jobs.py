@@ -24,14 +24,16 @@ def run_silver(raw: dict[str, DataFrame], orders: dict[str, list[str]] | None =
 
 
 def silver_counts(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFrame:
-    """Rows in / rows out per table, as one frame (one small aggregate per table)."""
-    parts = [raw[t].agg(F.count(F.lit(1)).alias("rows_in")).select(F.lit(t).alias("table"), "rows_in")
-             .join(clean[t].agg(F.count(F.lit(1)).alias("rows_out")).select(F.lit(t).alias("table"), "rows_out"), "table")
-             for t in raw]
-    out = parts[0]
+    """Rows in / rows out per table: the tagged union of every input and output row, summed in
+    one grouped aggregation (partial sums map-side; no joins)."""
+    parts = []
+    for t in raw:
+        parts.append(raw[t].select(F.lit(t).alias("table"), F.lit(1).alias("i"), F.lit(0).alias("o")))
+        parts.append(clean[t].select(F.lit(t).alias("table"), F.lit(0).alias("i"), F.lit(1).alias("o")))
+    u = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        u = u.unionByName(p)
+    return u.groupBy("table").agg(F.sum("i").cast("long").alias("rows_in"), F.sum("o").cast("long").alias("rows_out"))
 
 
 RULES = {"reports": validate.report_rules, "articles": validate.article_rules, "posts": validate.post_rules}

@@ -45,20 +45,24 @@ def mention_rates(posts: DataFrame, dependency_terms: Sequence[str] = DEPENDENCY
 
 
 def concern_score(posts: DataFrame) -> DataFrame:
-    """A drug's average post score, min-max scaled by the GLOBAL score range over all posts,
+    """A drug's average post score, min-max scaled by the GLOBAL score range over ALL posts,
     clamped to 0-100; 50 when the range is empty (max = min); 0 when the drug has no score.
 
-    The global min / max are scalar subqueries: computed once, shipped to tasks as constants
-    (no cross join, nothing collected by user code)."""
-    lo = posts.agg(F.min("score").cast("double")).scalar()
-    hi = posts.agg(F.max("score").cast("double")).scalar()
-    per = post_mentions(posts).groupBy(F.col("drug_name_key").alias("drug_name")).agg(
-        F.avg("score").alias("avg_score"))
+    One pass over the posts: ``explode_outer`` keeps posts without mentions (NULL key), so the
+    per-key aggregate carries every post's score; the global range is the min / max over that
+    small per-key table (a scalar subquery whose plan reuses the same exchange)."""
+    names = F.array_distinct(F.filter(F.transform(F.split(F.col("drug_mentions"), ","), rules.norm_key),
+                                      lambda x: x != F.lit("")))
+    per = (posts.select("score", F.explode_outer(names).alias("drug_name"))
+           .groupBy("drug_name").agg(F.avg("score").alias("avg_score"),
+                                     F.min("score").alias("mn"), F.max("score").alias("mx")))
+    rng = per.agg(F.struct(F.min("mn").cast("double").alias("lo"), F.max("mx").cast("double").alias("hi"))).scalar()
+    lo, hi = rng["lo"], rng["hi"]
     scaled = F.lit(100.0) * F.try_divide(F.col("avg_score") - lo, hi - lo)
     concern = (F.when(F.col("avg_score").isNull() | lo.isNull(), F.lit(0.0))
                .when(hi == lo, F.lit(50.0))
                .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), scaled))))
-    return per.select("drug_name", concern.alias("concern"))
+    return per.filter(F.col("drug_name").isNotNull()).select("drug_name", concern.alias("concern"))
 
 
 def research_consensus(articles: DataFrame, terms: Sequence[str] = NEGATIVE_RESEARCH_TERMS) -> DataFrame:
