@@ -140,6 +140,15 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
             .select("query_id", "rank", "vec_id", "distance", (F.lit(1.0) - F.col("distance")).alias("similarity")))
 
 
+def centroids(corpus: DataFrame, key: str = "label", vec_col: str = "embedding") -> DataFrame:
+    """Mean vector per key (e.g. one query per label): positional explode, partial-aggregated
+    per (key, position), then reassembled in position order. Output: (key, embedding)."""
+    pos = corpus.select(key, F.posexplode(vec_col).alias("_i", "_x"))
+    m = pos.groupBy(key, "_i").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
+    return (m.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_s"))
+            .select(key, F.transform("_s", lambda z: z["_m"]).alias(vec_col)))
+
+
 def sq_l2(a: Column, b: Column) -> Column:
     """Squared L2 distance of two array<float> columns, JVM-side (for small joins / tests)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) ** 2),

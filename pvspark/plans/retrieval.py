@@ -11,18 +11,19 @@ from pvspark.plans.base import r6, register
 from pvspark.plans.layers import silver_articles_df
 from pvspark.sources.tables import read_table
 
-QUERY_IDS = 10   # queries = the first ten vectors of the corpus (vec_id < 10)
-
-
 def _queries(emb):
-    return emb.filter(F.col("vec_id") < QUERY_IDS).select(
-        F.col("vec_id").alias("query_id"), "embedding", F.col("label").alias("query_label"))
+    """Queries derived from the corpus: the centroid of each label (query_id = label)."""
+    c = retrieve.centroids(emb, "label")
+    return c.select(F.col("label").cast("long").alias("query_id"), "embedding", F.col("label").alias("query_label"))
 
 
 def _knn_sql(filtered: bool) -> str:
     cond = "ON c.label = q.ql" if filtered else "ON TRUE"
     return f"""
-WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qe, label AS ql FROM embeddings WHERE vec_id < {QUERY_IDS}),
+WITH ev AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+px AS (SELECT label, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM ev),
+pm AS (SELECT label, i, avg(x) AS m FROM px GROUP BY label, i),
+q AS (SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY i) AS qe, label AS ql FROM pm GROUP BY label),
 c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS ce, label FROM embeddings),
 d AS (SELECT q.query_id, c.vec_id,
              list_sum(list_transform(range(1, len(q.qe) + 1), lambda i: (q.qe[i] - c.ce[i]) * (q.qe[i] - c.ce[i]))) AS distance
@@ -48,16 +49,17 @@ def q_knn_all(spark, sf_dir):
 
 
 @register("upsert_latest", """
-WITH u AS (SELECT vec_id, label, 1 AS version FROM embeddings WHERE vec_id < 300
-           UNION ALL SELECT vec_id, label + 100, 2 FROM embeddings WHERE vec_id >= 200)
+WITH u AS (SELECT vec_id, label, 1 AS version FROM embeddings
+           UNION ALL SELECT vec_id, label + 100, 2 FROM embeddings WHERE embedding[1] > 0)
 SELECT vec_id, label, version FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY version DESC, label) AS rn FROM u) WHERE rn = 1""")
 def q_upsert_latest(spark, sf_dir):
-    """Two overlapping slices of the vector table; the newer version of an id wins."""
+    """The whole vector table (version 1) upserted with an update batch - every vector
+    whose first component is positive, re-labelled (version 2); the newer version of an id wins."""
     emb = read_table(spark, sf_dir, "embeddings")
-    old = emb.filter(F.col("vec_id") < 300).select("vec_id", "embedding", "label", F.lit(1).alias("version"))
-    new = emb.filter(F.col("vec_id") >= 200).select("vec_id", "embedding", (F.col("label") + 100).alias("label"),
-                                                    F.lit(2).alias("version"))
+    old = emb.select("vec_id", "embedding", "label", F.lit(1).alias("version"))
+    new = emb.filter(F.get("embedding", 0) > 0).select("vec_id", "embedding", (F.col("label") + 100).alias("label"),
+                                                       F.lit(2).alias("version"))
     return upsert_latest(old, new, "vec_id", "version").select("vec_id", "label", "version")
 
 
