@@ -56,7 +56,7 @@ def tfidf_embed(df: DataFrame, text_col: str, fit_df: DataFrame | None = None, n
 
 
 def _block_knn(corpus: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, q_keys: np.ndarray | None,
-               k: int, id_col: str, vec_col: str, filter_col: str | None) -> DataFrame:
+               k: int, id_col: str, vec_col: str, filter_col: str | None, q_type: str = "long") -> DataFrame:
     sc = corpus.sparkSession.sparkContext
     bq = sc.broadcast((q_ids, q_mat, q_keys))
     cols = [id_col, vec_col] + ([filter_col] if filter_col else [])
@@ -94,14 +94,14 @@ def _block_knn(corpus: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, q_keys:
         rows_q, rows_i, rows_d = [], [], []
         for qi in range(nq):
             ok = np.isfinite(best_d[qi])
-            rows_q.append(np.full(int(ok.sum()), ids_q[qi], dtype=np.int64))
+            rows_q.extend([ids_q[qi]] * int(ok.sum()))
             rows_i.append(best_i[qi][ok])
             rows_d.append(best_d[qi][ok])
-        if rows_q:
-            yield pd.DataFrame({"query_id": np.concatenate(rows_q), "vec_id": np.concatenate(rows_i),
-                                "distance": np.concatenate(rows_d)})
+        if nq:
+            yield pd.DataFrame({"query_id": pd.Series(rows_q, dtype=object if q_type == "string" else "int64"),
+                                "vec_id": np.concatenate(rows_i), "distance": np.concatenate(rows_d)})
 
-    schema = "query_id long, vec_id long, distance double"
+    schema = f"query_id {q_type}, vec_id long, distance double"
     return corpus.select(*cols).mapInPandas(part_topk, schema)
 
 
@@ -113,6 +113,9 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
     ``query_filter_col`` (a NULL query value means no filter). Ties break on the smaller id.
     Returns (query_id, rank, vec_id, distance, similarity = 1 - distance)."""
     qcols = [query_id_col, query_vec_col] + ([query_filter_col] if query_filter_col else [])
+    q_type = "string" if dict(queries.dtypes)[query_id_col] == "string" else "long"
+    if q_type == "long":
+        queries = queries.withColumn(query_id_col, F.col(query_id_col).cast("long"))
     n = queries.count()
     nblocks = max(1, -(-n // max_queries))
     parts = []
@@ -124,14 +127,14 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
             raise ValueError("query block exceeds the broadcast bound; raise nblocks")
         if not rows:
             continue
-        q_ids = np.array([r[0] for r in rows], dtype=np.int64)
+        q_ids = np.array([r[0] for r in rows], dtype=object if q_type == "string" else np.int64)
         q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
         q_keys = np.array([r[2] for r in rows], dtype=object) if query_filter_col else None
         parts.append(_block_knn(corpus, q_ids, q_mat, q_keys, k, id_col, vec_col,
-                                filter_col if query_filter_col else None))
+                                filter_col if query_filter_col else None, q_type))
     if not parts:
         spark = corpus.sparkSession
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, distance double, similarity double")
+        return spark.createDataFrame([], f"query_id {q_type}, rank int, vec_id long, distance double, similarity double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
@@ -170,6 +173,27 @@ def context_text(hits: DataFrame, key: str = "query_id", clip: int = 1000, sep:
     return agg.select(key, F.array_join(F.transform("_l", lambda s: s["line"]), sep).alias("text"))
 
 
+def digest_context(profiles: DataFrame, articles: DataFrame, k: int = 5, clip: int = 1000,
+                   num_features: int = 256) -> DataFrame:
+    """Per profile (profile_id, drug_name, age_group, risk_label) the research
+    context that would be handed to the language model: the profile query text is embedded with
+    the TF-IDF model fitted on the article abstracts, the k nearest abstracts OF THAT DRUG are
+    retrieved, and formatted; no hit -> "No relevant research found for <drug>."."""
+    corpus = prepare_corpus(articles).withColumn("_vid", F.col("article_id").try_cast("long")) \
+        .filter(F.col("_vid").isNotNull())
+    emb = tfidf_embed(corpus, "abstract", num_features=num_features)
+    q = profiles.withColumn("_qtext", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
+    qe = tfidf_embed(q, "_qtext", fit_df=corpus.select(F.col("abstract").alias("_qtext")), num_features=num_features)
+    hits = knn(emb.select("_vid", "embedding", "drug_name"), qe.select(
+        F.col("profile_id").alias("query_id"), "embedding", F.col("drug_name").alias("q_drug")),
+        k=k, id_col="_vid", filter_col="drug_name", query_filter_col="q_drug")
+    meta = corpus.select("_vid", "article_id", "title", "publish_year", "abstract")
+    ctx = context_text(hits.join(meta, hits["vec_id"] == meta["_vid"]), key="query_id", clip=clip)
+    out = profiles.join(ctx.withColumnRenamed("query_id", "profile_id"), "profile_id", "left")
+    none = F.format_string("No relevant research found for %s.", F.col("drug_name"))
+    return out.select("profile_id", "drug_name", F.coalesce(F.col("text"), none).alias("text"))
+
+
 def research_list_text(hits: DataFrame, key: str = "query_id", clip: int = 300) -> DataFrame:
     """R6 list form: ``- [id] title (year): abstract[:clip]`` lines."""
     line = F.format_string("- [%s] %s (%s): %s", F.col("article_id"), F.col("title"),

@@ -115,3 +115,39 @@ def summary_text(report: DataFrame) -> DataFrame:
 def format_pct_display(c: Column) -> Column:
     """``x.x%`` display, ``N/A`` for a missing value."""
     return F.when(c.isNull(), F.lit("N/A")).otherwise(F.concat(_num1(c), F.lit("%")))
+
+
+NOT_FOUND = "Drug not found or API unavailable"
+
+
+def display_rows(report: DataFrame, missing: DataFrame) -> DataFrame:
+    """The display table - formatted numbers for reported requests, an all-``N/A`` row
+    (status "not found", risk UNKNOWN) for requests whose drug is missing."""
+    na = F.lit("N/A")
+    rx = F.transform("top_5_reactions", lambda r: F.concat_ws(": ", r["reaction"], rules.pct1(r["frequency_pct"])))
+    found = report.select(
+        "request_id", "drug_name", F.col("age").cast("string").alias("age"), rules.age_group(F.col("age")).alias("age_group"),
+        F.concat(rules.pct1(F.col("serious_reaction_pct")), F.lit("%")).alias("serious"),
+        F.concat(rules.pct1(F.col("hospitalization_pct")), F.lit("%")).alias("hospitalization"),
+        F.concat(rules.pct1(F.col("death_pct")), F.lit("%")).alias("death"),
+        F.concat(rules.pct1(F.col("disability_pct")), F.lit("%")).alias("disability"),
+        F.coalesce("risk_label", F.lit("UNKNOWN")).alias("risk_label"),
+        F.coalesce(F.nullif(F.col("top_risk_factor"), F.lit("")), na).alias("top_risk_factor"),
+        F.col("total_research_papers").cast("long").cast("string").alias("total_papers"),
+        rules.pct1(F.col("community_concern_score")).alias("community_concern"),
+        F.concat(rules.pct1(F.col("research_risk_consensus")), F.lit("%")).alias("research_consensus"),
+        F.concat(rules.pct1(F.col("dependency_mention_rate")), F.lit("%")).alias("dependency_rate"),
+        F.concat(rules.pct1(F.col("withdrawal_mention_rate")), F.lit("%")).alias("withdrawal_rate"),
+        F.when(F.size("top_5_reactions") > 0, F.array_join(rx, "\n")).otherwise(na).alias("reactions"),
+        F.when(F.size("known_interactions") > 0, F.array_join("known_interactions", "\n"))
+        .otherwise(F.lit("None reported")).alias("interactions"),
+        F.coalesce("label_warning_severity", F.lit("LOW")).alias("warning_severity"),
+        F.lit("ok").alias("status"))
+    absent = missing.select(
+        "request_id", "drug_name", F.col("age").cast("string").alias("age"), rules.age_group(F.col("age")).alias("age_group"),
+        *[na.alias(c) for c in ("serious", "hospitalization", "death", "disability")],
+        F.lit("UNKNOWN").alias("risk_label"), na.alias("top_risk_factor"), na.alias("total_papers"),
+        na.alias("community_concern"), na.alias("research_consensus"), na.alias("dependency_rate"),
+        na.alias("withdrawal_rate"), na.alias("reactions"), na.alias("interactions"), na.alias("warning_severity"),
+        F.lit(NOT_FOUND).alias("status"))
+    return found.unionByName(absent)

@@ -109,3 +109,30 @@ def q_risk_summary_text(spark, sf_dir):
     """The 12-line summary text of each report row (rows-only check)."""
     rep, _, _ = _report(spark, sf_dir)
     return score.summary_text(rep)
+
+
+@register("display_rows")
+def q_display_rows(spark, sf_dir):
+    """Display strings for every request - found drugs formatted, unknown drugs an
+    all-N/A row (exact key rule, so mixed-case requests exercise the not-found path)."""
+    models, feats = _models(spark, sf_dir)
+    req = requests_df(spark, sf_dir).withColumn(
+        "request_id", F.concat_ws("|", "drug_name", F.col("age").cast("string"), F.col("weight").cast("string")))
+    tables = (master_df(spark, sf_dir), silver_posts_df(spark, sf_dir), silver_articles_df(spark, sf_dir),
+              silver_labels_df(spark, sf_dir), silver_reports_df(spark, sf_dir))
+    rep, _, _ = score.risk_report(req, *tables, models, feats)
+    _, missing, _ = score.risk_report(req, *tables, models, feats, key_mode="exact")
+    return score.display_rows(rep, missing)
+
+
+@register("digest_context")
+def q_digest_context(spark, sf_dir):
+    """Per drug profile (age group of the average age, risk label of the serious-report
+    rate) the retrieved research context text (TF-IDF retrieval filtered to the drug)."""
+    from pvspark.functions.rules import age_group, risk_label
+    from pvspark.operators.retrieve import digest_context
+    m = master_df(spark, sf_dir).filter(F.col("adv_total_reports") > 0)
+    prof = m.select(F.col("drug_name").alias("profile_id"), "drug_name",
+                    age_group(F.col("adv_avg_age")).alias("age_group"),
+                    risk_label(F.lit(100.0) * F.col("adv_serious_reports") / F.col("adv_total_reports")).alias("risk_label"))
+    return digest_context(prof, silver_articles_df(spark, sf_dir))
