@@ -137,11 +137,12 @@ RAW_DDL = {
 }
 
 
-def create_raw_tables(spark: SparkSession, database: str) -> list[str]:
+def create_raw_tables(spark: SparkSession, database: str, location: str | None = None) -> list[str]:
     """K9: ``CREATE DATABASE / TABLE IF NOT EXISTS`` for the raw layer. Raw values stay strings
     (silver parses them); partitions are derived month / day columns, never the drug name
-    (an unbounded number of small files)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    (an unbounded number of small files). ``location`` places the database's folder."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     made = []
     for t, (cols, part) in RAW_DDL.items():
         p = f" PARTITIONED BY ({part})" if part else ""

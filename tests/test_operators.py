@@ -202,3 +202,63 @@ def test_ingest_gate_blocks_publish(spark, tmp_dir):
         jobs.run_ingest(spark, "reports", "2024-01-02", dup, tmp_dir)
     import os
     assert not os.path.exists(f"{tmp_dir}/reports/ds=2024-01-02")
+
+
+def test_read_ndjson_corrupt_and_multiline(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from pvspark.sources.tables import read_ndjson
+    with open(f"{tmp_dir}/b.json", "w") as f:
+        f.write('{"report_id":"1","age":3}\nnot json\n{"report_id":"2","age":"x"}\n')
+    with open(f"{tmp_dir}/m.json", "w") as f:
+        f.write('[{"report_id":"1","age":3},\n {"report_id":"2","age":4}]')
+    schema = T.StructType([T.StructField("report_id", T.StringType()), T.StructField("age", T.IntegerType())])
+    rows = read_ndjson(spark, f"{tmp_dir}/b.json", schema).cache().collect()
+    assert len(rows) == 3 and sum(1 for r in rows if r._corrupt_record is not None) == 2
+    multi = read_ndjson(spark, f"{tmp_dir}/m.json", schema, multi_line=True).collect()
+    assert sorted(r.report_id for r in multi) == ["1", "2"]
+
+
+def test_raw_ddl_and_save_table(spark, tmp_dir):
+    made = sinks.create_raw_tables(spark, "pv_raw_test", location=f"{tmp_dir}/db")
+    assert len(made) == 4
+    cols = spark.table("pv_raw_test.faers_events").columns
+    assert "report_month" in cols and "drug_name" in cols
+    df = spark.createDataFrame([("1", "A")], "report_id string, drug_name string")
+    sinks.save_table(df, "pv_raw_test.clean_reports")
+    sinks.save_table(df.unionByName(df), "pv_raw_test.clean_reports")          # create-or-replace
+    assert spark.table("pv_raw_test.clean_reports").count() == 2
+    sinks.register_views({"stg_reports": spark.table("pv_raw_test.clean_reports")})
+    assert spark.sql("select count(*) c from stg_reports").collect()[0].c == 2
+    spark.sql("DROP DATABASE pv_raw_test CASCADE")
+
+
+def test_display_rows_found_and_missing(spark):
+    from pvspark.operators.score import NOT_FOUND, display_rows
+    rep = spark.createDataFrame(
+        [("r1", "A", 30, 0.05, 12.25, 1.0, 0.0, "LOW", None, 0, 0.0, 0.0, 0.0, 0.0, [], [], "LOW")],
+        "request_id string, drug_name string, age int, serious_reaction_pct double, hospitalization_pct double, "
+        "death_pct double, disability_pct double, risk_label string, top_risk_factor string, total_research_papers int, "
+        "community_concern_score double, research_risk_consensus double, dependency_mention_rate double, "
+        "withdrawal_mention_rate double, top_5_reactions array<struct<reaction:string,frequency_pct:double>>, "
+        "known_interactions array<string>, label_warning_severity string")
+    miss = spark.createDataFrame([("r2", "Nope", 40)], "request_id string, drug_name string, age int")
+    out = {r.request_id: r for r in display_rows(rep, miss).collect()}
+    a, b = out["r1"], out["r2"]
+    assert (a.serious, a.hospitalization, a.top_risk_factor, a.interactions, a.reactions, a.age_group) == \
+        (f"{0.05:.1f}%", f"{12.25:.1f}%", "N/A", "None reported", "N/A", "18-34")
+    assert (b.status, b.risk_label, b.serious, b.age_group) == (NOT_FOUND, "UNKNOWN", "N/A", "35-64")
+
+
+def test_digest_context_filters_by_drug(spark):
+    from pvspark.operators.retrieve import digest_context
+    arts = spark.createDataFrame(
+        [("1", "t1", "aspirin bleeding risk in older adults", "ASPIRIN", 2001),
+         ("2", "t2", "aspirin and stomach ulcers adverse effects", "ASPIRIN", 2002),
+         ("3", "t3", "ibuprofen kidney toxicity adverse effects", "IBUPROFEN", 2003)],
+        "article_id string, title string, abstract string, drug_name string, publish_year int")
+    prof = spark.createDataFrame([("p1", "ASPIRIN", "65+", "HIGH"), ("p2", "NONE", "0-17", "LOW")],
+                                 "profile_id string, drug_name string, age_group string, risk_label string")
+    out = {r.profile_id: r.text for r in digest_context(prof, arts, k=5, num_features=32).collect()}
+    assert "[1] t1 (2001):" in out["p1"] and "[2] t2 (2002):" in out["p1"] and "[3]" not in out["p1"]
+    assert out["p2"] == "No relevant research found for NONE."
