@@ -20,7 +20,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_QUERIES = 4096          # broadcast bound: 4096 x 1024 float64 = 32 MiB
 _CHUNK_ELEMS = 8_000_000    # bound on (queries x rows x dims) elements per numpy step
@@ -201,5 +200,3 @@ def research_list_text(hits: DataFrame, key: str = "query_id", clip: int = 300)
     agg = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("_l"))
     return agg.select(key, F.array_join(F.transform("_l", lambda s: s["line"]), "\n").alias("text"))
 
-
-_ = T

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pvspark.functions import dates, text
-from pvspark.operators import dedup, validate
-from pvspark.plans.base import int_guard, r6, register, round_doubles
+from pvspark.operators import validate
+from pvspark.plans.base import int_guard, register, round_doubles
 from pvspark.sources import extract, fixtures
 
 # ---- payload builders: driver rows -> the nested shapes the sources deliver ---------------
@@ -283,5 +283,3 @@ def q_safety_term_filter(spark, sf_dir):
     return filter_safety_terms(fixtures.posts_raw(spark, sf_dir), FORUMS, PHRASES) \
         .select(F.col("tie1").alias("event_id"), "subreddit")
 
-
-_ = (r6, dedup)
