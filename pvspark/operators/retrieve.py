@@ -35,23 +35,33 @@ def prepare_corpus(articles: DataFrame) -> DataFrame:
             .withColumn("drug_name", F.coalesce("drug_name", F.lit(""))))
 
 
-def tfidf_embed(df: DataFrame, text_col: str, fit_df: DataFrame | None = None, num_features: int = 256,
-                out_col: str = "embedding") -> DataFrame:
-    """R2 re-aimed: tokens -> HashingTF -> IDF (fitted on ``fit_df`` or ``df``) -> L2 Normalizer
-    -> dense ``array<float>``. A low, fixed dimension keeps vectors dense for exact kNN."""
+def tfidf_model(fit_df: DataFrame, text_col: str, num_features: int = 256):
+    """R2 re-aimed: tokens -> HashingTF -> IDF -> L2 Normalizer, fitted once on ``fit_df`` (one
+    distributed pass for the document frequencies). A low, fixed dimension keeps vectors dense
+    for exact kNN."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
 
-    pipe = Pipeline(stages=[
+    return Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern="\\W+", toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
         IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)])
-    model = pipe.fit(fit_df if fit_df is not None else df)
+        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)]).fit(fit_df)
+
+
+def tfidf_apply(model, df: DataFrame, out_col: str = "embedding") -> DataFrame:
+    """Embed ``df`` (which has the model's text column) as a dense ``array<float>``."""
+    from pyspark.ml.functions import vector_to_array
+
     out = model.transform(df)
-    return (out.withColumn(out_col, vector_to_array("_vec", "float32"))
-            .drop("_tok", "_tf", "_idf", "_vec"))
+    return out.withColumn(out_col, vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
+
+
+def tfidf_embed(df: DataFrame, text_col: str, fit_df: DataFrame | None = None, num_features: int = 256,
+                out_col: str = "embedding") -> DataFrame:
+    """Fit on ``fit_df`` (default ``df``) and embed ``df``; use tfidf_model / tfidf_apply to
+    embed several frames with one fitted model."""
+    return tfidf_apply(tfidf_model(fit_df if fit_df is not None else df, text_col, num_features), df, out_col)
 
 
 def _block_knn(corpus: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, q_keys: np.ndarray | None,
@@ -180,9 +190,10 @@ def digest_context(profiles: DataFrame, articles: DataFrame, k: int = 5, clip: i
     retrieved, and formatted; no hit -> "No relevant research found for <drug>."."""
     corpus = prepare_corpus(articles).withColumn("_vid", F.col("article_id").try_cast("long")) \
         .filter(F.col("_vid").isNotNull())
-    emb = tfidf_embed(corpus, "abstract", num_features=num_features)
-    q = profiles.withColumn("_qtext", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
-    qe = tfidf_embed(q, "_qtext", fit_df=corpus.select(F.col("abstract").alias("_qtext")), num_features=num_features)
+    model = tfidf_model(corpus, "abstract", num_features)
+    emb = tfidf_apply(model, corpus)
+    q = profiles.withColumn("abstract", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
+    qe = tfidf_apply(model, q)
     hits = knn(emb.select("_vid", "embedding", "drug_name"), qe.select(
         F.col("profile_id").alias("query_id"), "embedding", F.col("drug_name").alias("q_drug")),
         k=k, id_col="_vid", filter_col="drug_name", query_filter_col="q_drug")

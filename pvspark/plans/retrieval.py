@@ -90,7 +90,8 @@ def q_tfidf_knn(spark, sf_dir):
     nearest documents (Spark-side only; brute-force checked in tests)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    corpus = retrieve.tfidf_embed(docs, "text")
-    queries = retrieve.tfidf_embed(bench, "text", fit_df=docs)
+    model = retrieve.tfidf_model(docs, "text")            # one IDF fit, reused for both sides
+    corpus = retrieve.tfidf_apply(model, docs)
+    queries = retrieve.tfidf_apply(model, bench)
     hits = retrieve.knn(corpus.withColumnRenamed("doc_id", "vec_id"), queries, k=5)
     return hits.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("doc_id"))

@@ -23,6 +23,12 @@ from pvspark.operators.validate import post_rules, reason
 
 DECODE_ERROR = "could not decode message"
 
+# --- fixed values: micro-batch sizing of the consumer ---------------------------------------
+# A batch closes at 100 messages or after 10 seconds.
+MAX_PER_TRIGGER = 100
+TRIGGER = {"processingTime": "10 seconds"}
+# ------------------------------------------------------------------------------------------
+
 MESSAGE_FIELDS = [("post_id", "string"), ("subreddit", "string"), ("title", "string"), ("body", "string"),
                   ("score", "int"), ("created_utc", "string"), ("drug_mentions", "string")]
 
@@ -77,11 +83,22 @@ def enrich(df: DataFrame, terms=DRUG_KEYWORDS) -> DataFrame:
 
 
 def write_batches(decoded: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                  query_name: str | None = None) -> StreamingQuery:
-    """K2 + K11 + ST4: valid rows and quarantine, one partitioned overwrite per batch id."""
+                  query_name: str | None = None, quality_out: str | None = None) -> StreamingQuery:
+    """K2 + K11 + ST4: valid rows and quarantine, one partitioned overwrite per batch id.
+
+    With ``quality_out`` the posts suite (Q7) also runs on each batch's valid rows and its
+    per-check results are written to ``quality_out/batch=<id>`` (recorded, not a gate: a stream
+    keeps running). The micro-batch is persisted for the two passes and released afterwards."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("is_valid", F.col("reject_reason").isNull())
-         .write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/batch={batch_id}"))
+        tagged = batch.withColumn("is_valid", F.col("reject_reason").isNull())
+        if quality_out:
+            tagged = tagged.persist()
+        tagged.write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/batch={batch_id}")
+        if quality_out:
+            from pvspark.operators.quality import run_named_suite
+            valid = tagged.filter("is_valid").drop("is_valid", "reject_reason", "raw")
+            run_named_suite(valid, "posts").write.mode("overwrite").parquet(f"{quality_out}/batch={batch_id}")
+            tagged.unpersist()
 
     w = decoded.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
@@ -89,6 +106,16 @@ def write_batches(decoded: DataFrame, out: str, checkpoint: str, trigger: dict |
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def start_ingest(spark: SparkSession, out: str, checkpoint: str, source: str = "kafka", path: str | None = None,
+                 options: dict | None = None, trigger: dict | None = None,
+                 max_per_trigger: int = MAX_PER_TRIGGER, quality_out: str | None = None,
+                 terms=DRUG_KEYWORDS) -> StreamingQuery:
+    """S8 + ST1-ST6 wired together with the consumer's batching (100 messages / 10 s);
+    pass ``trigger={"availableNow": True}`` to drain what is there and stop."""
+    stream = enrich(decode_messages(read_messages(spark, source, path, options, max_per_trigger)), terms)
+    return write_batches(stream, out, checkpoint, trigger or TRIGGER, quality_out=quality_out)
+
+
 def dedup_stream(decoded: DataFrame, delay: str = "1 hour") -> DataFrame:
     """ST2 / U2: valid records, first arrival of each post_id within the watermark delay."""
     return (decoded.filter(F.col("reject_reason").isNull())

@@ -72,8 +72,8 @@ def test_stream_quarantine_dedup_and_restart(spark, tmp_dir):
     _write_lines(src, [good % ("a", "again", 3), good % ("d", "x", 4)])
 
     def run():
-        s = ingest.enrich(ingest.decode_messages(ingest.read_messages(spark, "files", src, max_per_trigger=1)))
-        ingest.write_batches(s, f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
+        ingest.start_ingest(spark, f"{tmp_dir}/out", f"{tmp_dir}/ck", source="files", path=src, max_per_trigger=1,
+                            trigger={"availableNow": True}, quality_out=f"{tmp_dir}/q").awaitTermination()
         d = ingest.dedup_stream(ingest.decode_messages(ingest.read_messages(spark, "files", src, max_per_trigger=1)),
                                 "1 day").select("post_id")
         ingest.write_append(d, f"{tmp_dir}/dd", f"{tmp_dir}/ckd").awaitTermination()
@@ -84,6 +84,9 @@ def test_stream_quarantine_dedup_and_restart(spark, tmp_dir):
     assert reasons == ["body is null or empty", "could not decode message", "could not decode message",
                        "created_utc is null", "post_id is null"]
     assert out.filter("is_valid").count() == 4
+    q = spark.read.parquet(f"{tmp_dir}/q")
+    assert q.count() == 16                                  # 8 posts checks x 2 micro-batches
+    assert {r.check_name for r in q.filter("not success").collect()} >= {"unique", "in_set"}
     assert sorted(r.post_id for r in spark.read.parquet(f"{tmp_dir}/dd").collect()) == ["a", "d"]
     before = (out.count(), spark.read.parquet(f"{tmp_dir}/dd").count())
     run()                                                         # restart from the checkpoint: nothing new
