@@ -82,9 +82,17 @@ def q_attribution_rank(spark, sf_dir):
     return round_doubles(c.select("key", "feature", "rank", "contribution"))
 
 
+_TRAINED: dict = {}
+
+
 def _models(spark, sf_dir):
-    feats = model.build_features(master_df(spark, sf_dir)).cache()
-    return {t: model.train(feats, f"y_{t}", **QUERY_GBT)[0] for t in model.TARGETS}, feats
+    """Fit the four outcome models once per (session, data folder); the report, summary and
+    display queries score with the same fitted models (training is deterministic)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        feats = model.build_features(master_df(spark, sf_dir)).cache()
+        _TRAINED[key] = ({t: model.train(feats, f"y_{t}", **QUERY_GBT)[0] for t in model.TARGETS}, feats)
+    return _TRAINED[key]
 
 
 def _report(spark, sf_dir):
