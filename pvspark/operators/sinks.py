@@ -137,6 +137,41 @@ RAW_DDL = {
 }
 
 
+# Derived partition column of each raw table (a month or a day, never an unbounded key).
+RAW_PARTITION_EXPR = {
+    "faers_events": lambda: F.substring("report_date", 1, 6),
+    "pubmed_articles": lambda: F.substring("publish_date", 1, 7),
+    "reddit_mentions": lambda: F.to_date("created_utc"),
+}
+
+
+def bronze_load(spark: SparkSession, batch: str, table_path: str, table: str, ds: str) -> DataFrame:
+    """A dated NDJSON batch -> the raw table, typed by the declared DDL (never
+    inferred), partitioned by (ds, derived month/day). Dynamic partition overwrite replaces only
+    this batch's ``ds=`` partitions, so re-running a day is idempotent and other days survive.
+    Returns the loaded table (all days)."""
+    cols, part = RAW_DDL[table]
+    data_cols = ", ".join(c for c in cols.split(", ") if not part or not c.startswith(part + " "))
+    df = spark.read.schema(data_cols).json(batch).withColumn("ds", F.lit(ds))
+    parts = ["ds"]
+    if part:
+        df = df.withColumn(part, RAW_PARTITION_EXPR[table]())
+        parts.append(part)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(table_path))
+    # read back with the declared types (no partition-value type inference: '0012' stays text)
+    return spark.read.schema(f"{data_cols}, ds STRING" + (f", {part} {_ddl_type(cols, part)}" if part else "")) \
+        .parquet(table_path)
+
+
+def _ddl_type(cols: str, name: str) -> str:
+    for c in cols.split(", "):
+        n, t = c.split(" ", 1)
+        if n == name:
+            return t
+    raise KeyError(name)
+
+
 def create_raw_tables(spark: SparkSession, database: str, location: str | None = None) -> list[str]:
     """K9: ``CREATE DATABASE / TABLE IF NOT EXISTS`` for the raw layer. Raw values stay strings
     (silver parses them); partitions are derived month / day columns, never the drug name

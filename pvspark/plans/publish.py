@@ -66,3 +66,20 @@ def q_clean_all(spark, sf_dir):
     clean = jobs.run_silver(raw, {"reports": REPORT_ORDER, "posts": POST_ORDER})
     return jobs.silver_counts(raw, clean)
 
+
+
+@register("bronze_load", fixtures.oracle_ctes("reports_raw") + """
+SELECT substr(report_date, 1, 6) AS report_month, count(*) AS n FROM reports_raw GROUP BY 1""")
+def q_bronze_load(spark, sf_dir):
+    """K1 + F4: every raw report written as the dated NDJSON batch, loaded into the raw table
+    (typed DDL, partitioned by ds / report_month) twice - the rerun must not duplicate - and
+    counted per month partition."""
+    import uuid
+
+    from pvspark.session import scratch_path
+    root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
+    raw = fixtures.reports_raw(spark, sf_dir).drop("tie1", "tie2", "tie3", "tie4")
+    path = sinks.write_batch(raw, f"{root}/raw", "faers", "2024-01-01")
+    sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
+    table = sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
+    return table.groupBy("report_month").agg(F.count(F.lit(1)).alias("n"))

@@ -262,3 +262,19 @@ def test_digest_context_filters_by_drug(spark):
     out = {r.profile_id: r.text for r in digest_context(prof, arts, k=5, num_features=32).collect()}
     assert "[1] t1 (2001):" in out["p1"] and "[2] t2 (2002):" in out["p1"] and "[3]" not in out["p1"]
     assert out["p2"] == "No relevant research found for NONE."
+
+
+def test_bronze_load_idempotent_per_day(spark, tmp_dir):
+    rows = [("1", "A", "r", "1", "30", "70", "20240105", None, "0", "0"),
+            ("2", "B", "r", "2", "40", "70", "20240210", None, "0", "0")]
+    df = spark.createDataFrame(rows, "report_id string, drug_name string, reaction string, severity string, "
+                                     "age string, weight string, report_date string, hospitalization string, "
+                                     "death string, disability string")
+    p1 = sinks.write_batch(df, f"{tmp_dir}/raw", "faers", "2024-03-01")
+    p2 = sinks.write_batch(df.limit(1), f"{tmp_dir}/raw", "faers", "2024-03-02")
+    sinks.bronze_load(spark, p1, f"{tmp_dir}/t", "faers_events", "2024-03-01")
+    sinks.bronze_load(spark, p2, f"{tmp_dir}/t", "faers_events", "2024-03-02")
+    t = sinks.bronze_load(spark, p1, f"{tmp_dir}/t", "faers_events", "2024-03-01")      # rerun day 1
+    got = sorted((r.ds, r.report_month, r.report_id) for r in t.collect())
+    assert got == [("2024-03-01", "202401", "1"), ("2024-03-01", "202402", "2"), ("2024-03-02", "202401", "1")]
+    assert dict(t.dtypes)["report_month"] == "string"
