@@ -55,9 +55,15 @@ def _negated(c: Column, dt: T.DataType, name: str) -> Column:
     """An order-reversing image of a DESC column, so one ascending ``min_by`` serves mixed orders."""
     if isinstance(dt, T.NumericType):
         return -c
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        epoch = F.lit("1970-01-01 00:00:00").cast(dt)
-        return -F.timestamp_diff("MICROSECOND", epoch, c)
+    if isinstance(dt, T.TimestampNTZType):
+        # zone-free wall-clock microseconds (a cast to TIMESTAMP would go through the session
+        # zone, where a DST gap could merge two distinct wall times)
+        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+        micros = (F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000
+                  + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+        return -(days * 86_400_000_000 + micros)
+    if isinstance(dt, T.TimestampType):
+        return -F.unix_micros(c)
     if isinstance(dt, T.DateType):
         return -F.datediff(c, F.lit("1970-01-01").cast("date"))
     raise ValueError(f"min_by dedup cannot reverse DESC column {name} of type {dt.simpleString()}")
