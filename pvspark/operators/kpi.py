@@ -18,24 +18,38 @@ from pvspark.functions.text import (DEPENDENCY_TERMS, NEGATIVE_RESEARCH_TERMS, W
 from pvspark.operators.dedup import dedup_latest
 
 
-def post_mentions(posts: DataFrame, match: str = "key") -> DataFrame:
+def post_mentions(posts: DataFrame, match: str = "key", drugs: DataFrame | None = None) -> DataFrame:
     """One row per (post, mentioned drug) - each post counts once per drug.
 
     ``match="key"``: explode the CSV and key by ``upper(trim(name))``, an equi-join key (differs
     from the reference's substring test only when one drug name contains another).
+    ``match="substring"``: the reference's rule - a post mentions every drug (from ``drugs``,
+    column ``drug_name``) whose name occurs case-insensitively anywhere in its CSV. The drug
+    names are a size-checked dictionary value (scalar subquery), matched per row by the tagger,
+    so no post x drug cross join is formed.
     """
-    if match != "key":
-        raise ValueError("only key matching is distributed; substring matching needs a theta join")
-    names = F.array_distinct(F.filter(F.transform(F.split(F.col("drug_mentions"), ","), rules.norm_key),
-                                      lambda x: x != F.lit("")))
-    return (posts.filter(F.col("drug_mentions").isNotNull())
-            .select("*", F.explode(names).alias("drug_name_key")))
+    from pvspark.functions.text import matches, terms_column
+
+    if match == "key":
+        names = F.array_distinct(F.filter(F.transform(F.split(F.col("drug_mentions"), ","), rules.norm_key),
+                                          lambda x: x != F.lit("")))
+        return (posts.filter(F.col("drug_mentions").isNotNull())
+                .select("*", F.explode(names).alias("drug_name_key")))
+    if match == "substring":
+        if drugs is None:
+            raise ValueError("substring matching needs the drug dictionary")
+        d = drugs.select(F.col("drug_name").alias("term")).filter(F.col("term").isNotNull() & (F.col("term") != ""))
+        p = posts.filter(F.col("drug_mentions").isNotNull()).withColumn("_terms", terms_column(d, "term"))
+        return (p.select("*", F.explode(matches(F.col("drug_mentions"), F.col("_terms"))).alias("drug_name_key"))
+                .drop("_terms"))
+    raise ValueError(match)
 
 
 def mention_rates(posts: DataFrame, dependency_terms: Sequence[str] = DEPENDENCY_TERMS,
-                  withdrawal_terms: Sequence[str] = WITHDRAWAL_TERMS) -> DataFrame:
+                  withdrawal_terms: Sequence[str] = WITHDRAWAL_TERMS, match: str = "key",
+                  drugs: DataFrame | None = None) -> DataFrame:
     """% of a drug's mentioning posts whose body contains any dependency / withdrawal term."""
-    m = post_mentions(posts)
+    m = post_mentions(posts, match, drugs)
     dep = F.when(contains_any("body", dependency_terms), 1).otherwise(0)
     wd = F.when(contains_any("body", withdrawal_terms), 1).otherwise(0)
     return m.groupBy(F.col("drug_name_key").alias("drug_name")).agg(

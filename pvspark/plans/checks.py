@@ -108,6 +108,24 @@ def q_mention_rates(spark, sf_dir):
     return round_doubles(kpi.mention_rates(silver_posts_df(spark, sf_dir), DEP_TERMS, WD_TERMS))
 
 
+@register("mention_rates_substring", O.with_layers(["posts_raw", "reports_raw"], O.SILVER_POSTS, O.SILVER_REPORTS)
+          + f"""
+, drugs AS (SELECT DISTINCT drug_name FROM silver_reports WHERE drug_name IS NOT NULL AND drug_name <> ''),
+ps AS (SELECT p.post_id, p.body, d.drug_name FROM silver_posts p JOIN drugs d
+       ON contains(lower(p.drug_mentions), lower(d.drug_name)) WHERE p.drug_mentions IS NOT NULL)
+SELECT drug_name, count(*) AS total,
+  round(100.0::DOUBLE * avg(CASE WHEN {_any_sql('body', DEP_TERMS)} THEN 1 ELSE 0 END), 6) AS dependency_rate,
+  round(100.0::DOUBLE * avg(CASE WHEN {_any_sql('body', WD_TERMS)} THEN 1 ELSE 0 END), 6) AS withdrawal_rate
+FROM ps GROUP BY drug_name""")
+def q_mention_rates_substring(spark, sf_dir):
+    """J6 with the reference's substring rule (case-insensitive, literal) against the report
+    drugs; the oracle forms the post x drug cross join, the Spark plan does not."""
+    from pvspark.plans.layers import silver_reports_df
+    drugs = silver_reports_df(spark, sf_dir).select("drug_name").distinct()
+    return round_doubles(kpi.mention_rates(silver_posts_df(spark, sf_dir), DEP_TERMS, WD_TERMS,
+                                           match="substring", drugs=drugs))
+
+
 @register("concern_score", O.with_layers(["posts_raw"], O.SILVER_POSTS, _PM) + """
 , g AS (SELECT CAST(min(score) AS DOUBLE) AS lo, CAST(max(score) AS DOUBLE) AS hi FROM silver_posts),
 per AS (SELECT drug_name, avg(score) AS a FROM pm GROUP BY drug_name)
