@@ -158,10 +158,13 @@ def contributions(model: PipelineModel, rows: DataFrame, baseline: DataFrame, ke
     p = positive_probability(model.transform(ablate)).select(key, "_ablated", "p1")
     eps = 1e-12
     logit = F.log((F.col("p1") + eps) / (F.lit(1.0) - F.col("p1") + eps))
-    p = p.withColumn("logit", logit)
-    full = p.filter(F.col("_ablated") == "__none__").select(key, F.col("logit").alias("_full"))
-    parts = p.filter(F.col("_ablated") != "__none__").join(full, key)
-    contrib = parts.select(key, F.col("_ablated").alias("feature"), (F.col("_full") - F.col("logit")).alias("contribution"))
+    # the unablated log-odds of the same key, via a window over the key (one shuffle, no self-join);
+    # the ranking window below reuses the same partitioning
+    by_key = Window.partitionBy(key)
+    p = p.withColumn("logit", logit).withColumn(
+        "_full", F.max(F.when(F.col("_ablated") == "__none__", F.col("logit"))).over(by_key))
+    contrib = p.filter(F.col("_ablated") != "__none__").select(
+        key, F.col("_ablated").alias("feature"), (F.col("_full") - F.col("logit")).alias("contribution"))
     w = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), F.col("feature"))
     return contrib.withColumn("rank", F.row_number().over(w))
 

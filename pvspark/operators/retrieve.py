@@ -125,15 +125,23 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
     q_type = "string" if dict(queries.dtypes)[query_id_col] == "string" else "long"
     if q_type == "long":
         queries = queries.withColumn(query_id_col, F.col(query_id_col).cast("long"))
-    n = queries.count()
-    nblocks = max(1, -(-n // max_queries))
+    # common case: one bounded collect; only an oversized query set is counted and blocked
+    first = queries.select(*qcols).limit(max_queries + 1).collect()
+    if len(first) <= max_queries:
+        nblocks, blocks = 1, [first]
+    else:
+        n = queries.count()
+        nblocks = 2 * (-(-n // max_queries))        # hash blocks average half the bound
+        blocks = None
     parts = []
     for b in range(nblocks):
-        qb = queries if nblocks == 1 else queries.filter(
-            F.pmod(F.xxhash64(F.col(query_id_col)), F.lit(nblocks)) == b)
-        rows = qb.select(*qcols).limit(max_queries + 1).collect()
+        if blocks is not None:
+            rows = blocks[b]
+        else:
+            qb = queries.filter(F.pmod(F.xxhash64(F.col(query_id_col)), F.lit(nblocks)) == b)
+            rows = qb.select(*qcols).limit(max_queries + 1).collect()
         if len(rows) > max_queries:
-            raise ValueError("query block exceeds the broadcast bound; raise nblocks")
+            raise ValueError("a query block exceeds the broadcast bound (duplicated query ids?)")
         if not rows:
             continue
         q_ids = np.array([r[0] for r in rows], dtype=object if q_type == "string" else np.int64)
