@@ -32,7 +32,7 @@ def q_features(spark, sf_dir):
 
 
 @register("labels_binarized", _MASTER + "\nSELECT drug_name, " + ", ".join(
-    f"CASE WHEN {src} / CAST(adv_total_reports AS DOUBLE) > 0 THEN 1.0 ELSE 0.0 END AS y_{t}"
+    f"CASE WHEN {src} / CAST(adv_total_reports AS DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y_{t}"
     for t, src in model.TARGETS.items()) + " FROM master WHERE adv_total_reports > 0")
 def q_labels_binarized(spark, sf_dir):
     """A10 + M2: outcome rates binarised at > 0 (the reference's threshold)."""

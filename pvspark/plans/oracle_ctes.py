@@ -31,7 +31,7 @@ silver_reports AS (
 SILVER_POSTS = """
 silver_posts AS (
   SELECT post_id, subreddit, title, body, score, created_utc, drug_mentions,
-         length(body) AS body_length, CAST(hour(created_utc) AS INTEGER) AS hour_of_day
+         CAST(length(body) AS INTEGER) AS body_length, CAST(hour(created_utc) AS INTEGER) AS hour_of_day
   FROM (
     SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY created_utc DESC NULLS LAST, tie1) AS rn
     FROM posts_raw WHERE body IS NOT NULL AND length(body) > 0

@@ -107,6 +107,10 @@ def test_query_matches_duckdb_oracle(spark, name):
     dcols = [d[0] for d in rel.description]
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    types = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+    dtypes = {c: str(t) for c, t in zip(con.sql(ors[name]).columns, con.sql(ors[name]).types)}
+    assert {c: types.get(t, t) for c, t in sdf.dtypes} == dtypes
     assert len(srows) == len(drows)
     assert _digest(sdf.columns, srows)[0] == _digest(dcols, drows)[0]
 
