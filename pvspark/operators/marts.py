@@ -143,10 +143,19 @@ def explode_mentions(posts: DataFrame, key_mode: str = "normalized") -> DataFram
             .withColumn("drug_name", name).drop("_m"))
 
 
-def sentiment_profile(posts: DataFrame, key_mode: str = "normalized") -> DataFrame:
+def sentiment_profile(posts: DataFrame, key_mode: str = "normalized", distinct: str = "exact") -> DataFrame:
     """A3: mentions, avg score, distinct forums, avg body length per mentioned drug.
-    Empty keys are dropped; the ``unknown`` key is kept (as the reference does)."""
+    Empty keys are dropped; the ``unknown`` key is kept (as the reference does).
+    ``distinct="approx"`` (opt-in) counts forums with one HyperLogLog aggregation instead of the
+    exact two-level plan."""
     ex = explode_mentions(posts, key_mode).filter(F.col("drug_name").isNotNull() & (F.col("drug_name") != ""))
+    if distinct == "approx":
+        return ex.groupBy("drug_name").agg(
+            F.count(F.lit(1)).alias("total_mentions"), F.avg("score").alias("avg_score"),
+            F.approx_count_distinct("subreddit").alias("subreddit_count"),
+            F.avg("body_length").alias("avg_body_length"))
+    if distinct != "exact":
+        raise ValueError(distinct)
     lvl1 = ex.groupBy("drug_name", "subreddit").agg(
         F.count(F.lit(1)).alias("n"), F.sum("score").alias("s_sum"), F.count("score").alias("s_n"),
         F.sum("body_length").alias("b_sum"), F.count("body_length").alias("b_n"))

@@ -278,3 +278,13 @@ def test_bronze_load_idempotent_per_day(spark, tmp_dir):
     got = sorted((r.ds, r.report_month, r.report_id) for r in t.collect())
     assert got == [("2024-03-01", "202401", "1"), ("2024-03-01", "202402", "2"), ("2024-03-02", "202401", "1")]
     assert dict(t.dtypes)["report_month"] == "string"
+
+
+def test_sentiment_approx_distinct_close(spark):
+    rows = [(f"p{i}", f"f{i % 7}", i, "b", "Adderall") for i in range(200)]
+    posts = spark.createDataFrame(rows, "post_id string, subreddit string, score int, body string, drug_mentions string") \
+        .withColumn("body_length", F.length("body"))
+    exact = marts.sentiment_profile(posts).collect()[0]
+    approx = marts.sentiment_profile(posts, distinct="approx").collect()[0]
+    assert exact.subreddit_count == 7 and abs(approx.subreddit_count - 7) <= 1
+    assert (exact.total_mentions, exact.avg_score) == (approx.total_mentions, approx.avg_score)
