@@ -3,9 +3,10 @@
 Scale notes
 -----------
 * ``adverse_profile`` scans and shuffles the fact table ONCE: a partial+final aggregation on
-  (drug, reaction, age_group) produces a small cube that the three roll-ups (metrics, top
-  reaction, age distribution) reuse. Partial aggregation runs map-side, so a drug holding a third
-  of all reports is reduced before the shuffle instead of landing whole in one task.
+  (drug, reaction, age_group) produces a small cube, which is repartitioned by drug and turned
+  into metrics, top reaction and age distribution by windows and one final aggregate (a linear
+  plan, no joins). Partial aggregation runs map-side, so a drug holding a third of all reports
+  is reduced before the shuffle instead of landing whole in one task.
 * ``sentiment_profile`` rewrites ``count(distinct subreddit)`` as a two-level aggregation
   (drug, subreddit) -> drug, both levels with map-side partial aggregation, instead of the
   Expand-based distinct plan that replicates every input row.
