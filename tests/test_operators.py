@@ -288,3 +288,47 @@ def test_sentiment_approx_distinct_close(spark):
     approx = marts.sentiment_profile(posts, distinct="approx").collect()[0]
     assert exact.subreddit_count == 7 and abs(approx.subreddit_count - 7) <= 1
     assert (exact.total_mentions, exact.avg_score) == (approx.total_mentions, approx.avg_score)
+
+
+def test_extract_labels_array_or_string_fields(spark):
+    from pvspark.sources import extract
+    long = "w" * 501
+    docs = [
+        '{"id":"1","openfda":{"brand_name":["A","B"],"generic_name":[]},"warnings":["x","y"],"drug_interactions":"plain"}',
+        '{"id":"2","openfda":{"brand_name":"notalist"},"warnings":[null],"drug_interactions":[]}',
+        '{"id":"3","openfda":{},"warnings":"' + long + '"}',
+        '{"id":"4","openfda":null,"warnings":"w"}',
+        '{"openfda":{},"warnings":"w"}',
+        'not json',
+    ]
+    df = extract.label_variant(spark.createDataFrame([(d,) for d in docs], "value string"))
+    df = df.withColumn("drug_id", F.try_variant_get("v", "$.id", "string"))
+    from pvspark.operators import validate
+    valid, rej = validate.split_valid(df, validate.label_rules(extract.label_openfda_present(F.col("v"))))
+    out = {r.drug_id: r for r in extract.extract_labels(valid, clip=500).collect()}
+    assert set(out) == {"1", "2", "3"}
+    assert (out["1"].brand_name, out["1"].generic_name, out["1"].warnings, out["1"].interactions) == \
+        ("A", "unknown", "x", "plain")
+    assert (out["2"].brand_name, out["2"].warnings, out["2"].interactions) == ("unknown", None, None)
+    assert len(out["3"].warnings) == 500 and out["3"].interactions is None
+    reasons = sorted(r.reject_reason for r in rej.collect())
+    assert reasons == ["missing id", "missing id", "missing openfda"]
+
+
+def test_extract_articles_leading_text_semantics(spark):
+    from pvspark.sources import extract
+    xml = ("<PubmedArticle><MedlineCitation><PMID>7</PMID><Article><ArticleTitle>About Xanax use</ArticleTitle>"
+           "<Abstract><AbstractText>lead <i>x</i> tail</AbstractText><AbstractText><b>bold</b> only</AbstractText>"
+           "<AbstractText></AbstractText><AbstractText> second &amp; part </AbstractText></Abstract>"
+           "<Journal><JournalIssue><PubDate><MedlineDate>1998 Dec-1999 Jan</MedlineDate></PubDate></JournalIssue>"
+           "</Journal></Article></MedlineCitation></PubmedArticle>")
+    empty = ("<PubmedArticle><MedlineCitation><PMID>8</PMID><Article><ArticleTitle></ArticleTitle>"
+             "<Abstract><AbstractText>  </AbstractText></Abstract></Article></MedlineCitation></PubmedArticle>")
+    df = spark.createDataFrame([(xml,), (empty,)], "xml string")
+    out = {r.article_id: r for r in extract.extract_articles(df).collect()}
+    a = out["7"]
+    # ElementTree .text: leading text only; a part starting with a child contributes nothing
+    assert a.abstract == "lead " + " " + " second & part"   # parts joined by a space, then stripped
+    assert (a.title, a.publish_date, a.drug_name) == ("About Xanax use", "1998-01-01", "Xanax")
+    b = out["8"]
+    assert (b.title, b.abstract, b.publish_date, b.drug_name) == (None, None, None, "unknown")
