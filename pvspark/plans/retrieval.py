@@ -95,3 +95,24 @@ def q_tfidf_knn(spark, sf_dir):
     queries = retrieve.tfidf_apply(model, bench)
     hits = retrieve.knn(corpus.withColumnRenamed("doc_id", "vec_id"), queries, k=5)
     return hits.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("doc_id"))
+
+
+def _list_sql() -> str:
+    knn = _knn_sql(True).strip()
+    knn = knn[len("WITH "):knn.rindex("SELECT query_id, CAST(rank")].rstrip()
+    return (O.with_layers(["articles_raw"], O.SILVER_ARTICLES) + ",\n" + knn + """
+SELECT r.query_id, string_agg('- [' || a.article_id || '] ' || a.title || ' (' || CAST(coalesce(a.publish_year, 0) AS VARCHAR)
+                              || '): ' || substr(a.abstract, 1, 300), chr(10) ORDER BY r.rank) AS text
+FROM r JOIN silver_articles a ON a.article_id = CAST(r.vec_id AS VARCHAR)
+WHERE r.rank <= 5
+GROUP BY r.query_id""")
+
+
+@register("research_list", _list_sql())
+def q_research_list(spark, sf_dir):
+    """R6 list form: ranked hits as ``- [id] title (year): abstract[:300]`` lines."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    hits = retrieve.knn(emb, _queries(emb), k=5, filter_col="label", query_filter_col="query_label")
+    corpus = retrieve.prepare_corpus(silver_articles_df(spark, sf_dir))
+    j = hits.join(corpus, corpus["article_id"] == hits["vec_id"].cast("string"), "inner")
+    return retrieve.research_list_text(j)
