@@ -283,3 +283,13 @@ def q_safety_term_filter(spark, sf_dir):
     return filter_safety_terms(fixtures.posts_raw(spark, sf_dir), FORUMS, PHRASES) \
         .select(F.col("tie1").alias("event_id"), "subreddit")
 
+
+
+@register("latest_articles", fixtures.oracle_ctes("articles_raw") + """
+SELECT article_id, publish_date FROM articles_raw
+ORDER BY publish_date DESC NULLS LAST, article_id LIMIT 200""")
+def q_latest_articles(spark, sf_dir):
+    """The 200 newest articles by publication date (ties by id) - a top-k fetch."""
+    from pvspark.operators.posts import latest_n
+    a = fixtures.articles_raw(spark, sf_dir)
+    return latest_n(a, 200, ["publish_date desc", "article_id"]).select("article_id", "publish_date")
