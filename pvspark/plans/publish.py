@@ -83,3 +83,13 @@ def q_bronze_load(spark, sf_dir):
     sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
     table = sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
     return table.groupBy("report_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("key_value_roundtrip", fixtures.oracle_ctes("posts_raw") + """
+SELECT coalesce(post_id, '') AS key, post_id, subreddit, score, body, drug_mentions FROM posts_raw""")
+def q_key_value_roundtrip(spark, sf_dir):
+    """K7: every post published as a keyed JSON record and parsed back (lossless round trip)."""
+    posts = fixtures.posts_raw(spark, sf_dir).select("post_id", "subreddit", "score", "body", "drug_mentions")
+    kv = sinks.to_key_value(posts, "post_id")
+    back = F.from_json("value", "post_id string, subreddit string, score int, body string, drug_mentions string")
+    return kv.select("key", back.alias("r")).select("key", "r.*")
