@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import chat_grammar, exact_stream, prefix_bpe, url_cascade
-from pvspark.llm.common import LOWER, UPPER, table
+from pvspark.llm import chat_grammar, exact_stream, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,6 +73,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+@_register("op6_suffix_decontam")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                          keep=["doc_id"])
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
 _RULE_SQL = " ".join(
     f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}'"
     for h, p, _ in sorted(url_cascade.RULES, key=lambda r: -len(r[0] + r[1])))
@@ -88,3 +97,13 @@ m AS (SELECT *, CASE {_RULE_SQL} END AS rule FROM p)
 SELECT page_id, host, path, rule, CASE rule {_VERDICT_SQL} ELSE 'allow' END AS verdict FROM m""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge(table(spark, sf_dir, "pages"))
+
+
+@_register("op10_toxic_segments")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_segments.fit(docs, table(spark, sf_dir, "labels"))
+    return (toxic_segments.score(docs, model, keep=["doc_id"])
+            .select("row.doc_id", in_fold(F.col("row.doc_id"), toxic_segments.FOLDS, toxic_segments.HELD_OUT)
+                    .alias("held_out"), "score",
+                    (F.col("score") >= toxic_segments.CUTOFF).cast("int").alias("predicted")))
