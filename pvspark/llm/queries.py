@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import chat_grammar, exact_stream, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
 from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+@_register("op8_bucket_pointer_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bucket_pointer.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 _RULE_SQL = " ".join(
     f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}'"
     for h, p, _ in sorted(url_cascade.RULES, key=lambda r: -len(r[0] + r[1])))
