@@ -30,8 +30,12 @@ from pvspark.llm.common import ascii_lower, materialise, scratch
 HOT_SHARE = 1 / 2000
 HOT_LEAST = 512
 SALTS = 64
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Disk-backed state; no preallocated log files (4 MB for each of many small partitions).
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,8 +58,9 @@ def run_state(spark: SparkSession, path: str, checkpoint: str, id_col: str = "do
     stream = _keyed(spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]"), id_col, text_col)
     state = stream.groupBy("digest").agg(F.max(F.struct("doc_id", "loc")).alias("keep"),
                                          F.count(F.lit(1)).alias("n"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
                  .option("checkpointLocation", checkpoint).start())
@@ -66,7 +71,8 @@ def run_state(spark: SparkSession, path: str, checkpoint: str, id_col: str = "do
                            F.col("value")[values[1]].alias("n"))
         return materialise(out, "dedup-state")
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _salted(state: DataFrame, salts: Column) -> DataFrame:
