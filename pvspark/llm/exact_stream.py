@@ -92,15 +92,20 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, i
             .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("loc"), F.lit(SALTS)).cast("int"))
                         .otherwise(F.lit(0))).drop("hot"))
     salts = F.when(F.col("n") > bound, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    joined = docs.join(_salted(state, salts), ["digest", "salt"])
+    # texts move once; those of digests with a hit are kept for the comparison
+    joined = materialise(docs.join(_salted(state, salts), ["digest", "salt"])
+                         .select("doc_id", "loc", "digest", "salt", "keep", "n",
+                                 F.when(F.col("n") > 1, F.col("norm")).alias("norm")), "dedup-joined")
     keeper = F.struct("doc_id", "loc").eqNullSafe(F.col("keep"))
-    # the text at the locator, for digests that had a hit
     stored = _salted(joined.filter(keeper & (F.col("n") > 1)).select("digest", "n", F.col("norm").alias("stored")),
                      salts).drop("n")
-    checked = (joined.join(stored, ["digest", "salt"], "left")
-               .withColumn("same", (F.col("n") == 1) | F.col("norm").eqNullSafe(F.col("stored")))
-               .select("doc_id", "loc", "digest", "keep", "n", "same",
-                       F.when(~F.col("same"), F.col("norm")).alias("other")))
+    hits = (joined.filter("n > 1").join(stored, ["digest", "salt"], "left")
+            .withColumn("same", F.col("norm").eqNullSafe(F.col("stored"))))
+    checked = (hits.select("doc_id", "loc", "digest", "keep", "n", "same",
+                           F.when(~F.col("same"), F.col("norm")).alias("other"))
+               .unionByName(joined.filter("n = 1").select("doc_id", "loc", "digest", "keep", "n",
+                                                          F.lit(True).alias("same"),
+                                                          F.lit(None).cast("string").alias("other"))))
     checked = materialise(checked, "dedup-checked")
     # rows that share only the digest: grouped by their bytes (empty unless SHA-256 collides)
     odd = checked.filter(~F.col("same"))
