@@ -31,7 +31,6 @@ Texts of any length are cut into pieces of bounded size (with enough overlap) fo
 from __future__ import annotations
 
 import hashlib
-import uuid
 from functools import cache
 
 import numpy as np
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.llm.common import materialise
+from pvspark.llm.common import distinct_texts, materialise, text_key
 from pvspark.llm.words import slices
 
 LENGTH = 200
@@ -240,13 +239,7 @@ def _marks(rows: DataFrame) -> DataFrame:
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("did"),
-                        F.octet_length(text).alias("size"))
-    name = f"texts_{uuid.uuid4().hex}"
-    (keyed.groupBy("did", "size").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "did", "size").saveAsTable(name))
-    texts = spark.table(name)
+    texts, name = distinct_texts(docs, id_col, text_col)
     long = texts.filter(F.col("size") >= LENGTH).select("did", "size", "text")
 
     # 1. q-gram buckets
@@ -278,7 +271,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     result = materialise(copied.unionByName(cut), "removed")
     spark.sql(f"DROP TABLE {name}")
     zero = F.lit(0).cast("bigint")
-    return (keyed.select("doc_id", "did", "size", F.sha2("text", 256).alias("whole"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return (docs.select(F.col(id_col).alias("doc_id"), *text_key(text), F.sha2(text, 256).alias("whole"))
             .join(result, ["did", "size"], "left")
             .select("doc_id", F.col("size").cast("bigint").alias("n_bytes"),
                     F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),

@@ -43,3 +43,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def in_fold(doc_id: Column, buckets: int, fold: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``, equals ``fold`` (null ids: never)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % buckets == fold, F.lit(False))
+
+
+def text_key(c: Column) -> list[Column]:
+    """``did`` and ``size``: 64-bit fingerprint and byte length of a text; null counts as empty."""
+    t = F.coalesce(c, F.lit(""))
+    return [F.xxhash64(t).alias("did"), F.octet_length(t).alias("size")]
+
+
+def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """The different texts (did, size, text, copies, least_id) as a table bucketed by did and size, and its name.
+
+    Copies combine map-side, so a text that a third of all rows repeat reaches the shuffle once a task. Joins
+    on did and size read the buckets in place and don't move texts again. The caller drops the table.
+    """
+    spark = docs.sparkSession
+    name = f"texts_{uuid.uuid4().hex}"
+    (docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                 *text_key(F.col(text_col)))
+     .groupBy("did", "size").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"),
+                                 F.min("id").alias("least_id"))
+     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "did", "size").saveAsTable(name))
+    return spark.table(name), name

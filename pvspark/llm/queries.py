@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, order_minhash, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
 from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def _register(name: str, oracle: str | None = None):
 _LOW = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
 
+@_register("op1_order_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 @_register("op2_exact_stream_dedup", f"""
 WITH d AS (SELECT doc_id, {_LOW} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
