@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, order_minhash, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, order_minhash, pitman_yor, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
 from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+@_register("op5_pitman_yor")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (pitman_yor.score(table(spark, sf_dir, "documents"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
 @_register("op6_suffix_decontam")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
