@@ -36,7 +36,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,5 +63,6 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
                  *text_key(F.col(text_col)))
      .groupBy("did", "size").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"),
                                  F.min("id").alias("least_id"))
-     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "did", "size").saveAsTable(name))
+     .write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "did", "size")
+     .saveAsTable(name))
     return spark.table(name), name

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, order_minhash, pitman_yor, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, line_neighbours, order_minhash, pitman_yor, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
 from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,30 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+_WORDS_SQL = r"regexp_extract_all(l, '[^\t\x0B\f\r ]+')"
+
+
+@_register("op7_line_neighbours", f"""
+WITH s AS (SELECT doc_id, string_split({_LOW}, chr(10)) AS ls FROM documents),
+e AS (SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS line, unnest(ls) AS l FROM s),
+p AS (SELECT doc_id, line, doc_id * 1000000 + line AS pos, {_WORDS_SQL} AS w FROM e WHERE len({_WORDS_SQL}) > 0),
+g AS (SELECT w, len(w) AS n, min(pos) AS first_pos FROM p GROUP BY w),
+d AS (SELECT w, first_pos, i, list_concat(w[1:i - 1], w[i + 1:]) AS v
+      FROM (SELECT w, first_pos, unnest(generate_series(1, n)) AS i FROM g WHERE n >= {line_neighbours.MIN_WORDS})),
+near AS (SELECT a.w FROM d a JOIN d b ON a.v = b.v AND a.i = b.i AND b.first_pos < a.first_pos
+         UNION SELECT a.w FROM d a JOIN g b ON a.v = b.w AND b.n >= {line_neighbours.MIN_WORDS} AND b.first_pos < a.first_pos
+         UNION SELECT b.w FROM d a JOIN g b ON a.v = b.w AND b.n >= {line_neighbours.MIN_WORDS} AND a.first_pos < b.first_pos),
+x AS (SELECT p.doc_id, p.line, p.pos <> g.first_pos AS is_equal, p.pos = g.first_pos AND near.w IS NOT NULL AS is_alike
+      FROM p JOIN g ON p.w = g.w LEFT JOIN near ON near.w = p.w),
+t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE is_equal) AS n_equal, count(*) FILTER (WHERE is_alike) AS n_alike,
+             coalesce(string_agg(line, ',' ORDER BY line) FILTER (WHERE is_equal OR is_alike), '') AS dropped_lines
+      FROM x GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_alike, 0) AS n_alike,
+       coalesce(dropped_lines, '') AS dropped_lines FROM documents LEFT JOIN t USING (doc_id)""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_neighbours.summary(table(spark, sf_dir, "documents"))
+
+
 @_register("op8_bucket_pointer_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_pointer.repeated_bytes(table(spark, sf_dir, "documents"))
