@@ -268,8 +268,8 @@ def _rest_pairs(many: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), class_size (rows), kept (the row with that id): one row per
-    document."""
+    """doc_id, class_id (least doc_id of the class), class_size (rows), kept (the row with that id), and the text's
+    key (did, size): one row per document."""
     spark = docs.sparkSession
     texts, name = distinct_texts(docs, id_col, text_col)
     sketch = materialise(texts.select("did", "size", "text").mapInArrow(_sketch_batches, "key long, did long, size int"),
@@ -289,5 +289,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark.sql(f"DROP TABLE {name}")
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *text_key(F.col(text_col)))
             .join(result, ["did", "size"])
-            .select("doc_id", "class_id", "class_size",
-                    F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")))
+            .select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+                    "did", "size"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class (the least doc_id's; rows with its id and text all stay)."""
+    gone = (near_classes(docs, id_col, text_col).filter(~F.col("kept"))
+            .select(F.col("did").alias("__did"), F.col("size").alias("__size"), F.col("doc_id").alias("__id")).distinct())
+    keyed = docs.withColumns({"__x": F.struct(*text_key(F.col(text_col)))})
+    return (keyed.join(gone, (F.col("__x.did") == F.col("__did")) & (F.col("__x.size") == F.col("__size"))
+                       & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")), "left_anti").drop("__x"))

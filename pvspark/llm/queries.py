@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ _LOW = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
 @_register("op1_order_minhash")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_classes(table(spark, sf_dir, "documents"))
+    return (order_minhash.near_classes(table(spark, sf_dir, "documents"))
+            .select("doc_id", "class_id", "class_size", "kept"))
 
 
 @_register("op2_exact_stream_dedup", f"""
@@ -147,3 +149,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("row.doc_id", in_fold(F.col("row.doc_id"), toxic_segments.FOLDS, toxic_segments.HELD_OUT)
                     .alias("held_out"), "score",
                     (F.col("score") >= toxic_segments.CUTOFF).cast("int").alias("predicted")))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
