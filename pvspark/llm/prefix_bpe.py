@@ -37,7 +37,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 END = ""                 # stands for the end-of-word suffix, so that every symbol is made of single characters
-KEEP_PIECES = 200_000          # entries of a worker's table of known pieces
+KEEP_PIECES = 300_000          # entries of a worker's table of known pieces
+KEEP_WORDS = 500_000           # and of the words in them, without case and punctuation
 KEEP_PIECE_CHARS = 64
 KEEP_PAIRS = 1_000_000
 PLAIN = "\u024f"               # up to this character all Unicode versions agree on case and category
@@ -79,10 +80,13 @@ class PrefixBpe:
         self.byte_chars = _byte_chars()
         self.library = Tokenizer.from_file(path)             # for normalising rare characters only
         self.pieces: dict[str, bytes] = {}
+        self.known_words: dict[str, list[int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._valid: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in own.items():
+            if not self.valid(i):                             # such a token is in no encoding
+                continue
             text = t.removesuffix(suffix) + END if t.endswith(suffix) and t != suffix else t
             self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
@@ -118,11 +122,11 @@ class PrefixBpe:
         return known
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 20 | right)
         if known is None:
             if len(self.pairs) >= KEEP_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._border_holds(left, right, NEVER)
+            known = self.pairs[left << 20 | right] = self._border_holds(left, right, NEVER)
         return known
 
     # -- encoding --------------------------------------------------------------------------------
@@ -130,16 +134,29 @@ class PrefixBpe:
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word, given in byte characters."""
         text = word + END
-        last: list[tuple[int, int] | None] = [None] * (len(text) + 1)   # prefix -> (last token, prefix before)
+        n = len(text)
+        last: list[int | None] = [None] * (n + 1)       # last token of each prefix
+        back = [0] * (n + 1)                              # the prefix before it
+        known, test = self.pairs.get, self.compatible
         for stop, (token, size) in self.automaton.iter(text):
-            start = stop + 1 - size
-            if (start == 0 or (last[start] is not None and self.compatible(last[start][0], token))) \
-                    and self.valid(token):
-                last[stop + 1] = (token, start)
-        ids, at = [], len(text)
+            stop += 1
+            if last[stop] is not None:                    # the last token is unique
+                continue
+            start = stop - size
+            if start:
+                left = last[start]
+                if left is None:
+                    continue
+                fits = known(left << 20 | token)
+                if fits is None:
+                    fits = test(left, token)
+                if not fits:
+                    continue
+            last[stop], back[stop] = token, start
+        ids, at = [], n
         while at:
-            token, at = last[at]
-            ids.append(token)
+            ids.append(last[at])
+            at = back[at]
         return ids[::-1]
 
     def words(self, text: str) -> list[str]:
@@ -162,7 +179,14 @@ class PrefixBpe:
                 ids.append(self.special[part])
             elif part:
                 for word in self.words(part):
-                    ids += self.word_ids(word)
+                    known_ids = self.known_words.get(word)
+                    if known_ids is None:
+                        known_ids = self.word_ids(word)
+                        if len(word) <= KEEP_PIECE_CHARS:
+                            if len(self.known_words) >= KEEP_WORDS:
+                                self.known_words.clear()
+                            self.known_words[word] = known_ids
+                    ids += known_ids
         out = np.array(ids, "<u4").tobytes()
         if len(piece) <= KEEP_PIECE_CHARS:
             if len(self.pieces) >= KEEP_PIECES:
