@@ -127,9 +127,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """``docs`` without the rows that an equal text replaces; all columns stay."""
     path = scratch(spark, "dedup-in")
     docs.write.parquet(path)
-    gone = exact_dedup(spark, path, None, id_col, text_col).filter(~F.col("kept")).select("loc_file", "loc_row")
+    gone = exact_dedup(spark, path, None, id_col, text_col).filter(~F.col("kept")).select(
+        F.col("loc_file").alias("__gone_file"), F.col("loc_row").alias("__gone_row"))
     staged = spark.read.schema(docs.schema).parquet(path)
     file = F.xxhash64(F.regexp_extract("_metadata.file_path", r"[^/]*$", 0))
     return (staged.withColumns({"__file": file, "__row": F.col("_metadata.row_index")})
-            .join(gone, (F.col("__file") == F.col("loc_file")) & (F.col("__row") == F.col("loc_row")), "left_anti")
+            .join(gone, (F.col("__file") == F.col("__gone_file")) & (F.col("__row") == F.col("__gone_row")), "left_anti")
             .drop("__file", "__row"))

@@ -193,7 +193,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``row`` (struct of the ``keep`` columns, default all), n_words, n_hit, items (sorted ids), matches
     (word, item_id, item_word, words: the longest verbatim matches), contaminated."""
     blocks = _blocks(benchmark, item_id_col, item_text_col, window)
-    kept = F.struct(*[F.col(c) for c in (keep or docs.columns)])
+    kept = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)])
     match = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("item_id", T.LongType()),
                           T.StructField("item_word", T.IntegerType()), T.StructField("words", T.IntegerType())])
     given = docs.select(kept.alias("row"), F.col(text_col).alias("text"))

@@ -1,10 +1,10 @@
 """Toxicity by maximum-scoring segments.
 
-* Features of a word are the word itself and its first 4 to 7 characters, hashed into ``BUCKETS`` buckets;
-  the fitted table therefore has a fixed size and can be broadcast.
+* Features of a word are the word itself and its first 4 to 7 characters, as 64-bit hashes.
 * Log-odds with a Dirichlet prior: for each feature, the share of toxic and of clean training documents that
   hold it, smoothed by ``PRIOR`` pseudo-documents spread like the whole sample; a word scores the log-odds of
-  its feature that is surest (largest log-odds over its standard error), nothing if none is ``SURE``.
+  its feature that is surest (largest log-odds over its standard error), nothing if none is ``SURE``. Counts
+  and log-odds are DataFrame work; the ``FEATURES`` surest features make the table that is broadcast.
 * Each word then costs ``DRIFT``, and one pass (Ruzzo and Tompa) finds all maximal scoring segments.
 * Extreme-value calibration: with the scores of clean training words, lambda solves E[exp(lambda s)] = 1,
   and K comes from the mean of the clean documents' best segments. A segment of score S in a text of n
@@ -26,25 +26,25 @@ by one; other columns pass through in ``row``.
 from __future__ import annotations
 
 import math
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pvspark.llm.common import in_fold
+from pvspark.llm.common import in_fold, materialise
 from pvspark.llm.words import slices, words
 
-BUCKETS = 1 << 18
+FEATURES = 200_000
 PREFIXES = (4, 5, 6, 7)
 PRIOR = 2.0
 SURE = 1.5
 DRIFT = 1.0
 E_VALUE = 0.05
-SAMPLE = 20_000
+SAMPLE = 10_000
 FOLDS, HELD_OUT = 4, 2
 CUTOFF = 0.3
 KNOWN_WORDS = 300_000
@@ -53,16 +53,18 @@ EULER = 0.5772156649015329
 BIN = 0.02                     # width of the score histogram
 
 
+def _hash(x: bytes) -> int:
+    return xxhash.xxh64_intdigest(x) >> 1                   # fits a long
+
+
 def features(word: bytes) -> list[int]:
-    out = [zlib.crc32(word) % BUCKETS]
     text = word.decode("utf-8", "replace")
-    return out + [zlib.crc32(text[:k].encode() + b"*") % BUCKETS for k in PREFIXES if len(text) > k]
+    return [_hash(word), *(_hash(text[:k].encode("utf-8", "replace") + b"*") for k in PREFIXES if len(text) > k)]
 
 
 @dataclass
 class Model:
-    log_odds: np.ndarray | None    # by bucket; None: no model
-    sureness: np.ndarray | None
+    table: dict[int, tuple[float, float]] | None    # feature -> log-odds, sureness; None: no model
     share: float                   # of toxic labels
     lam: float = 1.0
     log_k: float = 0.0
@@ -70,6 +72,9 @@ class Model:
     offset: float = 0.0
 
 
+_UNKNOWN = (0.0, 0.0)
+
+
 class Scorer:
     """Word scores with a bounded table of known words."""
 
@@ -77,9 +82,8 @@ class Scorer:
         self.model, self.known = model, {}
 
     def word(self, w: bytes) -> float:
-        m = self.model
-        best = max(features(w), key=lambda i: abs(m.sureness[i]))
-        s = float(m.log_odds[best]) if abs(m.sureness[best]) >= SURE else 0.0
+        get = self.model.table.get
+        s = max((get(f, _UNKNOWN) for f in features(w)), key=lambda x: abs(x[1]))[0]
         if len(self.known) >= KNOWN_WORDS:
             self.known.clear()
         self.known[w] = s
@@ -151,42 +155,40 @@ def _sample(labels: DataFrame, held_out: bool) -> tuple[DataFrame, dict[int, int
 
 
 def _count(batches):
-    """Feature document counts of a task: bucket -1 holds the documents."""
-    counts = np.zeros((2, BUCKETS), np.int64)
-    docs = [0, 0]
+    """Documents of a stretch that hold a feature; feature -1 counts all of them."""
     known: dict[bytes, list[int]] = {}
     for part in slices(batches, SLICE_ROWS, 0, SLICE_CHARS):
+        held: list[list[int]] = [[], []]
+        docs = [0, 0]
         for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            held: set[int] = set()
+            mine: set[int] = set()
             for w in set(words(text)):
                 f = known.get(w)
                 if f is None:
                     if len(known) >= KNOWN_WORDS:
                         known.clear()
                     f = known[w] = features(w)
-                held.update(f)
-            counts[toxic][list(held)] += 1
+                mine.update(f)
+            held[toxic] += mine
             docs[toxic] += 1
-    used = np.flatnonzero(counts.any(axis=0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(used, -1), pa.int32()), pa.array(np.append(counts[0][used], docs[0]), pa.int64()),
-         pa.array(np.append(counts[1][used], docs[1]), pa.int64())], ["bucket", "clean", "toxic"])
-
-
-def _log_odds(rows) -> tuple[np.ndarray, np.ndarray] | None:
-    clean, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    n0 = n1 = 0
-    for r in rows:
-        if r.bucket < 0:
-            n0, n1 = r.clean, r.toxic
-        else:
-            clean[r.bucket], toxic[r.bucket] = r.clean, r.toxic
-    if not n0 or not n1:
+        for toxic in (0, 1):
+            used, n = np.unique(np.array(held[toxic], np.int64), return_counts=True)
+            n, zero = np.append(n, docs[toxic]), np.zeros(len(n) + 1, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), *map(pa.array, (zero, n) if toxic else (n, zero))],
+                                             ["feature", "clean", "toxic"])
+
+
+def _table(counted: DataFrame) -> dict[int, tuple[float, float]] | None:
+    whole = counted.filter("feature = -1").collect()
+    if not whole or not whole[0].clean or not whole[0].toxic:
         return None
-    prior = PRIOR * (clean + toxic + 0.02) / (n0 + n1 + 0.04)
-    a, b = toxic + prior, clean + prior
-    odds = np.log(a / (n1 + PRIOR - a)) - np.log(b / (n0 + PRIOR - b))
-    return odds.astype(np.float32), (odds / np.sqrt(1 / a + 1 / b)).astype(np.float32)
+    n0, n1 = whole[0].clean, whole[0].toxic
+    prior = PRIOR * (F.col("clean") + F.col("toxic") + 0.02) / (n0 + n1 + 0.04)
+    a, b = F.col("toxic") + prior, F.col("clean") + prior
+    odds = F.log(a / (n1 + PRIOR - a)) - F.log(b / (n0 + PRIOR - b))
+    rows = (counted.filter("feature >= 0").select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
+            .filter(F.abs("z") >= SURE).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect())
+    return {r.feature: (r.odds, r.z) for r in rows}
 
 
 def _lambda(values: np.ndarray, weights: np.ndarray) -> float:
@@ -225,12 +227,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> Model:
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     train = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
              .join(F.broadcast(sample), "doc_id").select("text", "toxic"))      # sample: at most 2 * SAMPLE rows
-    counted = (train.mapInArrow(_count, "bucket int, clean long, toxic long").groupBy("bucket")
-               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).collect())   # at most BUCKETS + 1
-    table = _log_odds(counted)
+    counted = materialise(train.mapInArrow(_count, "feature long, clean long, toxic long").groupBy("feature")
+                          .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-features")
+    table = _table(counted)
     if table is None:
-        return Model(None, None, share)
-    model = Model(*table, share)
+        return Model(None, share)
+    model = Model(table, share)
     shared = spark.sparkContext.broadcast(model)
 
     def segment(batches):
@@ -273,7 +275,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     """``row`` (struct of the ``keep`` columns, default all), score, evidence, passages (start and stop word,
     score, E-value): one row per document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(F.struct(*[F.col(c) for c in (keep or docs.columns)]).alias("row"),
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row"),
                         F.col(text_col).alias("text"))
     passage = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
                             T.StructField("score", T.DoubleType()), T.StructField("e_value", T.DoubleType())])
@@ -289,7 +291,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
         for part in slices(batches, SLICE_ROWS, 1, SLICE_CHARS):
             probs, evid, found = [], [], []
             for text in part.column(1).to_pylist():
-                if m.log_odds is None:
+                if m.table is None:
                     e, passages, p = 0.0, [], m.share
                 else:
                     s = scorer.scores(words(text))
