@@ -13,8 +13,10 @@ only buckets with several members go on:
    windows with the same anchor are one row. Anchors whose q-gram bucket has one member are done.
 2. *Context buckets.* Rows are refined by the identifiers of their first and last window. All windows of
    a row in a bucket with several members repeat.
-3. *Window buckets.* What is left (edges of passages, places near an edit) is refined to depth 200, one
-   row a window, together with one row for each repeated context of the same q-gram bucket.
+3. *Window buckets.* What is left (edges of passages, places near an edit) is refined to depth 200, together
+   with one row for each repeated context of the same q-gram bucket. The contexts of a q-gram bucket go to
+   one task with their bytes if they are at most ``CONTEXTS``; larger buckets are dealt out as one row a
+   window, so that no task gets an unbounded group. Both ways are exact.
 
 Equal texts are one text with a count from the start; with a count above one every window repeats. Texts
 are kept in a table bucketed by fingerprint and length, so that later steps join marks to them without
@@ -47,9 +49,11 @@ REACH = LENGTH - Q + 1                 # q-grams of a window
 PIECE = 1 << 20                        # bytes worked on at once
 SLICE_ROWS = 4_000
 PLACE_BITS = 24
+CONTEXTS = 4_096                       # of a q-gram bucket that one task refines
 _U = np.uint64
 
 ANCHORS = "ah long, ch long, did long, size int, start int, n int"
+CONTEXT = "ah long, did long, size int, start int, context binary"
 WINDOWS = "w1 long, w2 long, did long, size int, start int"
 RESULT = "did long, size int, n_removed long, n_spans long, kept_sha256 string"
 
@@ -167,37 +171,100 @@ def _anchor_batches(batches):
                     ["ah", "ch", "did", "size", "start", "n"])
 
 
+def _cut(part):
+    """Row, first window and bytes of each marked context: columns did, size, text, marks (start, n, ah)."""
+    for i, (text, marks) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+        data = text.encode()
+        for m in marks:
+            yield i, m, data[m["start"]:m["start"] + m["n"] + LENGTH - 1]
+
+
+def depth_ids(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Depth-200 identifiers (two hashes) of all windows of the contexts; context and place of each."""
+    grams = _qgrams(np.frombuffer(b"".join(contexts), np.uint8))
+    lens = np.array([len(c) for c in contexts])
+    n = lens - LENGTH + 1
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    p = np.repeat(np.cumsum(lens) - lens, n) + inner
+    return _windows(grams, 1)[p], _windows(grams, 2)[p], np.repeat(np.arange(len(lens)), n), inner
+
+
+def _stretches(sizes: list[int], most: int):
+    """Ranges of items with at most ``most`` bytes together (a larger item alone)."""
+    at = 0
+    while at < len(sizes):
+        stop, total = at, 0
+        while stop < len(sizes) and (stop == at or total + sizes[stop] <= most):
+            total += sizes[stop]
+            stop += 1
+        yield at, stop
+        at = stop
+
+
 def _window_batches(batches):
-    """Depth-200 identifiers of the marked windows: columns did, size, text, marks (start, n)."""
+    """One row a window, for the q-gram buckets with very many contexts."""
     with np.errstate(over="ignore"):
         for part in slices(batches, SLICE_ROWS, 2, PIECE):
             did, size = (part.column(k).to_numpy() for k in (0, 1))
-            rows, starts, cut = [], [], []
-            for i, (text, marks) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-                data = text.encode()
-                for m in marks:
-                    rows.append(i)
-                    starts.append(m["start"])
-                    cut.append(data[m["start"]:m["start"] + m["n"] + LENGTH - 1])
-            at = 0
-            while at < len(cut):
-                stop, total = at, 0
-                while stop < len(cut) and (stop == at or total + len(cut[stop]) <= PIECE):
-                    total += len(cut[stop])
-                    stop += 1
-                grams = _qgrams(np.frombuffer(b"".join(cut[at:stop]), np.uint8))
-                lens = np.array([len(c) for c in cut[at:stop]])
-                n = lens - LENGTH + 1
-                begin = np.cumsum(lens) - lens
-                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                p = np.repeat(begin, n) + inner
-                row = np.repeat(np.array(rows[at:stop]), n)
+            cut = list(_cut(part))
+            for a, b in _stretches([len(c[2]) for c in cut], PIECE):
+                w1, w2, of, inner = depth_ids([c[2] for c in cut[a:b]])
+                row = np.array([c[0] for c in cut[a:b]])[of]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_windows(grams, 1)[p].view(np.int64)), pa.array(_windows(grams, 2)[p].view(np.int64)),
-                     pa.array(did[row]), pa.array(size[row], pa.int32()),
-                     pa.array(np.repeat(np.array(starts[at:stop]), n) + inner, pa.int32())],
+                    [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(did[row]),
+                     pa.array(size[row], pa.int32()),
+                     pa.array(np.array([c[1]["start"] for c in cut[a:b]])[of] + inner, pa.int32())],
                     ["w1", "w2", "did", "size", "start"])
-                at = stop
+
+
+def _context_batches(batches):
+    """One row a context, with its bytes."""
+    for part in slices(batches, SLICE_ROWS, 2, PIECE):
+        cut = list(_cut(part))
+        if cut:
+            take = pa.array([c[0] for c in cut])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[1]["ah"] for c in cut], pa.int64()), part.column(0).take(take), part.column(1).take(take),
+                 pa.array([c[1]["start"] for c in cut], pa.int32()), pa.array([c[2] for c in cut], pa.binary())],
+                ["ah", "did", "size", "start", "context"])
+
+
+def _refine_batches(batches):
+    """Rows of a partition in order of their q-gram bucket: runs of windows that repeat within the bucket."""
+    def runs(rows):
+        if len(rows) < 2:
+            return
+        w1, w2, of, inner = depth_ids([r[4] for r in rows])
+        order = np.lexsort((w2, w1))                        # sorting into depth-200 buckets
+        a, b = w1[order], w2[order]
+        same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        again = np.zeros(len(order), bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        at = np.flatnonzero(again)
+        if not len(at):
+            return
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (of[at][1:] != of[at][:-1])
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(at)))
+        row, start = of[at[first]], inner[at[first]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows[i][1] for i in row], pa.int64()), pa.array([rows[i][2] for i in row], pa.int32()),
+             pa.array([rows[i][3] + k for i, k in zip(row.tolist(), start.tolist(), strict=True)], pa.int32()),
+             pa.array(n, pa.int32())], ["did", "size", "start", "n"])
+
+    held: list[tuple] = []
+    size = 0
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if held and size > PIECE and row[0] != held[-1][0]:       # between buckets only
+                    yield from runs(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[4])
+        yield from runs(held)
 
 
 def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -233,7 +300,8 @@ def _removal_batches(batches):
 
 
 def _marks(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("did", "size").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    ah = [c for c in ("ah",) if c in rows.columns]
+    return rows.groupBy("did", "size").agg(F.collect_list(F.struct("start", "n", *ah)).alias("marks"))
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,19 +317,26 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = materialise(rows.join(several, "ah"), "shared-anchors")
     # 2. context buckets
     mixed = shared.filter("not alike")
-    contexts = mixed.groupBy("ah", "ch").agg(F.count(F.lit(1)).alias("k"),
-                                             F.min(F.struct("did", "size", "start")).alias("one"))
-    mixed = materialise(mixed.join(contexts, ["ah", "ch"])
-                        .select("did", "size", "start", "n", (F.col("k") > 1).alias("repeats"),
-                                (F.struct("did", "size", "start") == F.col("one")).alias("one")), "mixed-anchors")
+    contexts = materialise(mixed.groupBy("ah", "ch").agg(F.count(F.lit(1)).alias("k"),
+                                                         F.min(F.struct("did", "size", "start")).alias("one")), "contexts")
+    many = contexts.groupBy("ah").agg((F.count(F.lit(1)) > CONTEXTS).alias("many"))
+    here = F.struct("did", "size", "start")
+    mixed = materialise(mixed.join(contexts, ["ah", "ch"]).join(many, "ah")
+                        .select("ah", "did", "size", "start", "n", "many", (F.col("k") > 1).alias("repeats"),
+                                (here == F.col("one")).alias("one")), "mixed-anchors")
     sure = (shared.filter("alike").select("did", "size", "start", "n")
             .unionByName(mixed.filter("repeats").select("did", "size", "start", "n")))
-    # 3. window buckets
-    wins = (texts.join(_marks(mixed.filter("one or not repeats")), ["did", "size"])
-            .select("did", "size", "text", "marks").mapInArrow(_window_batches, WINDOWS))
-    wins = materialise(wins, "windows")
+    # 3. window buckets: together where the contexts of a q-gram bucket are few, else a row a window
+    open_ = mixed.filter("one or not repeats")
+
+    def with_text(rows):
+        return texts.join(_marks(rows), ["did", "size"]).select("did", "size", "text", "marks")
+
+    edges = (with_text(open_.filter("not many")).mapInArrow(_context_batches, CONTEXT)
+             .repartition("ah").sortWithinPartitions("ah").mapInArrow(_refine_batches, "did long, size int, start int, n int"))
+    wins = materialise(with_text(open_.filter("many")).mapInArrow(_window_batches, WINDOWS), "windows")
     again = wins.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("w1", "w2")
-    edges = wins.join(again, ["w1", "w2"]).select("did", "size", "start", F.lit(1).alias("n"))
+    edges = edges.unionByName(wins.join(again, ["w1", "w2"]).select("did", "size", "start", F.lit(1).alias("n")))
 
     marked = texts.filter("copies = 1").join(_marks(sure.unionByName(edges)), ["did", "size"])
     cut = materialise(marked.select("did", "size", "text", "marks").mapInArrow(_removal_batches, RESULT), "kept")

@@ -339,7 +339,9 @@ def test_lines_brute_force(spark):
 
 # ---- 8 substrings ----------------------------------------------------------------------------------
 
-def test_repeated_bytes(spark, awkward, monkeypatch):
+@pytest.mark.parametrize("contexts", [4096, 1])
+def test_repeated_bytes(spark, awkward, monkeypatch, contexts):
+    monkeypatch.setattr(bucket_pointer, "CONTEXTS", contexts)               # both ways of the last step
     monkeypatch.setattr(bucket_pointer, "PIECE", 4096)                      # long texts come in pieces
     bucket_pointer._tables.cache_clear()
     try:
