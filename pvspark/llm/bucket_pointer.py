@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.llm.common import distinct_texts, materialise, text_key
+from pvspark.llm.common import distinct_texts, materialise, small_batches, text_key
 from pvspark.llm.words import slices
 
 LENGTH = 200
@@ -307,6 +307,7 @@ def _marks(rows: DataFrame) -> DataFrame:
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts, name = distinct_texts(docs, id_col, text_col)
     long = texts.filter(F.col("size") >= LENGTH).select("did", "size", "text")
 

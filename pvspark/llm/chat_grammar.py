@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pvspark.llm.common import small_batches
+
 MARKS = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("[ANS]", "</s>")}
 OTHER = ("[ROLE]", "[TEXT]", "[/ROLE]")
 BEGIN = "<s>"
@@ -139,6 +141,7 @@ def _format_batches(batches):
 
 def format_chats(conversations: DataFrame) -> DataFrame:
     """conv_id, formatted, turns (read back), loss_spans, loss: one row per conversation."""
+    small_batches(conversations.sparkSession)
     grouped = (conversations
                .select(F.col("conv_id").cast("bigint").alias("conv_id"),
                        F.struct(F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),

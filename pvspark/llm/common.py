@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of the batches that go to Python tasks: whole texts are long, and a batch is in memory several times.
+ARROW_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send at most ARROW_ROWS rows a batch to Python in this session (it counts rows, not bytes)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; null becomes the empty text."""
     return F.translate(F.coalesce(c, F.lit("")), UPPER, LOWER)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pvspark.llm.common import distinct_texts, materialise, text_key
+from pvspark.llm.common import distinct_texts, materialise, small_batches, text_key
 from pvspark.llm.components import components
 from pvspark.llm.words import slices, words
 
@@ -49,7 +49,7 @@ ELL = 3
 SKETCHES = 18
 SMALL = 8
 STAR = 1_000
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 SLICE_ROWS, SLICE_CHARS = 1_000, 2_000_000
 _U = np.uint64
 
@@ -189,18 +189,17 @@ def _verify_batches(batches):
     """a, b, text_a, text_b -> a, b, similarity."""
     ids = WordIds()
     with np.errstate(over="ignore"):
-        for batch in batches:
-            for part in slices([batch], SLICE_ROWS, 2, SLICE_CHARS):
-                grams, at = [], 0
-                sides = part.column(2).to_pylist() + part.column(3).to_pylist()
-                g, n = kmers(*ids.of(sides))
-                for k in n.tolist():
-                    grams.append(g[at:at + k])
-                    at += k
-                rows = part.num_rows
-                sim = [aligned(grams[i], grams[rows + i]) for i in range(rows)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sim, pa.float64())],
-                                                 ["a", "b", "similarity"])
+        for part in slices(batches, SLICE_ROWS, 2, SLICE_CHARS):
+            grams, at = [], 0
+            sides = part.column(2).to_pylist() + part.column(3).to_pylist()
+            g, n = kmers(*ids.of(sides))
+            for k in n.tolist():
+                grams.append(g[at:at + k])
+                at += k
+            rows = part.num_rows
+            sim = [aligned(grams[i], grams[rows + i]) for i in range(rows)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sim, pa.float64())],
+                                             ["a", "b", "similarity"])
 
 
 NODE = "struct<did:bigint,size:int>"
@@ -271,6 +270,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, class_id (least doc_id of the class), class_size (rows), kept (the row with that id), and the text's
     key (did, size): one row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts, name = distinct_texts(docs, id_col, text_col)
     sketch = materialise(texts.select("did", "size", "text").mapInArrow(_sketch_batches, "key long, did long, size int"),
                          "sketches")

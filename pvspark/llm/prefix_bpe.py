@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pvspark.llm.common import small_batches
+
 #: Fixed values of the vocabulary's pre-tokeniser: its pattern, and Unicode white space.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -215,6 +217,8 @@ def bpe(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
     ``vocabulary`` names the file on every executor.
     """
+    small_batches(docs.sparkSession)
+
     def run(batches):
         enc = load(vocabulary)
         for batch in batches:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pvspark.llm.common import small_batches
 from pvspark.llm.words import slices, words
 
 WINDOW = 13
@@ -192,6 +193,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   share: int = SHARE) -> DataFrame:
     """``row`` (struct of the ``keep`` columns, default all), n_words, n_hit, items (sorted ids), matches
     (word, item_id, item_word, words: the longest verbatim matches), contaminated."""
+    small_batches(docs.sparkSession)
     blocks = _blocks(benchmark, item_id_col, item_text_col, window)
     kept = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)])
     match = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("item_id", T.LongType()),

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pvspark.llm.common import in_fold, materialise
+from pvspark.llm.common import in_fold, materialise, small_batches
 from pvspark.llm.words import slices, words
 
 FEATURES = 200_000
@@ -223,6 +223,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> Model:
     spark = docs.sparkSession
+    small_batches(spark)
     sample, sizes = _sample(labels, held_out)
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     train = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -274,6 +275,7 @@ def _training_batch(rows) -> pa.RecordBatch:
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (struct of the ``keep`` columns, default all), score, evidence, passages (start and stop word,
     score, E-value): one row per document."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row"),
                         F.col(text_col).alias("text"))

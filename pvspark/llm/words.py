@@ -17,15 +17,22 @@ def words(text: str | None) -> list[bytes]:
 
 
 def slices(batches, rows: int, column: int, chars: int) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a piece has at most ``rows`` rows and, unless a single row has more,
+    """Cut and join Arrow batches into pieces of at most ``rows`` rows and, unless a single row has more,
     ``chars`` bytes in the string column ``column``."""
+    held: list[pa.RecordBatch] = []
+    n = size = 0
     for batch in batches:
         sizes = [s or 0 for s in pa.compute.binary_length(batch.column(column)).to_pylist()]
-        start = size = 0
+        start = 0
         for i, s in enumerate(sizes):
-            if i > start and (i - start >= rows or size + s > chars):
-                yield batch.slice(start, i - start)
-                start, size = i, 0
+            if n and (n >= rows or size + s > chars):
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                yield pa.concat_batches(held)
+                held, start, n, size = [], i, 0, 0
+            n += 1
             size += s
         if start < batch.num_rows:
-            yield batch.slice(start)
+            held.append(batch.slice(start))
+    if held:
+        yield pa.concat_batches(held)
