@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pvspark.operators import quality, silver, sinks, validate
-from pvspark.session import scratch_path
+from pvspark.session import remove_path, scratch_path
 
 
 def run_silver(raw: dict[str, DataFrame], orders: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
@@ -36,7 +37,14 @@ def silver_counts(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> Dat
     return u.groupBy("table").agg(F.sum("i").cast("long").alias("rows_in"), F.sum("o").cast("long").alias("rows_out"))
 
 
-RULES = {"reports": validate.report_rules, "articles": validate.article_rules, "posts": validate.post_rules}
+def _label_rules(records: DataFrame) -> list[validate.Rule]:
+    """P16 on flat records; extraction leaves ``openfda_present`` if the payload may lack it."""
+    present = F.col("openfda_present") if "openfda_present" in records.columns else F.lit(True)
+    return validate.label_rules(F.coalesce(present, F.lit(False)))
+
+
+RULES = {"reports": lambda _: validate.report_rules(), "articles": lambda _: validate.article_rules(),
+         "posts": lambda _: validate.post_rules(), "labels": _label_rules}
 
 
 @dataclass
@@ -50,15 +58,18 @@ def run_ingest(spark: SparkSession, source: str, ds: str, records: DataFrame, ro
                suite: str | None = None) -> IngestResult:
     """Validate -> quarantine -> stage -> quality gate -> publish.
 
-    The batch is written once to a staging folder under the shared checkpoint folder (cutting the
-    lineage, so the gate and the publish read materialised rows, not a recomputation); the gate
+    The batch is written once to a staging folder of its own under the shared checkpoint folder (two
+    runs of a day do not meet; cutting the lineage, so the gate and the publish read materialised rows, not a recomputation); the gate
     runs on the staged valid rows and only a passing batch is published as the dated NDJSON
     batch. A failing gate raises ``QualityGateError`` and nothing is published.
     """
-    rules = RULES[source]()
-    stage = scratch_path(spark, f"stage/{source}/ds={ds}")
-    validate.write_split(validate.tag(records, rules), stage)
-    valid = spark.read.parquet(f"{stage}/valid=true").drop("reject_reason")
+    stage = scratch_path(spark, f"stage/{source}/ds={ds}/{uuid.uuid4().hex}")
+    tagged = validate.tag(records, RULES[source](records))
+    validate.write_split(tagged, stage)
+    # a batch without any valid row has no valid=true folder: read the parent with its schema
+    whole = spark.read.schema(tagged.withColumn("valid", F.lit(True)).schema).parquet(stage)
+    valid = whole.filter("valid").drop("reject_reason", "valid", "openfda_present")
     checks = quality.gate(quality.run_named_suite(valid, suite or source))
     published = sinks.write_batch(valid, root, source, ds)
+    remove_path(spark, f"{stage}/valid=true")
     return IngestResult(published, f"{stage}/valid=false", checks)

@@ -236,7 +236,3 @@ def outcome_rates(adv: DataFrame) -> DataFrame:
         F.try_divide(F.col("hospitalization_reports"), t).alias("hospitalization_rate"),
         F.try_divide(F.col("death_reports"), t).alias("death_rate"),
         F.try_divide(F.col("disability_reports"), t).alias("disability_rate"))
-
-
-def normalize_requests_key(df: DataFrame, col: str = "drug_name") -> DataFrame:
-    return df.withColumn(col, rules.norm_key(col))

@@ -169,12 +169,6 @@ def centroids(corpus: DataFrame, key: str = "label", vec_col: str = "embedding")
             .select(key, F.transform("_s", lambda z: z["_m"]).alias(vec_col)))
 
 
-def sq_l2(a: Column, b: Column) -> Column:
-    """Squared L2 distance of two array<float> columns, JVM-side (for small joins / tests)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) ** 2),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
 def profile_query(drug: Column, age_group: Column, risk: Column) -> Column:
     """The profile query text."""
     return F.format_string("%s adverse effects %s patients %s risk", drug, age_group, risk)

@@ -112,11 +112,7 @@ def summary_text(report: DataFrame) -> DataFrame:
     return report.select("request_id", "drug_name", F.concat_ws("\n", *lines).alias("text"))
 
 
-def format_pct_display(c: Column) -> Column:
-    """``x.x%`` display, ``N/A`` for a missing value."""
-    return F.when(c.isNull(), F.lit("N/A")).otherwise(F.concat(_num1(c), F.lit("%")))
-
-
+# Fixed value: the status of a request whose drug is missing.
 NOT_FOUND = "Drug not found or API unavailable"
 
 

@@ -11,7 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.sources.tables import batch_path
+from pvspark.session import remove_path
+from pvspark.sources.tables import batch_path, read_ndjson
 
 # --- fixed values: published (warehouse) schemas -------------------------------------------
 # The reference's warehouse schema drops the three outcome flags (hospitalization, death,
@@ -96,6 +97,14 @@ def choose_target_col(start: Column, today: Column) -> Column:
     return F.when(F.datediff(today, start) <= TRIAL_DAYS, F.lit(TARGETS[0])).otherwise(F.lit(TARGETS[1]))
 
 
+def route(df: DataFrame, table: str, schema: list[tuple[str, str]], target: str = "auto",
+          start: dt.date | None = None, today: dt.date | None = None, as_table: bool = False) -> str:
+    """K6 -> K4 / K5: choose the sink and publish through it; returns the choice."""
+    mode = choose_target(target, start, today)
+    publish(df, table, schema, mode, as_table)
+    return mode
+
+
 def write_batch(df: DataFrame, root: str, source: str, ds: str) -> str:
     """K1: one dated NDJSON batch per (source, day); re-running the day overwrites it."""
     path = batch_path(root, source, ds)
@@ -147,23 +156,37 @@ RAW_PARTITION_EXPR = {
 
 def bronze_load(spark: SparkSession, batch: str, table_path: str, table: str, ds: str) -> DataFrame:
     """A dated NDJSON batch -> the raw table, typed by the declared DDL (never
-    inferred), partitioned by (ds, derived month/day). Dynamic partition overwrite replaces only
-    this batch's ``ds=`` partitions, so re-running a day is idempotent and other days survive.
-    Returns the loaded table (all days)."""
+    inferred), partitioned by (ds, derived month/day). The whole ``ds=`` folder is replaced, so a
+    rerun of a day leaves nothing of its earlier runs (months that have gone included) and other
+    days survive. Lines that are not JSON objects of that shape go to ``quarantine_path`` of the
+    day, not into the table. Returns the loaded table (all days)."""
     cols, part = RAW_DDL[table]
     data_cols = ", ".join(c for c in cols.split(", ") if not part or not c.startswith(part + " "))
-    df = spark.read.schema(data_cols).json(batch).withColumn("ds", F.lit(ds))
-    parts = ["ds"]
-    if part:
-        df = df.withColumn(part, RAW_PARTITION_EXPR[table]())
-        parts.append(part)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(table_path))
+    schema = spark.createDataFrame([], data_cols).schema
+    # written once with the verdict, so the two outputs need one parse of the batch
+    df = read_ndjson(spark, batch, schema).withColumn("ok", F.col("_corrupt_record").isNull())
+    staged = f"{quarantine_path(table_path, ds)}"
+    df.write.mode("overwrite").partitionBy("ok").parquet(staged)
+    good = spark.read.schema(df.schema).parquet(staged).filter("ok").drop("ok", "_corrupt_record")
+    w = (good.withColumn(part, RAW_PARTITION_EXPR[table]()) if part else good).write.mode("overwrite")
+    (w.partitionBy(part) if part else w).parquet(f"{table_path}/ds={ds}")
+    remove_path(spark, f"{staged}/ok=true")
     # read back with the declared types (no partition-value type inference: '0012' stays text)
     return spark.read.schema(f"{data_cols}, ds STRING" + (f", {part} {_ddl_type(cols, part)}" if part else "")) \
         .parquet(table_path)
 
 
+def quarantine_path(table_path: str, ds: str) -> str:
+    """Where ``bronze_load`` keeps the lines of a day that it could not parse."""
+    return f"{table_path.rstrip('/')}_quarantine/ds={ds}"
+
+
+def quarantined(spark: SparkSession, table_path: str, ds: str) -> DataFrame:
+    """The raw text of a day's rejected lines."""
+    return (spark.read.schema("_corrupt_record string, ok boolean").parquet(quarantine_path(table_path, ds))
+            .filter("not ok").select(F.col("_corrupt_record").alias("line")))
+
+
 def _ddl_type(cols: str, name: str) -> str:
     for c in cols.split(", "):
         n, t = c.split(" ", 1)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.operators import jobs, sinks
+from pvspark.operators import jobs, marts, quality, sinks, validate
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import register
-from pvspark.plans.layers import REPORT_ORDER, POST_ORDER, silver_reports_df
+from pvspark.plans.layers import POST_ORDER, REPORT_ORDER, silver_labels_df, silver_reports_df
+from pvspark.session import scratch_path
 from pvspark.sources import fixtures
-from pvspark.sources.tables import read_table
+from pvspark.sources.tables import read_catalog_table, read_table
 
 # Published schema of the reports plus one column the silver table does not have (-> NULL).
 PUBLISHED = sinks.REPORTS_SCHEMA + [("source_batch", "VARCHAR")]
@@ -69,20 +75,129 @@ def q_clean_all(spark, sf_dir):
 
 
 @register("bronze_load", fixtures.oracle_ctes("reports_raw") + """
-SELECT substr(report_date, 1, 6) AS report_month, count(*) AS n FROM reports_raw GROUP BY 1""")
+, r AS (SELECT * FROM reports_raw WHERE report_date NOT LIKE '1995%')
+SELECT report_month, n, malformed FROM (
+  SELECT substr(report_date, 1, 6) AS report_month, count(*) AS n, 0::BIGINT AS malformed FROM r GROUP BY 1
+  UNION ALL SELECT 'malformed', 0, count(*) FROM r WHERE tie2 % 10 = 0)""")
 def q_bronze_load(spark, sf_dir):
-    """K1 + F4: every raw report written as the dated NDJSON batch, loaded into the raw table
-    (typed DDL, partitioned by ds / report_month) twice - the rerun must not duplicate - and
-    counted per month partition."""
-    import uuid
-
-    from pvspark.session import scratch_path
+    """K1 + F4: every raw report written as the dated NDJSON batch and loaded into the raw table (typed DDL,
+    partitioned by ds / report_month). The day is then run again with the reports of one year gone and with broken
+    lines added: the table must lose those months, and the broken lines must be in quarantine."""
     root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
-    raw = fixtures.reports_raw(spark, sf_dir).drop("tie1", "tie2", "tie3", "tie4")
-    path = sinks.write_batch(raw, f"{root}/raw", "faers", "2024-01-01")
+    raw = fixtures.reports_raw(spark, sf_dir)
+    plain = ["tie1", "tie2", "tie3", "tie4"]
+    path = sinks.write_batch(raw.drop(*plain), f"{root}/raw", "faers", "2024-01-01")
     sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
+    less = raw.filter(~F.col("report_date").startswith("1995"))
+    lines = less.select(F.to_json(F.struct(*[c for c in raw.columns if c not in plain])).alias("value")).unionByName(
+        less.filter("tie2 % 10 = 0").select(F.concat(F.lit('{"report_id": '), F.col("report_id"), F.lit(" oops")).alias("value")))
+    lines.write.mode("overwrite").text(path)
     table = sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
-    return table.groupBy("report_month").agg(F.count(F.lit(1)).alias("n"))
+    bad = sinks.quarantined(spark, f"{root}/faers_events", "2024-01-01")
+    none = F.lit(0).cast("bigint")
+    return (table.groupBy("report_month").agg(F.count(F.lit(1)).alias("n")).withColumn("malformed", none)
+            .unionByName(bad.agg(F.count(F.lit(1)).alias("malformed")).withColumn("n", none)
+                         .withColumn("report_month", F.lit("malformed"))))
+
+
+_GATED = {
+    # view, extra condition of the batch, id, valid, does the suite pass
+    "reports": ("reports_raw", "TRUE", "report_id", "drug_name IS NOT NULL AND drug_name <> '' AND severity IN ('1', '2')", False),
+    "articles": ("articles_raw", "length(abstract) BETWEEN 10 AND 10000", "article_id",
+                 "title <> '' AND abstract <> ''", True),
+    "posts": ("posts_raw", "TRUE", "post_id", "body <> ''", False),
+    "labels": ("labels_raw", "warnings IS NOT NULL", "drug_id", "CAST(drug_id AS INT) % 9 <> 0", True),
+}
+
+
+@register("ingest_gated", fixtures.oracle_ctes("reports_raw", "posts_raw", "articles_raw", "labels_raw") + "\n"
+          + "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS source, count(*) FILTER (WHERE {ok}) AS kept, count(*) FILTER (WHERE NOT coalesce({ok}, FALSE)) AS quarantined,
+       {f"count(*) FILTER (WHERE {ok})" if passes else "0::BIGINT"} AS published FROM {v} WHERE {batch}"""
+    for t, (v, batch, _, ok, passes) in _GATED.items()))
+def q_ingest_gated(spark, sf_dir):
+    """X4 + Q8 for all four sources: rows kept, rows quarantined, rows published. Reports and posts hold repeated
+    ids, so their gate must fail and publish nothing; articles of allowed length and labels with warnings pass."""
+    root = scratch_path(spark, f"gated-{uuid.uuid4().hex}")
+    raw = {"reports": fixtures.reports_raw(spark, sf_dir).drop("tie1", "tie2", "tie3", "tie4"),
+           "articles": fixtures.articles_raw(spark, sf_dir), "posts": fixtures.posts_raw(spark, sf_dir).drop("tie1"),
+           "labels": fixtures.labels_raw(spark, sf_dir).withColumn("openfda_present", F.col("drug_id").cast("int") % 9 != 0)}
+    out = None
+    for source, (_, batch, key, _, _) in _GATED.items():
+        records = raw[source].filter(F.expr(batch))
+        tagged = validate.tag(records, jobs.RULES[source](records))
+        counts = tagged.agg(F.count_if(F.col("reject_reason").isNull()).alias("kept"),
+                            F.count_if(F.col("reject_reason").isNotNull()).alias("quarantined"))
+        try:
+            path = jobs.run_ingest(spark, source, "2024-01-01", records, root).published
+            n = spark.read.schema(f"{key} string").json(path).agg(F.count(F.lit(1))).scalar()
+        except quality.QualityGateError:
+            n = F.lit(0).cast("bigint")
+        row = counts.select(F.lit(source).alias("source"), "kept", "quarantined", n.alias("published"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("raw_scan_ndjson", fixtures.oracle_ctes("posts_raw") + """
+SELECT count(*) AS n, count(DISTINCT post_id) AS ids, sum(score)::BIGINT AS score,
+       (SELECT count(*) FROM posts_raw WHERE tie1 % 101 = 0) AS malformed
+FROM posts_raw WHERE tie1 % 101 <> 0""")
+def q_raw_scan_ndjson(spark, sf_dir):
+    """Posts written as JSON lines, some broken, scanned with a declared schema."""
+    from pvspark.sources.tables import read_ndjson
+    path = f"{scratch_path(spark, f'scan-{uuid.uuid4().hex}')}/in"
+    posts = fixtures.posts_raw(spark, sf_dir)
+    good = F.to_json(F.struct("post_id", "score"))
+    posts.select(F.when(F.col("tie1") % 101 == 0, F.concat(F.lit("{broken "), F.col("post_id"))).otherwise(good).alias("value")) \
+        .write.text(path)
+    rows = read_ndjson(spark, path, spark.createDataFrame([], "post_id string, score int").schema)
+    ok = F.col("_corrupt_record").isNull()
+    return rows.agg(F.count_if(ok).alias("n"), F.count_distinct(F.when(ok, F.col("post_id"))).alias("ids"),
+                    F.sum(F.when(ok, F.col("score"))).alias("score"), F.count_if(~ok).alias("malformed"))
+
+
+@register("publish_routed", O.with_layers(["reports_raw"], O.SILVER_REPORTS) + """
+SELECT 'append' AS target, 2 * count(*) AS n, 2 * count(*) FILTER (WHERE is_serious) AS serious FROM silver_reports
+UNION ALL SELECT 'overwrite', count(*), count(*) FILTER (WHERE is_serious) FROM silver_reports""")
+def q_publish_routed(spark, sf_dir):
+    """K4 / K5 / K6: the router publishes the silver reports twice in the trial (append: twice the rows) and twice
+    after it (overwrite: the rows once)."""
+    root = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
+    reports = silver_reports_df(spark, sf_dir)
+    start = dt.date(2024, 1, 1)
+    out = None
+    for day in (dt.date(2024, 1, 31), dt.date(2024, 2, 1)):
+        for _ in range(2):
+            target = sinks.route(reports, f"{root}/{day}", sinks.REPORTS_SCHEMA, "auto", start, day)
+        got = spark.read.parquet(f"{root}/{day}").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_serious").alias("serious"))
+        row = got.select(F.lit(target).alias("target"), "n", "serious")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("clean_tables", O.with_layers(["reports_raw", "labels_raw"], O.SILVER_REPORTS, O.SILVER_LABELS, O.ADVERSE) + """
+SELECT 'clean_reports' AS name, count(*) AS n FROM silver_reports
+UNION ALL SELECT 'clean_labels', count(*) FROM silver_labels
+UNION ALL SELECT 'mart_adverse', count(*) FROM adverse
+UNION ALL SELECT 'stg_reports', count(*) FROM silver_reports
+UNION ALL SELECT 'raw_columns', 12 + 7 + 9 + 6""")
+def q_clean_tables(spark, sf_dir):
+    """S11 + K3 + K9 + K10 + P20: raw tables by DDL; clean tables and a mart saved (twice: create or replace), read back
+    from the catalog, and a staging view over them."""
+    db = f"pv_{uuid.uuid4().hex}"
+    raw = sinks.create_raw_tables(spark, db, location=scratch_path(spark, db))
+    reports = silver_reports_df(spark, sf_dir)
+    frames = {"clean_reports": reports, "clean_labels": silver_labels_df(spark, sf_dir),
+              "mart_adverse": marts.adverse_profile(reports)}
+    for name, df in frames.items():
+        for _ in range(2):
+            sinks.save_table(df, f"{db}.{name}")
+    sinks.register_views({f"stg_reports_{db}": read_catalog_table(spark, f"{db}.clean_reports")})
+    parts = [read_catalog_table(spark, f"{db}.{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in frames]
+    parts.append(spark.table(f"stg_reports_{db}").agg(F.count(F.lit(1)).alias("n")).select(F.lit("stg_reports").alias("name"), "n"))
+    width = sum(len(spark.table(t).columns) for t in raw)
+    parts.append(read_catalog_table(spark, raw[0]).agg((F.count(F.lit(1)) + width).alias("n")).select(F.lit("raw_columns").alias("name"), "n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("key_value_roundtrip", fixtures.oracle_ctes("posts_raw") + """

@@ -36,11 +36,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared filesystem folder and is left alone. Only when it is
-    unset (local tests) is a scratch folder created and registered.
+    On a cluster this setting names a shared filesystem folder and is left alone; without it the
+    job stops, since executors cannot see each other's local folders. Only a ``local[...]`` master
+    (tests) gets a scratch folder of its own.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="pvspark-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
@@ -51,3 +54,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system that holds it (any Hadoop store)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -4,8 +4,9 @@ Source: a Kafka topic in production (``format("kafka")``, value bytes) or a fold
 files (tests; same downstream plan). Each message is decoded JVM-side (``try_parse_json`` ->
 VARIANT), validated with the consumer's rules, enriched with the keyword tagger, and written by
 ``foreachBatch`` as ONE partitioned write per micro-batch (``is_valid=true`` rows and the
-``is_valid=false`` quarantine with its reason) to ``batch=<id>`` folders, so a replayed batch
-overwrites its own output: the sink is idempotent under the checkpoint's at-least-once replay.
+``is_valid=false`` quarantine with its reason) to ``query=<id>/batch=<id>`` folders. The query id is
+the checkpoint's, so a replayed batch overwrites its own output (the sink is idempotent under
+at-least-once replay) and a new checkpoint never overwrites an older query's batches.
 
 Dedup (ST2/U2) is ``dropDuplicatesWithinWatermark(["post_id"])``: state is bounded by the
 watermark delay, unlike the reference's ever-growing in-memory id set. Duplicates farther apart
@@ -23,9 +24,11 @@ from pvspark.operators.validate import post_rules, reason
 
 DECODE_ERROR = "could not decode message"
 
-# --- fixed values: micro-batch sizing of the consumer ---------------------------------------
-# A batch closes at 100 messages or after 10 seconds.
-MAX_PER_TRIGGER = 100
+NOT_A_TIME = "created_utc is not a timestamp"
+
+# --- fixed values: micro-batch timing of the consumer ---------------------------------------
+# An idle consumer flushes after 10 seconds; a full one at once. A batch here holds whatever has
+# arrived, so there is no limit of messages unless the caller gives one.
 TRIGGER = {"processingTime": "10 seconds"}
 # ------------------------------------------------------------------------------------------
 
@@ -71,9 +74,10 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     typed = df.select(text.alias("raw"), v.alias("_v"), is_obj.alias("_obj"))
     typed = typed.select("raw", "_obj", *[F.try_variant_get("_v", f"$.{n}", t).alias(n) for n, t in MESSAGE_FIELDS])
-    typed = typed.withColumn("created_utc", F.col("created_utc").try_cast("timestamp"))
-    why = F.when(~F.col("_obj"), F.lit(DECODE_ERROR)).otherwise(reason(post_rules()))
-    return typed.withColumn("reject_reason", why).drop("_obj")
+    # presence is tested on the text of the message; text that is no time has a reason of its own
+    when = F.col("created_utc").try_cast("timestamp")
+    why = F.when(~F.col("_obj"), F.lit(DECODE_ERROR)).otherwise(reason([*post_rules(), (NOT_A_TIME, when.isNull())]))
+    return typed.withColumn("reject_reason", why).drop("_obj").withColumn("created_utc", when)
 
 
 def enrich(df: DataFrame, terms=DRUG_KEYWORDS) -> DataFrame:
@@ -82,22 +86,29 @@ def enrich(df: DataFrame, terms=DRUG_KEYWORDS) -> DataFrame:
     return df.withColumn("drug_mentions", F.coalesce(F.col("drug_mentions"), tag_all(hay, terms)))
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that owns a checkpoint (its metadata file, written before the first batch)."""
+    row = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
+    return row["id"]
+
+
 def write_batches(decoded: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                   query_name: str | None = None, quality_out: str | None = None) -> StreamingQuery:
-    """K2 + K11 + ST4: valid rows and quarantine, one partitioned overwrite per batch id.
+    """K2 + K11 + ST4: valid rows and quarantine, one partitioned overwrite per query and batch id.
 
     With ``quality_out`` the posts suite (Q7) also runs on each batch's valid rows and its
-    per-check results are written to ``quality_out/batch=<id>`` (recorded, not a gate: a stream
+    per-check results are written below ``quality_out`` likewise (recorded, not a gate: a stream
     keeps running). The micro-batch is persisted for the two passes and released afterwards."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        part = f"query={_query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
         tagged = batch.withColumn("is_valid", F.col("reject_reason").isNull())
         if quality_out:
             tagged = tagged.persist()
-        tagged.write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/batch={batch_id}")
+        tagged.write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/{part}")
         if quality_out:
             from pvspark.operators.quality import run_named_suite
             valid = tagged.filter("is_valid").drop("is_valid", "reject_reason", "raw")
-            run_named_suite(valid, "posts").write.mode("overwrite").parquet(f"{quality_out}/batch={batch_id}")
+            run_named_suite(valid, "posts").write.mode("overwrite").parquet(f"{quality_out}/{part}")
             tagged.unpersist()
 
     w = decoded.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -108,10 +119,10 @@ def write_batches(decoded: DataFrame, out: str, checkpoint: str, trigger: dict |
 
 def start_ingest(spark: SparkSession, out: str, checkpoint: str, source: str = "kafka", path: str | None = None,
                  options: dict | None = None, trigger: dict | None = None,
-                 max_per_trigger: int = MAX_PER_TRIGGER, quality_out: str | None = None,
+                 max_per_trigger: int | None = None, quality_out: str | None = None,
                  terms=DRUG_KEYWORDS) -> StreamingQuery:
-    """S8 + ST1-ST6 wired together with the consumer's batching (100 messages / 10 s);
-    pass ``trigger={"availableNow": True}`` to drain what is there and stop."""
+    """S8 + ST1-ST6 wired together with the consumer's 10-second batches;
+    ``max_per_trigger`` limits a batch only if given (files or offsets); pass ``trigger={"availableNow": True}`` to drain what is there and stop."""
     stream = enrich(decode_messages(read_messages(spark, source, path, options, max_per_trigger)), terms)
     return write_batches(stream, out, checkpoint, trigger or TRIGGER, quality_out=quality_out)
 
@@ -131,16 +142,17 @@ def write_append(df: DataFrame, out: str, checkpoint: str, trigger: dict | None
 
 
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    df = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    df = spark.read.option("basePath", out).parquet(f"{out}/query=*/batch=*")
     return df.withColumn("is_valid", F.col("is_valid").cast("boolean"))
 
 
 def message_json(posts: DataFrame, seq: Column) -> Column:
     """Posts -> message text. ``seq`` picks rows to corrupt: every 101st is not JSON, every
-    103rd a JSON list (both undecodable)."""
+    103rd a JSON list (both undecodable), every 47th has a time that is none."""
     body = F.to_json(F.struct(
         F.col("post_id"), F.col("subreddit"), F.col("title"), F.col("body"), F.col("score"),
-        F.date_format("created_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_utc"),
+        F.when(seq % 47 == 0, F.lit("yesterday")).otherwise(
+            F.date_format("created_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).alias("created_utc"),
         F.col("drug_mentions")))
     return (F.when(seq % 101 == 0, F.concat(F.lit("not json {"), seq.cast("string")))
             .when(seq % 103 == 0, F.concat(F.lit("["), seq.cast("string"), F.lit("]")))
