@@ -2,27 +2,24 @@
 
 Exact kNN plan
 --------------
-The query set is small and its size is CHECKED (``max_queries``); it is shipped to executors as
-a broadcast numpy matrix. Each corpus partition is scanned once by ``mapInPandas``: Arrow batches
-are turned into a matrix, squared L2 distances to every query are computed in bounded chunks, and
-only the partition's best ``k`` candidates per query leave the task. A final
-``row_number() <= k`` over (query) ranks the ``k x partitions`` candidates. The corpus is never
-shuffled or joined, no (query, vector) pair table is materialised, and a filter value (e.g. a
-label holding a third of the corpus) only masks distances, so skew does not concentrate work.
-Query sets above ``max_queries`` are processed in hash blocks of at most ``max_queries``.
+One path for any number of queries, any id type and any filter. The corpus is dealt out by (filter
+key, part): a key with n vectors has ceil(n / PART) parts, so a key that holds a third of the corpus
+is many small parts and an unfiltered search is the same thing with one key. Queries are joined to the
+parts of their key (a query without a filter value goes to all of them) and meet their vectors in a
+cogroup: one part and its queries are multiplied as matrices, only near candidates are recomputed
+exactly, and ``k`` rows a query leave the part. A final ``row_number() <= k`` ranks those. Nothing is
+collected to the driver, and no (query, vector) pair table exists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 4096          # broadcast bound: 4096 x 1024 float64 = 32 MiB
-_CHUNK_ELEMS = 8_000_000    # bound on (queries x rows x dims) elements per numpy step
+PART = 20_000               # vectors of a part
+QUERY_BLOCK = 512           # queries multiplied with a part at once
 
 
 def prepare_corpus(articles: DataFrame) -> DataFrame:
@@ -64,109 +61,76 @@ def tfidf_embed(df: DataFrame, text_col: str, fit_df: DataFrame | None = None, n
     return tfidf_apply(tfidf_model(fit_df if fit_df is not None else df, text_col, num_features), df, out_col)
 
 
-def _block_knn(corpus: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, q_keys: np.ndarray | None,
-               k: int, id_col: str, vec_col: str, filter_col: str | None, q_type: str = "long") -> DataFrame:
-    sc = corpus.sparkSession.sparkContext
-    bq = sc.broadcast((q_ids, q_mat, q_keys))
-    cols = [id_col, vec_col] + ([filter_col] if filter_col else [])
-
-    def part_topk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_q, Q, keys_q = bq.value
-        nq = len(ids_q)
-        q_nofilter = (np.array([kq is None or (isinstance(kq, float) and np.isnan(kq)) for kq in keys_q], dtype=bool)
-                      if keys_q is not None else None)
-        best_d = np.full((nq, 0), np.inf)
-        best_i = np.zeros((nq, 0), dtype=np.int64)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf[pdf[vec_col].notna()]
-            if pdf.empty:
-                continue
-            C = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            cid = pdf[id_col].to_numpy().astype(np.int64)
-            ckey = pdf[filter_col].to_numpy() if filter_col else None
-            step = max(1, _CHUNK_ELEMS // max(1, nq * C.shape[1]))
-            for s in range(0, len(C), step):
-                Cs, ids_s = C[s:s + step], cid[s:s + step]
-                diff = Cs[None, :, :] - Q[:, None, :]
-                d = np.einsum("qnd,qnd->qn", diff, diff)
-                if ckey is not None:
-                    mask = (keys_q[:, None] == ckey[s:s + step][None, :]) | q_nofilter[:, None]
-                    d = np.where(mask, d, np.inf)
-                allD = np.concatenate([best_d, d], axis=1)
-                allI = np.concatenate([best_i, np.broadcast_to(ids_s, d.shape)], axis=1)
-                keep = min(k, allD.shape[1])
-                order = np.lexsort((allI, allD), axis=1)[:, :keep]
-                best_d = np.take_along_axis(allD, order, axis=1)
-                best_i = np.take_along_axis(allI, order, axis=1)
-        rows_q, rows_i, rows_d = [], [], []
-        for qi in range(nq):
-            ok = np.isfinite(best_d[qi])
-            rows_q.extend([ids_q[qi]] * int(ok.sum()))
-            rows_i.append(best_i[qi][ok])
-            rows_d.append(best_d[qi][ok])
-        if nq:
-            yield pd.DataFrame({"query_id": pd.Series(rows_q, dtype=object if q_type == "string" else "int64"),
-                                "vec_id": np.concatenate(rows_i), "distance": np.concatenate(rows_d)})
-
-    schema = f"query_id {q_type}, vec_id long, distance double"
-    return corpus.select(*cols).mapInPandas(part_topk, schema)
+def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the k nearest rows (by exact squared L2 distance, then id): positions and distances.
+
+    A matrix product ranks all rows; those within rounding error of the k-th are recomputed exactly.
+    """
+    norms = np.einsum("nd,nd->n", vectors, vectors)
+    out = []
+    for at in range(0, len(queries), QUERY_BLOCK):
+        block = queries[at:at + QUERY_BLOCK]
+        rough = norms[None, :] - 2.0 * (block @ vectors.T) + np.einsum("qd,qd->q", block, block)[:, None]
+        for q, d in zip(block, rough, strict=True):
+            if len(d) > k:
+                limit = np.partition(d, k - 1)[k - 1]
+                near = np.flatnonzero(d <= limit + 1e-9 * (1.0 + norms.max() + q @ q))
+            else:
+                near = np.arange(len(d))
+            diff = vectors[near] - q
+            exact = np.einsum("nd,nd->n", diff, diff)
+            order = np.lexsort((ids[near], exact))[:k]
+            out.append((near[order], exact[order]))
+    return out
 
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding", filter_col: str | None = None,
-        query_filter_col: str | None = None, max_queries: int = MAX_QUERIES) -> DataFrame:
+        query_filter_col: str | None = None, part: int = PART) -> DataFrame:
     """Exact k nearest corpus rows per query by squared L2 distance (the vector store's
     default metric), optionally restricted to corpus rows whose ``filter_col`` equals the query's
     ``query_filter_col`` (a NULL query value means no filter). Ties break on the smaller id.
-    Returns (query_id, rank, vec_id, distance, similarity = 1 - distance)."""
-    qcols = [query_id_col, query_vec_col] + ([query_filter_col] if query_filter_col else [])
-    q_type = "string" if dict(queries.dtypes)[query_id_col] == "string" else "long"
-    if q_type == "long":
-        queries = queries.withColumn(query_id_col, F.col(query_id_col).cast("long"))
-    # common case: one bounded collect; only an oversized query set is counted and blocked
-    first = queries.select(*qcols).limit(max_queries + 1).collect()
-    if len(first) <= max_queries:
-        nblocks, blocks = 1, [first]
-    else:
-        n = queries.count()
-        nblocks = 2 * (-(-n // max_queries))        # hash blocks average half the bound
-        blocks = None
-    parts = []
-    for b in range(nblocks):
-        if blocks is not None:
-            rows = blocks[b]
-        else:
-            qb = queries.filter(F.pmod(F.xxhash64(F.col(query_id_col)), F.lit(nblocks)) == b)
-            rows = qb.select(*qcols).limit(max_queries + 1).collect()
-        if len(rows) > max_queries:
-            raise ValueError("a query block exceeds the broadcast bound (duplicated query ids?)")
-        if not rows:
-            continue
-        q_ids = np.array([r[0] for r in rows], dtype=object if q_type == "string" else np.int64)
-        q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-        q_keys = np.array([r[2] for r in rows], dtype=object) if query_filter_col else None
-        parts.append(_block_knn(corpus, q_ids, q_mat, q_keys, k, id_col, vec_col,
-                                filter_col if query_filter_col else None, q_type))
-    if not parts:
-        spark = corpus.sparkSession
-        return spark.createDataFrame([], f"query_id {q_type}, rank int, vec_id long, distance double, similarity double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    Returns (query_id, rank, vec_id, distance, similarity = 1 - distance). Ids keep their type; rows
+    that repeat a query id are one query and must have the same vector; NULL vectors never match."""
+    filtered = bool(filter_col and query_filter_col)
+    key = F.col(filter_col).cast("string") if filtered else F.lit("")
+    rows = corpus.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v"), key.alias("key")).filter("v is not null")
+    parts = (rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts")))
+    dealt = (rows.join(parts.withColumnRenamed("key", "part_key"), F.col("key").eqNullSafe(F.col("part_key")))
+             .select("vec_id", "v", "key", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part")))
+    asked = (queries.select(F.col(query_id_col).alias("query_id"), F.col(query_vec_col).alias("q"),
+                            (F.col(query_filter_col).cast("string") if filtered else F.lit(None).cast("string")).alias("want"))
+             .filter("q is not null").dropDuplicates(["query_id"]))
+    slots = parts.select(F.col("key").alias("slot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("n"))
+    some = asked.filter("want is not null").join(slots, F.col("want") == F.col("slot"))
+    every = asked.filter("want is null").withColumn("one", F.lit(1)).join(slots.withColumn("one", F.lit(1)), "one")
+    sent = some.select("query_id", "q", "slot", "n").unionByName(every.select("query_id", "q", "slot", "n"))
+
+    def search(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if c.empty or q.empty:
+            return pd.DataFrame({"query_id": q["query_id"][:0], "vec_id": c["vec_id"][:0], "distance": np.zeros(0)})
+        vectors = np.stack(c["v"].to_numpy()).astype(np.float64)
+        ids = c["vec_id"].to_numpy()
+        found = nearest(vectors, ids, np.stack(q["q"].to_numpy()).astype(np.float64), k)
+        return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(), [len(p) for p, _ in found]),
+                             "vec_id": ids[np.concatenate([p for p, _ in found])],
+                             "distance": np.concatenate([d for _, d in found])})
+
+    types = {f.name: f.dataType.simpleString() for f in [*asked.schema, *rows.schema]}
+    cand = (dealt.groupBy("key", "part").cogroup(sent.groupBy("slot", "n"))
+            .applyInPandas(search, f"query_id {types['query_id']}, vec_id {types['vec_id']}, distance double"))
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col("vec_id").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "distance", (F.lit(1.0) - F.col("distance")).alias("similarity")))
 
 
 def centroids(corpus: DataFrame, key: str = "label", vec_col: str = "embedding") -> DataFrame:
-    """Mean vector per key (e.g. one query per label): positional explode, partial-aggregated
-    per (key, position), then reassembled in position order. Output: (key, embedding)."""
-    pos = corpus.select(key, F.posexplode(vec_col).alias("_i", "_x"))
-    m = pos.groupBy(key, "_i").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    return (m.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_s"))
-            .select(key, F.transform("_s", lambda z: z["_m"]).alias(vec_col)))
+    """Mean vector per key (e.g. one query per label), as one vector aggregate. Output: (key, embedding)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    mean = corpus.groupBy(key).agg(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("_m"))
+    return mean.select(key, vector_to_array("_m").alias(vec_col))
 
 
 def profile_query(drug: Column, age_group: Column, risk: Column) -> Column:
@@ -174,8 +138,7 @@ def profile_query(drug: Column, age_group: Column, risk: Column) -> Column:
     return F.format_string("%s adverse effects %s patients %s risk", drug, age_group, risk)
 
 
-def context_text(hits: DataFrame, key: str = "query_id", clip: int = 1000, sep: str = "\n\n",
-                 empty_text: Column | None = None) -> DataFrame:
+def context_text(hits: DataFrame, key: str = "query_id", clip: int = 1000, sep: str = "\n\n") -> DataFrame:
     """Per key, hits ordered by rank as ``[id] title (year):\\nabstract[:clip]`` joined by
     ``sep``. The list per key is bounded by k."""
     line = F.format_string("[%s] %s (%s):\n%s", F.col("article_id"), F.col("title"),
@@ -190,26 +153,30 @@ def digest_context(profiles: DataFrame, articles: DataFrame, k: int = 5, clip: i
     context that would be handed to the language model: the profile query text is embedded with
     the TF-IDF model fitted on the article abstracts, the k nearest abstracts OF THAT DRUG are
     retrieved, and formatted; no hit -> "No relevant research found for <drug>."."""
-    corpus = prepare_corpus(articles).withColumn("_vid", F.col("article_id").try_cast("long")) \
-        .filter(F.col("_vid").isNotNull())
+    corpus = prepare_corpus(articles)
     model = tfidf_model(corpus, "abstract", num_features)
     emb = tfidf_apply(model, corpus)
     q = profiles.withColumn("abstract", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
     qe = tfidf_apply(model, q)
-    hits = knn(emb.select("_vid", "embedding", "drug_name"), qe.select(
+    hits = knn(emb.select("article_id", "embedding", "drug_name"), qe.select(
         F.col("profile_id").alias("query_id"), "embedding", F.col("drug_name").alias("q_drug")),
-        k=k, id_col="_vid", filter_col="drug_name", query_filter_col="q_drug")
-    meta = corpus.select("_vid", "article_id", "title", "publish_year", "abstract")
-    ctx = context_text(hits.join(meta, hits["vec_id"] == meta["_vid"]), key="query_id", clip=clip)
+        k=k, id_col="article_id", filter_col="drug_name", query_filter_col="q_drug")
+    meta = corpus.select("article_id", "title", "publish_year", "abstract")
+    ctx = context_text(hits.join(meta, hits["vec_id"] == meta["article_id"]), key="query_id", clip=clip)
     out = profiles.join(ctx.withColumnRenamed("query_id", "profile_id"), "profile_id", "left")
     none = F.format_string("No relevant research found for %s.", F.col("drug_name"))
     return out.select("profile_id", "drug_name", F.coalesce(F.col("text"), none).alias("text"))
 
 
-def research_list_text(hits: DataFrame, key: str = "query_id", clip: int = 300) -> DataFrame:
-    """R6 list form: ``- [id] title (year): abstract[:clip]`` lines."""
+def research_list_text(hits: DataFrame, key: str = "query_id", clip: int = 300,
+                       asked: DataFrame | None = None) -> DataFrame:
+    """R6 list form: ``- [id] title (year): abstract[:clip]`` lines. With ``asked`` (key, name) every asked key has
+    a row; one without a hit says "No relevant research papers found for <name>."."""
     line = F.format_string("- [%s] %s (%s): %s", F.col("article_id"), F.col("title"),
                            F.col("publish_year").cast("string"), F.substring("abstract", 1, clip))
     agg = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("_l"))
-    return agg.select(key, F.array_join(F.transform("_l", lambda s: s["line"]), "\n").alias("text"))
-
+    text = agg.select(key, F.array_join(F.transform("_l", lambda s: s["line"]), "\n").alias("text"))
+    if asked is None:
+        return text
+    none = F.format_string("No relevant research papers found for %s.", F.col("name"))
+    return asked.join(text, key, "left").select(key, F.coalesce("text", none).alias("text"))

@@ -29,7 +29,7 @@ def test_knn_matches_brute_force(spark, filtered):
     q = emb.filter(F.col("vec_id") < 12).select(F.col("vec_id").alias("query_id"), "embedding",
                                                F.col("label").alias("query_label"))
     kw = {"filter_col": "label", "query_filter_col": "query_label"} if filtered else {}
-    hits = retrieve.knn(emb, q, k=7, max_queries=5, **kw)       # 3 query blocks
+    hits = retrieve.knn(emb, q, k=7, part=40, **kw)            # many parts a key
     got = {}
     for r in hits.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
@@ -49,6 +49,37 @@ def test_knn_ties_missing_filter_and_large_k(spark):
     assert got[11] == [3, 4]                # k larger than the filtered corpus
 
 
+def test_knn_string_ids_and_repeated_queries(spark):
+    corpus = spark.createDataFrame([(f"PMC{i}", [float(i % 7), float(i % 5)], f"d{i % 2}") for i in range(60)] + [("none", None, "d1")],
+                                   "vec_id string, embedding array<float>, label string")
+    queries = spark.createDataFrame([("a", [1.0, 1.0], "d1"), ("a", [1.0, 1.0], "d1"), ("b", [0.0, 0.0], None)],
+                                    "query_id string, embedding array<float>, want string")
+    for part in (5, 10_000):
+        hits = retrieve.knn(corpus, queries, k=4, filter_col="label", query_filter_col="want", part=part)
+        got = {(r.query_id, r.rank): r.vec_id for r in hits.collect()}
+        assert [got["a", r] for r in (1, 2, 3, 4)] == sorted(
+            (f"PMC{i}" for i in range(60) if i % 2), key=lambda x: ((int(x[3:]) % 7 - 1) ** 2 + (int(x[3:]) % 5 - 1) ** 2, x))[:4]
+        assert got["b", 1] == "PMC0" and len(got) == 8
+    assert retrieve.knn(corpus.limit(0), queries, k=4).count() == 0 and retrieve.knn(corpus, queries.limit(0), k=4).count() == 0
+
+
+def test_digest_context_takes_any_id(spark):
+    articles = spark.createDataFrame([("PMC1", "t1", "alpha beta", "A", 2000), ("PMC2", "t2", "gamma delta", "A", None)],
+                                     "article_id string, title string, abstract string, drug_name string, publish_year int")
+    profiles = spark.createDataFrame([("p", "A", "18-34", "LOW"), ("q", "Z", "18-34", "LOW")],
+                                     "profile_id string, drug_name string, age_group string, risk_label string")
+    got = {r.profile_id: r.text for r in retrieve.digest_context(profiles, articles).collect()}
+    assert "[PMC1] t1 (2000):" in got["p"] and "[PMC2] t2 (0):" in got["p"]
+    assert got["q"] == "No relevant research found for Z."
+
+
+def test_research_list_empty_result(spark):
+    hits = spark.createDataFrame([("a", 1, "7", "t", 1999, "x" * 400)], "query_id string, rank int, article_id string, title string, publish_year int, abstract string")
+    asked = spark.createDataFrame([("a", "A"), ("b", "B")], "query_id string, name string")
+    got = {r.query_id: r.text for r in retrieve.research_list_text(hits, asked=asked).collect()}
+    assert got == {"a": "- [7] t (1999): " + "x" * 300, "b": "No relevant research papers found for B."}
+
+
 def test_tfidf_embeddings_are_unit_vectors(spark):
     docs = read_table(spark, SF_TINY, "documents").select("doc_id", "text")
     e = retrieve.tfidf_embed(docs, "text", num_features=64).select("embedding").limit(20).toPandas()
