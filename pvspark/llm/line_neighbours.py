@@ -28,32 +28,41 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.llm.common import ascii_lower, materialise
+from pvspark.llm.common import materialise
 
 MIN_WORDS = 8
 LAST = (1 << 63) - 1                   # place of a null doc_id
-SPACES = r"[\t\x0B\f\r ]+"
+SPACES = "\t\x0b\f\r"              # and the space itself
+
+
+def _plain(line: Column) -> Column:
+    """The words of a line with one space between; only lines that need it pay for the regular expression."""
+    line = F.trim(F.when(line.rlike(f"[{SPACES}]"), F.translate(line, SPACES, "    ")).otherwise(line))
+    return F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
 
 
 def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k, n (hash and number of words), place (doc, did, line), words: one row per line that isn't blank."""
+    """k, n (hash and number of words), place (doc, did, line), words (joined by single spaces): one row per line
+    that isn't blank."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = (docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
-                         F.xxhash64(text).alias("did"), F.posexplode(F.split(ascii_lower(text), "\n")).alias("line", "t"))
-             .withColumn("words", F.filter(F.split("t", SPACES), lambda w: w != "")))
-    return (lines.filter(F.size("words") > 0)
-            .select(F.xxhash64("words").alias("k"), F.size("words").alias("n"),
-                    F.struct("doc", "did", "line").alias("place"), "words"))
+                         F.xxhash64(text).alias("did"), F.posexplode(F.split(F.lower(text), "\n")).alias("line", "t"))
+             .select(F.struct("doc", "did", "line").alias("place"), _plain(F.col("t")).alias("words")))
+    return (lines.filter("words != ''")
+            .select(F.xxhash64("words").alias("k"),
+                    (F.octet_length("words") - F.octet_length(F.replace("words", F.lit(" "), F.lit(""))) + 1).alias("n"),
+                    "place", "words"))
 
 
 def _halves(n: Column, words: Column) -> Column:
     """Keys of both halves, as a line of its length and as one of a word less: (hash, side)."""
-    def pair(m, tag):
+    def pair(m):
         h = F.floor(m / 2).cast("int")
-        return [F.struct(F.xxhash64(F.lit(f"head{tag}"), m, F.slice(words, 1, h)).alias("half"), F.lit(True).alias("head")),
-                F.struct(F.xxhash64(F.lit(f"tail{tag}"), m, F.slice(words, n - m + h + 1, m - h)).alias("half"),
+        return [F.struct(F.xxhash64(F.lit("head"), m, F.call_function("substring_index", words, F.lit(" "), h)).alias("half"),
+                         F.lit(True).alias("head")),
+                F.struct(F.xxhash64(F.lit("tail"), m, F.call_function("substring_index", words, F.lit(" "), h - m)).alias("half"),
                          F.lit(False).alias("head"))]
-    return F.array(*pair(n, ""), *pair(n - 1, ""))
+    return F.array(*pair(n), *pair(n - 1))
 
 
 def _without(words: Column, n: Column, i: Column) -> Column:
@@ -84,9 +93,10 @@ def _near(lines: DataFrame) -> DataFrame:
     drop = F.array_distinct(F.concat(
         F.when(F.col("head"), F.sequence(F.floor((n - 1) / 2).cast("int") + 1, n)).otherwise(F.array().cast("array<int>")),
         F.when(F.col("tail"), F.sequence(F.lit(1), F.floor(n / 2).cast("int") + 1)).otherwise(F.array().cast("array<int>"))))
-    keys = F.concat(F.array(F.struct(F.lit(0).alias("i"), F.xxhash64(n, F.col("words")).alias("v"))),
-                    F.transform(drop, lambda i: F.struct(i.alias("i"), F.xxhash64(n - 1, _without(F.col("words"), n, i)).alias("v"))))
-    variants = materialise(lines.join(able, ["k", "n"]).select("k", "n", "first", F.explode(keys).alias("x"))
+    keys = F.concat(F.array(F.struct(F.lit(0).alias("i"), F.xxhash64(n, F.col("ws")).alias("v"))),
+                    F.transform(drop, lambda i: F.struct(i.alias("i"), F.xxhash64(n - 1, _without(F.col("ws"), n, i)).alias("v"))))
+    variants = materialise(lines.join(able, ["k", "n"]).withColumn("ws", F.split("words", " "))
+                           .select("k", "n", "first", F.explode(keys).alias("x"))
                            .select("k", "n", "first", "x.i", "x.v"), "line-variants")
     ref = F.struct(F.col("first"), F.col("k"), F.col("n"))
     least = variants.groupBy("v", "i").agg(F.min(ref).alias("ref"), F.count(F.lit(1)).alias("c"))
@@ -104,7 +114,7 @@ def _near(lines: DataFrame) -> DataFrame:
         F.col("k").alias("xk"), F.col("n").alias("xn"), F.col("words").alias("xw"), F.col("ref.first").alias("partner"),
         F.col("ref.k").alias("k"), F.col("ref.n").alias("n"))
     return (mine.join(lines.select("k", "n", "words"), ["k", "n"])
-            .filter(_one_edit(F.col("xw"), F.col("words")))
+            .filter(_one_edit(F.split("xw", " "), F.split("words", " ")))
             .select(F.col("xk").alias("k"), F.col("xn").alias("n"), "partner"))
 
 
@@ -146,7 +156,7 @@ def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .agg(F.count_if(~F.col("near")).alias("n_equal"), F.count_if("near").alias("n_alike"),
                  F.array_sort(F.collect_list("line")).alias("gone")))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    n_lines = F.size(F.filter(F.split(text, "\n"), lambda t: F.regexp_replace(t, SPACES, "") != ""))
+    n_lines = F.size(F.filter(F.split(text, "\n"), lambda t: F.trim(F.translate(t, SPACES, "    ")) != ""))
     zero = F.lit(0).cast("bigint")
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),

@@ -99,7 +99,7 @@ _WORDS_SQL = r"regexp_extract_all(l, '[^\t\x0B\f\r ]+')"
 
 
 @_register("op7_line_neighbours", f"""
-WITH s AS (SELECT doc_id, string_split({_LOW}, chr(10)) AS ls FROM documents),
+WITH s AS (SELECT doc_id, string_split(lower(coalesce(text, '')), chr(10)) AS ls FROM documents),
 e AS (SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS line, unnest(ls) AS l FROM s),
 p AS (SELECT doc_id, line, doc_id * 1000000 + line AS pos, {_WORDS_SQL} AS w FROM e WHERE len({_WORDS_SQL}) > 0),
 g AS (SELECT w, len(w) AS n, min(pos) AS first_pos FROM p GROUP BY w),
