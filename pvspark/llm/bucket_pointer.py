@@ -59,15 +59,14 @@ RESULT = "did long, size int, n_removed long, n_spans long, kept_sha256 string"
 
 
 @cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random byte values; powers of an odd base and of its inverse (mod 2^64) for one piece."""
+def _tables(bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Random byte values; powers of an odd base and of its inverse (mod 2^64) for 2^bits bytes."""
     values = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=_U)
     base = 0x9E3779B97F4A7C15
     inverse = pow(base, -1, 1 << 64)
-    n = PIECE + 2 * LENGTH
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate([[_U(1)], np.full(n, base, _U)]), dtype=_U)
-        back = np.cumprod(np.concatenate([[_U(1)], np.full(n, inverse, _U)]), dtype=_U)
+        powers = np.cumprod(np.concatenate([[_U(1)], np.full((1 << bits) - 1, base, _U)]), dtype=_U)
+        back = np.cumprod(np.concatenate([[_U(1)], np.full((1 << bits) - 1, inverse, _U)]), dtype=_U)
     return values, powers, back
 
 
@@ -82,8 +81,8 @@ def _mix(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
 
 def _qgrams(data: np.ndarray) -> np.ndarray:
     """Identifier of the Q bytes from each position on."""
-    values, powers, back = _tables()
     n = len(data)
+    values, powers, back = _tables(max(16, n.bit_length()))
     sums = np.empty(n + 1, _U)
     sums[0] = 0
     np.cumsum(values[data] * powers[:n], out=sums[1:])
