@@ -1,9 +1,9 @@
 """Dictionary matching on text columns: contains-any, all-matches tagging, first-match tagging.
 
-Terms are either a Python list (a fixed vocabulary, inlined as a literal array) or a Column
-holding an ``array<string>`` (e.g. a scalar subquery over a dictionary table, see
-``terms_column``). Matching is case-insensitive substring containment, evaluated JVM-side by
-the ``filter`` / ``exists`` higher-order functions: no Python worker, no join.
+A Python list of terms (a fixed vocabulary that the caller holds) is inlined as a literal array;
+matching is case-insensitive substring containment, evaluated JVM-side by the ``filter`` /
+``exists`` higher-order functions: no Python worker, no join. A dictionary TABLE of any size is
+matched by ``match_dictionary``, a join on n-grams.
 """
 
 from __future__ import annotations
@@ -31,11 +31,6 @@ SAFETY_TERMS = ["side effects", "adverse reaction", "overdose", "withdrawal", "d
 UNKNOWN = "unknown"
 # ------------------------------------------------------------------------------------------
 
-# A literal / broadcast dictionary above this many terms is refused: a larger vocabulary must be
-# matched with a join, not inlined into every task.
-MAX_INLINE_TERMS = 10_000
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -46,29 +41,11 @@ def _terms(terms) -> Column:
     if isinstance(terms, Column):
         return terms
     terms = list(terms)
-    if len(terms) > MAX_INLINE_TERMS:
-        raise ValueError(f"{len(terms)} terms exceed the inline bound {MAX_INLINE_TERMS}")
     if not terms:
         return F.array().cast("array<struct<t:string,l:string>>")
     return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t.lower()).alias("l")) for t in terms])
 
 
-def terms_column(dictionary: DataFrame, col: str = "term", max_terms: int = MAX_INLINE_TERMS) -> Column:
-    """Sorted distinct dictionary as a scalar-subquery Column (``array<struct<t, l>>``).
-
-    Evaluated once per query and shipped to tasks as a constant. Its size is checked inside the
-    subquery itself: more than ``max_terms`` distinct terms raises instead of silently
-    broadcasting an unbounded value. Project it into a column before using it in the taggers
-    (Spark does not allow subqueries inside lambda functions).
-    """
-    pairs = F.sort_array(F.collect_set(F.struct(F.col(col).alias("t"), F.lower(F.col(col)).alias("l"))))
-    agg = dictionary.agg(
-        F.when(F.count_distinct(col) > F.lit(max_terms),
-               F.raise_error(F.lit(f"dictionary larger than {max_terms} terms")))
-        .otherwise(pairs).alias("terms"))
-    return agg.scalar()
-
-
 def _with_hay(text, fn) -> Column:
     """Evaluate ``lower(text)`` ONCE per row and hand it to ``fn`` as a lambda variable (a
     reference to an outer expression inside a lambda would be re-evaluated per term)."""
@@ -99,3 +76,43 @@ def tag_first(text, terms: Sequence[str] | Column) -> Column:
     t = _c(text)
     first = F.get(matches(t, terms), 0)
     return F.when(t.isNull() | (t == F.lit("")), F.lit(UNKNOWN)).otherwise(F.coalesce(first, F.lit(UNKNOWN)))
+
+
+GRAM = 4            # characters of a key of the dictionary join; shorter terms are their own key
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Distinct n-grams of a text (none for shorter texts)."""
+    return F.when(F.length(text) >= n, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, F.lit(n))))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def match_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: str = "term", out: str = "terms") -> DataFrame:
+    """J6 / J8 for a dictionary table of any size: ``df`` plus ``out``, the array of all terms that the text contains
+    (case-insensitively), in the terms' order; null for a text without a match.
+
+    Each term is keyed by its rarest n-gram in the dictionary, each different text emits its distinct n-grams, an
+    equi-join brings candidates together and ``contains`` decides. Texts travel as hashes and are joined back to
+    their candidates, so a text that many rows share is matched once. A frequent n-gram is split by Spark's
+    skew-join handling; nothing is broadcast or collected, and no term x text table exists.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+    terms = (dictionary.select(F.col(col).alias("t")).filter("t is not null and t != ''").distinct()
+             .withColumn("l", F.lower("t")))
+    grams = terms.select("t", "l", F.explode(F.when(F.length("l") < GRAM, F.array("l")).otherwise(_grams(F.col("l"), GRAM))).alias("g"))
+    rarity = grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    keyed = grams.join(rarity, "g").groupBy("t", "l").agg(F.min(F.struct("n", "g")).alias("k")).select("t", "l", F.col("k.g").alias("g"))
+    rows = df.withColumns({"__hay": low, "__h": F.xxhash64(low)})
+    hays = rows.select("__h", "__hay").distinct()
+    sizes = F.flatten(F.array(*[_grams(F.col("__hay"), n) for n in range(1, GRAM + 1)]))
+    found = (hays.select("__h", F.explode(sizes).alias("g")).join(keyed, "g").select("__h", "t", "l")
+             .join(hays, "__h").filter(F.contains("__hay", F.col("l")))
+             .groupBy("__h", "__hay").agg(F.array_sort(F.collect_set("t")).alias(out)))
+    return rows.join(found, ["__h", "__hay"], "left").drop("__h", "__hay")
+
+
+def tag_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: str = "term", out: str = "drug_mentions") -> DataFrame:
+    """J8 with a dictionary table: CSV of every matching term in the terms' order, else ``unknown``."""
+    return (match_dictionary(df, text, dictionary, col, "__terms")
+            .withColumn(out, F.coalesce(F.array_join("__terms", ","), F.lit(UNKNOWN))).drop("__terms"))

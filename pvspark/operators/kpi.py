@@ -24,11 +24,10 @@ def post_mentions(posts: DataFrame, match: str = "key", drugs: DataFrame | None
     ``match="key"``: explode the CSV and key by ``upper(trim(name))``, an equi-join key (differs
     from the reference's substring test only when one drug name contains another).
     ``match="substring"``: the reference's rule - a post mentions every drug (from ``drugs``,
-    column ``drug_name``) whose name occurs case-insensitively anywhere in its CSV. The drug
-    names are a size-checked dictionary value (scalar subquery), matched per row by the tagger,
-    so no post x drug cross join is formed.
+    column ``drug_name``) whose name occurs case-insensitively anywhere in its CSV, by the n-gram
+    join of ``functions.text.match_dictionary`` (a dictionary of any size, no cross join).
     """
-    from pvspark.functions.text import matches, terms_column
+    from pvspark.functions.text import match_dictionary
 
     if match == "key":
         names = F.array_distinct(F.filter(F.transform(F.split(F.col("drug_mentions"), ","), rules.norm_key),
@@ -38,10 +37,8 @@ def post_mentions(posts: DataFrame, match: str = "key", drugs: DataFrame | None
     if match == "substring":
         if drugs is None:
             raise ValueError("substring matching needs the drug dictionary")
-        d = drugs.select(F.col("drug_name").alias("term")).filter(F.col("term").isNotNull() & (F.col("term") != ""))
-        p = posts.filter(F.col("drug_mentions").isNotNull()).withColumn("_terms", terms_column(d, "term"))
-        return (p.select("*", F.explode(matches(F.col("drug_mentions"), F.col("_terms"))).alias("drug_name_key"))
-                .drop("_terms"))
+        p = match_dictionary(posts.filter(F.col("drug_mentions").isNotNull()), F.col("drug_mentions"), drugs, "drug_name", "_terms")
+        return p.select("*", F.explode("_terms").alias("drug_name_key")).drop("_terms")
     raise ValueError(match)
 
 

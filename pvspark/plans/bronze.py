@@ -9,6 +9,7 @@ from pvspark.functions import dates, text
 from pvspark.operators import validate
 from pvspark.plans.base import int_guard, register, round_doubles
 from pvspark.sources import extract, fixtures
+from pvspark.sources.tables import read_table
 
 # ---- payload builders: driver rows -> the nested shapes the sources deliver ---------------
 
@@ -213,10 +214,28 @@ def q_reject_counts(spark, sf_dir):
 
 @register("tag_all_keywords", fixtures.oracle_ctes("posts_raw") + "\nSELECT tie1 AS event_id, drug_mentions FROM posts_raw")
 def q_tag_all_keywords(spark, sf_dir):
-    """J8 with a dictionary table (distinct part names) shipped as one scalar-subquery value."""
+    """J8 with a dictionary table (distinct part names), by the n-gram join."""
     return fixtures.posts_raw(spark, sf_dir).select(F.col("tie1").alias("event_id"), "drug_mentions")
 
 
+@register("tag_large_dictionary", """
+WITH w AS (SELECT DISTINCT unnest(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS term FROM documents),
+d AS (SELECT term FROM w WHERE length(term) >= 9),
+m AS (SELECT b.item_id, count(*) AS n, string_agg(d.term, ',' ORDER BY d.term) AS terms
+      FROM benchmark b JOIN d ON contains(lower(b.text), d.term) GROUP BY b.item_id)
+SELECT item_id, (SELECT count(*) FROM d) > 10000 AS large, coalesce(n, 0) AS n_terms, md5(coalesce(terms, '')) AS terms_md5
+FROM benchmark LEFT JOIN m USING (item_id)""")
+def q_tag_large_dictionary(spark, sf_dir):
+    """J6 / J8 beyond any literal list: every benchmark passage tagged with all long words of the documents."""
+    words = (read_table(spark, sf_dir, "documents")
+             .select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("term"))
+             .filter(F.length("term") >= 9).distinct())
+    hits = text.match_dictionary(read_table(spark, sf_dir, "benchmark"), F.col("text"), words)
+    large = words.agg(F.count(F.lit(1)) > 10000).scalar()
+    return hits.select("item_id", large.alias("large"), F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("n_terms"),
+                       F.md5(F.coalesce(F.array_join("terms", ","), F.lit(""))).alias("terms_md5"))
+
+
 # Test vocabulary for first-match tagging over article titles (frequent tokens of the prose).
 TITLE_TERMS = ["Adderall", "the", "de", "der", "and"]
 _TITLE_LIST = "[" + ", ".join(f"'{t}'" for t in TITLE_TERMS) + "]"

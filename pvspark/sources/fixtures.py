@@ -132,14 +132,10 @@ def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with ``drug_mentions`` filled by the all-matches tagger over title + body."""
     from pyspark.sql import functions as F
 
-    from pvspark.functions.text import tag_all, terms_column
+    from pvspark.functions.text import tag_dictionary
 
-    base = posts_base(spark, sf_dir)
-    terms = terms_column(drug_dictionary(spark, sf_dir), "term")
     hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
-    # the subquery value is projected first: Spark refuses subqueries inside lambda functions
-    return (base.withColumn("_terms", terms).withColumn("drug_mentions", tag_all(hay, F.col("_terms")))
-            .drop("_terms"))
+    return tag_dictionary(posts_base(spark, sf_dir), hay, drug_dictionary(spark, sf_dir))
 
 
 # DuckDB twin of posts_raw: same adapter plus the tagger written with list_filter.

@@ -63,13 +63,20 @@ def test_contains_any_null_is_false(spark):
                 lambda c: text.contains_any(c, text.WITHDRAWAL_TERMS)) == [False, True, False]
 
 
-def test_terms_column_size_guard(spark):
-    d = spark.createDataFrame([("a",), ("b",), ("c",)], "term string")
-    ok = spark.range(1).select(text.terms_column(d, "term", max_terms=5).alias("t")).collect()[0].t
-    assert [x.t for x in ok] == ["a", "b", "c"]
-    import pytest
-    with pytest.raises(Exception):
-        spark.range(1).select(text.terms_column(d, "term", max_terms=2).alias("t")).collect()
+def test_match_dictionary_against_contains(spark):
+    import random
+    rng = random.Random(1)
+    terms = {"".join(rng.choices("abAB ", k=rng.randrange(1, 7))) for _ in range(300)} | {"abab", "ABAB", "é", ""}
+    texts = ["".join(rng.choices("abc ABé", k=rng.randrange(0, 30))) for _ in range(80)] + [None, "", "ab", "ab"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, terms0 string")
+    d = spark.createDataFrame([(t,) for t in [*terms, None, "ab"]], "term string")
+    got = {r.i: r.terms for r in text.match_dictionary(df, F.col("text"), d).collect()}
+    for i, t in enumerate(texts):
+        want = sorted(x for x in terms | {"ab"} if x and x.lower() in (t or "").lower())
+        assert (got[i] or []) == want
+    tagged = {r.i: r.m for r in text.tag_dictionary(df, F.col("text"), d.limit(0), out="m").collect()}
+    assert set(tagged.values()) == {"unknown"} and len(tagged) == len(texts)
+
 
 
 def test_pub_date_forms(spark):
