@@ -85,7 +85,7 @@ def article_xml(docs: DataFrame) -> DataFrame:
                         lambda p: F.concat(F.lit("<AbstractText>"), _xml_escape(p), F.lit("</AbstractText>")))
     xml = F.concat(
         F.lit("<PubmedArticle><MedlineCitation><PMID>"), did.cast("string"), F.lit("</PMID><Article><ArticleTitle>"),
-        _xml_escape(F.substring("text", 1, 60)), F.lit("</ArticleTitle><Abstract>"), F.array_join(parts, ""),
+        _xml_escape(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))), F.lit("</ArticleTitle><Abstract>"), F.array_join(parts, ""),
         F.lit("</Abstract><Journal><JournalIssue><PubDate>"), pubdate,
         F.lit("</PubDate></JournalIssue></Journal></Article></MedlineCitation></PubmedArticle>"))
     return docs.select(xml.alias("xml"))

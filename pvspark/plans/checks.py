@@ -169,16 +169,20 @@ WEIGHTS = [0.0, 70.0]
 
 
 def requests_df(spark, sf_dir):
-    """Scoring requests: every part name with its first letter capitalised x ages x weights."""
-    names = read_table(spark, sf_dir, "part").select(
-        F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30)).alias("drug_name")).distinct()
+    """Scoring requests: every part name with its first letter capitalised and in capitals, and names of no drug
+    (one for each brand), x ages x weights."""
+    part = read_table(spark, sf_dir, "part")
+    names = part.select(F.explode(F.array(
+        F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30)), F.upper("p_name"),
+        F.concat(F.lit("No "), F.col("p_brand")))).alias("drug_name")).distinct()
     return (names.select("drug_name", F.explode(F.array(*[F.lit(a) for a in AGES])).alias("age"))
             .select("drug_name", "age", F.explode(F.array(*[F.lit(w) for w in WEIGHTS])).alias("weight")))
 
 
 _REQ = f"""
 , req AS (SELECT d.drug_name, a.age, CAST(w.weight AS DOUBLE) AS weight
-          FROM (SELECT DISTINCT upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS drug_name FROM part) d,
+          FROM (SELECT upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS drug_name FROM part
+                UNION SELECT upper(p_name) FROM part UNION SELECT 'No ' || p_brand FROM part) d,
                (SELECT unnest([{", ".join(map(str, AGES))}]) AS age) a,
                (SELECT unnest([{", ".join(map(str, WEIGHTS))}]) AS weight) w),
 valid AS (SELECT * FROM req WHERE drug_name IS NOT NULL AND drug_name <> '' AND age BETWEEN 0 AND 120

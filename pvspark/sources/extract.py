@@ -100,8 +100,15 @@ def _xml_text(x: Column, path: str) -> Column:
     return F.nullif(F.xpath_string(x, F.lit(f"{path}/node()[1][self::text()]")), F.lit(""))
 
 
+def split_article_set(df: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """One fetched document with many ``PubmedArticle`` elements -> one row each, in order (``article``)."""
+    each = F.regexp_extract_all(F.col(xml_col), F.lit(r"(?s)<PubmedArticle(?:\s[^>]*)?>.*?</PubmedArticle>"), F.lit(0))
+    return df.select(*[c for c in df.columns if c != xml_col], F.posexplode(each).alias("article", xml_col))
+
+
 def extract_articles(df: DataFrame, xml_col: str = "xml", drug_terms=None) -> DataFrame:
-    """One ``PubmedArticle`` XML string per row -> article record.
+    """One ``PubmedArticle`` XML string per row -> article record (``split_article_set``
+    makes such rows from whole fetches).
 
     Abstract = non-empty AbstractText parts joined by a space, stripped, NULL when empty.
     ``drug_name`` = first dictionary term found in the title (or ``unknown``).
@@ -112,16 +119,16 @@ def extract_articles(df: DataFrame, xml_col: str = "xml", drug_terms=None) -> Da
     art = "//PubmedArticle//Article"
     parts = F.xpath(x, F.lit(f"{art}/Abstract/AbstractText/node()[1][self::text()]"))
     joined = F.array_join(F.filter(parts, lambda p: p != F.lit("")), " ")
-    abstract = F.nullif(F.regexp_replace(joined, r"^\s+|\s+$", ""), F.lit(""))
     pd_ = f"{art}/Journal/JournalIssue/PubDate"
-    title = _xml_text(x, f"{art}/ArticleTitle")
-    out = df.select(
+    # the six parts are extracted once and then used: an XPath evaluation parses the document
+    found = df.select(
         _xml_text(x, "//PubmedArticle//MedlineCitation/PMID").alias("article_id"),
-        title.alias("title"),
-        abstract.alias("abstract"),
-        dates.pub_date(_xml_text(x, f"{pd_}/Year"), _xml_text(x, f"{pd_}/Month"),
-                       _xml_text(x, f"{pd_}/MedlineDate")).alias("publish_date"),
-    )
+        _xml_text(x, f"{art}/ArticleTitle").alias("title"), joined.alias("joined"),
+        _xml_text(x, f"{pd_}/Year").alias("year"), _xml_text(x, f"{pd_}/Month").alias("month"),
+        _xml_text(x, f"{pd_}/MedlineDate").alias("medline"))
+    out = found.select(
+        "article_id", "title", F.nullif(F.regexp_replace("joined", r"^\s+|\s+$", ""), F.lit("")).alias("abstract"),
+        dates.pub_date(F.col("year"), F.col("month"), F.col("medline")).alias("publish_date"))
     terms = drug_terms if drug_terms is not None else DRUG_KEYWORDS
     if isinstance(terms, Column):
         out = out.withColumn("_terms", terms)

@@ -55,22 +55,22 @@ SELECT
   e.ts AS created_utc,
   e.event_id AS tie1
 FROM {events} e
-JOIN {part} a ON a.p_partkey = e.event_id % 199
-JOIN {part} b ON b.p_partkey = (e.event_id * 7) % 193
+JOIN {part} a ON a.p_partkey = e.event_id % (SELECT count(*) FROM {part})
+JOIN {part} b ON b.p_partkey = (e.event_id * 7) % (SELECT count(*) FROM {part})
 """
 
 # Research articles (documents x part).
 ARTICLES_RAW = """
 SELECT
   cast(d.doc_id AS string) AS article_id,
-  substr(d.text, 1, 60) AS title,
-  d.text AS abstract,
+  split_part(d.text, chr(10), 1) AS title,
+  CASE WHEN d.doc_id % 5 = 0 THEN concat(d.text, ' Adverse events') ELSE d.text END AS abstract,
   concat(cast(1990 + d.doc_id % 35 AS string), '-',
          CASE WHEN d.doc_id % 29 = 0 THEN '13'
               ELSE lpad(cast(1 + d.doc_id % 12 AS string), 2, '0') END,
          '-01') AS publish_date,
   CASE WHEN d.doc_id % 7 = 0 THEN 'unknown' ELSE p.p_name END AS drug_name
-FROM {documents} d JOIN {part} p ON p.p_partkey = d.doc_id % 200
+FROM {documents} d JOIN {part} p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM {part})
 """
 
 # Drug labels (part). brand_name is not unique, so the label join fans out (F2).
@@ -80,7 +80,7 @@ SELECT
   CASE WHEN p_partkey % 5 = 0 THEN 'unknown' ELSE p_name END AS brand_name,
   CASE WHEN p_partkey % 10 = 0 THEN 'unknown' ELSE p_type END AS generic_name,
   CASE WHEN p_partkey % 31 = 0 THEN NULL
-       ELSE substr(repeat(concat(p_name, ' '), p_size), 1, 500) END AS warnings,
+       ELSE repeat(concat(p_name, ' '), CASE WHEN p_partkey % 4 = 0 THEN p_size * 5 ELSE p_size END) END AS warnings,
   CASE WHEN p_partkey % 3 = 0 THEN NULL
        WHEN p_partkey % 4 = 0 THEN 'none'
        ELSE concat(p_brand, ', ', p_type, ' ,,') END AS interactions
