@@ -12,13 +12,20 @@ order-preserving Jaccard similarity of five-word shingles; pairs of 0.8 or more
 connected components of the links.
 
 Which candidates are verified. Equal texts are one text from the start. A bucket (equal sketch) of up to
-``SMALL`` texts is compared pair by pair. A larger one is cut into stars of about ``STAR`` members, each
-member being compared with its star's centre and the centres with each other's first; the sketches choose
-centres independently. No link is lost by that: texts of larger buckets that still hold several classes go
-through an exact prefix join. Each text's k-mers are ordered by rarity; two texts of similarity 0.8 share one
-of their first n - ceil(0.8 n) + 1. Texts that share such a k-mer and are in different classes are compared;
-within a k-mer the most frequent class is joined with the others only, so neither a group of near copies
-nor a passage that many texts share makes all pairs.
+``SMALL`` texts is compared pair by pair. In a larger one every text is compared with the bucket's centre, the
+member that meets most others. No link is lost by that: members of larger buckets that still hold several
+classes are joined exactly.
+
+* Two such texts with different centres: k-mers are ordered by rarity, and texts of similarity 0.8 share one
+  of their first n - ceil(0.8 n) + 1 (prefix join).
+* Two texts with the same centre: what they share is either common to both and the centre, or it is not in
+  the centre. Without a shared k-mer outside the centre, each must have 0.8 / 1.8 of both sizes in common with
+  the centre, which is a join on sizes; otherwise they meet in a prefix join over the k-mers that the
+  centre does not have (all of them for texts near the centre). Near copies that differ from their
+  original in different places therefore don't meet each other.
+
+Within a key of these joins, the most frequent class is joined with the others only, so neither a group of near
+copies nor a passage that many texts share makes all pairs.
 
 Texts sit in a table bucketed by fingerprint; sketches, pairs and labels are small rows that go to them.
 
@@ -48,7 +55,8 @@ SIMILAR = 0.8
 ELL = 3
 SKETCHES = 18
 SMALL = 8
-STAR = 1_000
+STAR = 1_000                   # partners of a text in one task
+NEAR = 0.25                    # of a near text's k-mers are not in its centre
 KNOWN_WORDS = 200_000
 SLICE_ROWS, SLICE_CHARS = 1_000, 2_000_000
 _U = np.uint64
@@ -173,16 +181,15 @@ def _sketch_batches(batches):
 
 
 def _kmer_batches(batches):
-    """did, size, label, text -> one row per labelled k-mer."""
+    """node, label, centre, member, text -> one row per labelled k-mer."""
     ids = WordIds()
     with np.errstate(over="ignore"):
-        for part in slices(batches, SLICE_ROWS, 3, SLICE_CHARS):
-            grams, n = kmers(*ids.of(part.column(3).to_pylist()))
+        for part in slices(batches, SLICE_ROWS, 4, SLICE_CHARS):
+            grams, n = kmers(*ids.of(part.column(4).to_pylist()))
             take = pa.array(np.repeat(np.arange(len(n)), n))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), part.column(2).take(take),
-                 pa.array(np.repeat(n, n), pa.int32()), pa.array(grams.view(np.int64))],
-                ["did", "size", "label", "n", "kmer"])
+                [*(part.column(k).take(take) for k in range(4)), pa.array(np.repeat(n, n), pa.int32()),
+                 pa.array(grams.view(np.int64))], ["node", "label", "centre", "member", "n", "kmer"])
 
 
 def _verify_batches(batches):
@@ -206,11 +213,17 @@ NODE = "struct<did:bigint,size:int>"
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among ``pairs(a, b)``: a, b, similarity."""
-    text = texts.select("did", "size", "text")
-    one = (pairs.select("a", "b", F.col("a.did").alias("did"), F.col("a.size").alias("size")).join(text, ["did", "size"])
-           .select("a", F.col("b"), F.col("text").alias("text_a"), F.col("b.did").alias("did"), F.col("b.size").alias("size")))
-    both = one.join(text, ["did", "size"]).select("a", "b", "text_a", F.col("text").alias("text_b"))
+    """Links among ``pairs(a, b)``: a, b, similarity. A text b with more than STAR partners is sent to several
+    tasks, each with a share of them."""
+    text = texts.select(F.struct("did", "size").alias("node"), "did", "size", "text")
+    fans = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("fans"))
+    dealt = pairs.join(fans, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("fans")).cast("int").alias("fan"),
+                                         F.col("a.did").alias("did"), F.col("a.size").alias("size"))
+    left = dealt.join(text.drop("node"), ["did", "size"]).select("a", "b", "fan", F.col("text").alias("text_a"))
+    right = (fans.select("b", "fans", F.col("b.did").alias("did"), F.col("b.size").alias("size"))
+             .join(text.drop("node"), ["did", "size"])
+             .select("b", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"), F.col("text").alias("text_b")))
+    both = left.join(right, ["b", "fan"]).select("a", "b", "text_a", "text_b")
     return (both.mapInArrow(_verify_batches, f"a {NODE}, b {NODE}, similarity double")
             .filter(F.col("similarity") >= SIMILAR))
 
@@ -220,50 +233,74 @@ def _ordered(x, y) -> list:
 
 
 def _bucket_pairs(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of all buckets, and the members (key, node) of larger ones."""
+    """Candidate pairs of all buckets; and the members of larger ones: key, node, centre (of the node)."""
     sizes = sketch.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    rows = materialise(sketch.join(sizes, "key")
-                       .select("key", "members", F.struct("did", "size").alias("node"),
-                               F.pmod(F.xxhash64("did", "key"), F.ceil(F.col("members") / STAR)).alias("star")),
-                       "sketch-members")
+    rows = materialise(sketch.join(sizes, "key").select("key", "members", F.struct("did", "size").alias("node")), "sketch-members")
     few = rows.filter(F.col("members") <= SMALL).select("key", "node")
     other = few.select(F.col("key"), F.col("node").alias("other"))
     pairs = few.join(other, "key").filter("node < other").select(*_ordered(F.col("node"), F.col("other")))
     many = rows.filter(F.col("members") > SMALL)
-    choice = F.struct(F.xxhash64("node.did", "key"), "node")
-    centres = many.groupBy("key", "star").agg(F.min(choice).alias("c")).select("key", "star", "c")
-    first = centres.groupBy("key").agg(F.min("c").alias("f"))
-    stars = many.join(centres, ["key", "star"]).select(F.col("node").alias("x"), F.col("c.node").alias("y"))
-    hubs = centres.join(first, "key").select(F.col("c.node").alias("x"), F.col("f.node").alias("y"))
-    linked = stars.unionByName(hubs).filter("x != y").select(*_ordered(F.col("x"), F.col("y")))
-    return pairs.unionByName(linked).distinct(), many.select("key", "node")
+    # the text that meets most others stands nearest to what a group has in common
+    weight = many.groupBy("node").agg(F.sum("members").alias("weight"))
+    many = many.join(weight, "node").select("key", "node", F.struct("weight", F.xxhash64("node.did").alias("h"), "node").alias("r"))
+    centres = many.groupBy("key").agg(F.max("r").alias("c"))
+    many = materialise(many.join(centres, "key").select("key", "node", "c"), "large-buckets")
+    stars = many.filter("node != c.node").select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+    own = many.groupBy("node").agg(F.max("c").alias("m")).select("node", F.col("m.node").alias("centre"))
+    return pairs.unionByName(stars).distinct(), many.select("key", "node").join(own, "node")
 
 
 def _rest_pairs(many: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of different classes among the members of larger buckets, by an exact prefix join."""
-    labelled = (many.join(labels, "node", "left")
-                .select("key", "node", F.coalesce("label", "node").alias("label")))
+    """Pairs of different classes among the members of larger buckets that may be similar: see the module's text."""
+    labelled = many.join(labels, "node", "left").select("key", "node", "centre", F.coalesce("label", "node").alias("label"))
     split = labelled.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).filter("split").select("key")
-    nodes = labelled.join(split, "key").select("node", "label").distinct()
-    rows = (nodes.select("node.did", "node.size", "label").join(texts.select("did", "size", "text"), ["did", "size"])
-            .select("did", "size", "label", "text")
-            .mapInArrow(_kmer_batches, f"did long, size int, label {NODE}, n int, kmer long"))
+    nodes = labelled.join(split, "key").select("node", "label", "centre").distinct().withColumn("member", F.lit(True))
+    centres = nodes.select(F.col("centre").alias("node")).distinct()
+    extra = (centres.join(nodes.select("node"), "node", "left_anti")
+             .select("node", F.col("node").alias("label"), F.col("node").alias("centre"), F.lit(False).alias("member")))
+    rows = (nodes.unionByName(extra).select("node", "label", "centre", "member", "node.did", "node.size")
+            .join(texts.select("did", "size", "text"), ["did", "size"]).select("node", "label", "centre", "member", "text")
+            .mapInArrow(_kmer_batches, f"node {NODE}, label {NODE}, centre {NODE}, member boolean, n int, kmer long"))
     rows = materialise(rows, "rest-kmers")
-    shared = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"))
-    rank = F.row_number().over(W.partitionBy("did", "size").orderBy("df", "kmer"))
-    prefix = (rows.join(shared, "kmer").withColumn("rank", rank)
-              .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * SIMILAR - 1e-9) + 1)
-              .filter("df > 1").select("kmer", F.struct("did", "size").alias("node"), "label", "n"))
-    prefix = materialise(prefix, "rest-prefixes")
-    per_class = prefix.groupBy("kmer", "label").agg(F.count(F.lit(1)).alias("k"))
-    major = (per_class.groupBy("kmer").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("classes"))
-             .filter("classes > 1").select("kmer", F.col("m.label").alias("major")))
-    minor = prefix.join(major, "kmer").filter("label != major").select(
-        "kmer", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"))
-    return (minor.join(prefix, "kmer")
-            .filter((F.col("xl") != F.col("label"))
-                    & (F.least("n", "xn") >= SIMILAR * F.greatest("n", "xn") - 1e-9))
-            .select(*_ordered(F.col("x"), F.col("node"))).distinct())
+    core = rows.join(centres, "node", "left_semi").select(F.col("node").alias("centre"), "kmer", F.lit(1).alias("core"))
+    rows = rows.filter("member").drop("member")
+    df = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"))
+    by = W.partitionBy("node")
+    ranked = (rows.join(core, ["centre", "kmer"], "left").join(df, "kmer")
+              .withColumn("own", F.when(F.col("core").isNull(), 1).otherwise(0))
+              .withColumns({"rank": F.row_number().over(by.orderBy("df", "kmer")),
+                            "own_rank": F.sum("own").over(by.orderBy("df", "kmer").rowsBetween(W.unboundedPreceding, 0)),
+                            "common": F.col("n") - F.sum("own").over(by)}))
+    length = F.col("n") - F.ceil(F.col("n") * SIMILAR - 1e-9) + 1
+    near = F.col("n") - F.col("common") <= NEAR * F.col("n")
+    ranked = (ranked.withColumns({"any": (F.col("rank") <= length) & (F.col("df") > 1),
+                                  "apart": (F.col("own") == 1) & (F.col("df") > 1) & (near | (F.col("own_rank") <= length))})
+              .filter(F.col("any") | F.col("apart") | (F.col("rank") == 1)))
+    ranked = materialise(ranked.select("node", "label", "centre", "n", "common", "kmer", "rank", "any", "apart"), "rest-prefixes")
+    alike = (F.col("xl") != F.col("label")) & (F.least("n", "xn") >= SIMILAR * F.greatest("n", "xn") - 1e-9)
+
+    def meet(side: DataFrame, on: list[str], also) -> DataFrame:
+        """Pairs on equal keys, the key's most frequent class being joined with the others only."""
+        per_class = side.groupBy(*on, "label").agg(F.count(F.lit(1)).alias("k"))
+        major = (per_class.groupBy(*on).agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("classes"))
+                 .filter("classes > 1").select(*on, F.col("m.label").alias("major")))
+        minor = side.join(major, on).filter("label != major").select(
+            *on, F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"), F.col("centre").alias("xc"))
+        return minor.join(side, on).filter(alike & also).select(*_ordered(F.col("x"), F.col("node")))
+
+    here = ["node", "label", "centre", "n", "kmer"]
+    others = meet(ranked.filter("any").select(*here), ["kmer"], F.col("xc") != F.col("centre"))
+    apart = meet(ranked.filter("apart").select(*here), ["centre", "kmer"], F.lit(True))
+    # no k-mer of their own in common: both must share enough with the centre
+    share = SIMILAR / (1 + SIMILAR)
+    one = ranked.filter("rank = 1").select("node", "label", "centre", "n", "common")
+    low, high = F.ceil(F.col("n") * SIMILAR - 1e-9).cast("int"), F.least(F.col("n"), F.floor(F.col("common") / share + 1e-9).cast("int") - F.col("n"))
+    longer = one.filter(high >= low).select("centre", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"),
+                                            F.explode(F.sequence(low, high)).alias("n"))
+    within = (longer.join(one, ["centre", "n"])
+              .filter((F.col("xl") != F.col("label")) & (F.col("common") >= share * (F.col("n") + F.col("xn")) - 1e-9))
+              .select(*_ordered(F.col("x"), F.col("node"))))
+    return others.unionByName(apart).unionByName(within).distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -107,10 +107,19 @@ def test_near_classes_large_buckets(spark, monkeypatch):
     rng = random.Random(5)
     base, passage = prose(rng, 150, 5000).split(), prose(rng, 60, 5000)
     rows, n = [], 0
-    for _ in range(60):
-        w = list(base)
-        for _ in range(rng.randrange(1, 5)):
-            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+    rows.append((n, " ".join(base)))
+    made = [base]
+    for _ in range(80):                                     # copies and copies of copies, near and far, longer and shorter
+        w = list(rng.choice(made) if rng.random() < 0.3 else base)
+        for _ in range(rng.randrange(1, 8)):
+            at, how = rng.randrange(len(w)), rng.random()
+            if how < 0.6:
+                w[at] = f"e{rng.randrange(10**6)}"
+            elif how < 0.8:
+                del w[at:at + rng.randrange(1, 5)]
+            else:
+                w.insert(at, f"e{rng.randrange(10**6)}")
+        made.append(w)
         rows.append((n := n + 1, " ".join(w)))
     for _ in range(40):
         rows.append((n := n + 1, passage + " " + prose(rng, 40, 10**6)))
