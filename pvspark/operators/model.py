@@ -138,9 +138,10 @@ def load_models(path: str, names: Sequence[str] = tuple(TARGETS)) -> dict | None
 
 
 def baselines(train_df: DataFrame, categorical=CATEGORICAL, continuous=CONTINUOUS) -> DataFrame:
-    """One-row baseline: mean of each numeric, most frequent value of each categorical."""
+    """One-row baseline: mean of each numeric, most frequent value of each categorical (of equally frequent ones
+    the smallest, so the result does not depend on the partitioning)."""
     aggs = [F.avg(c).alias(c) for c in continuous]
-    aggs += [F.mode(c).alias(c) for c in categorical]
+    aggs += [F.mode(c, True).alias(c) for c in categorical]
     return train_df.agg(*aggs)
 
 

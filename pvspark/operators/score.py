@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pvspark.functions import rules
 from pvspark.functions.text import DEPENDENCY_TERMS, NEGATIVE_RESEARCH_TERMS, WITHDRAWAL_TERMS
 from pvspark.operators import kpi, marts
-from pvspark.operators.model import CATEGORICAL, CONTINUOUS, baselines, contributions, positive_probability, scoring_rows
+from pvspark.operators.model import CATEGORICAL, CONTINUOUS, baselines, contributions, positive_probability, scoring_rows, split_column
 
 _ML_COLS = ["drug_name_idx", "age_group_idx", "drug_name_ohe", "age_group_ohe", "features", "rawPrediction", "probability", "prediction", "p1"]
 
@@ -49,7 +49,7 @@ def risk_report(requests: DataFrame, master: DataFrame, posts: DataFrame, articl
     scored = predict_all(rows, models)
 
     contrib = contributions(models["serious"], rows.select("request_id", *CATEGORICAL, *CONTINUOUS),
-                            baselines(train_features), key="request_id")
+                            baselines(train_features.filter(split_column() == "train")), key="request_id")
     shap = contrib.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct(
         "rank", "feature", "contribution"))).alias("_c")).select(
         "request_id",
