@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.llm.common import distinct_texts, materialise, small_batches, text_key
+from pvspark.llm.common import distinct_texts, drop_bucketed, materialise, small_batches, text_key
 from pvspark.llm.words import slices
 
 LENGTH = 200
@@ -344,7 +344,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "did", "size", F.col("size").cast("bigint").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"),
         F.sha2(F.lit(""), 256).alias("kept_sha256"))
     result = materialise(copied.unionByName(cut), "removed")
-    spark.sql(f"DROP TABLE {name}")
+    drop_bucketed(spark, name)
     zero = F.lit(0).cast("bigint")
     text = F.coalesce(F.col(text_col), F.lit(""))
     return (docs.select(F.col(id_col).alias("doc_id"), *text_key(text), F.sha2(text, 256).alias("whole"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.session import scratch_path
+from pvspark.session import remove_path, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -62,18 +62,28 @@ def text_key(c: Column) -> list[Column]:
     return [F.xxhash64(t).alias("did"), F.octet_length(t).alias("size")]
 
 
+def bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, str]:
+    """``df`` as a table bucketed by ``keys`` in the shared scratch folder, and the table's name. Joins on the keys
+    read the buckets in place. The caller ends it with ``drop_bucketed``."""
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    (df.write.option("compression", "zstd").option("path", scratch_path(spark, name))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).saveAsTable(name))
+    return spark.table(name), name
+
+
+def drop_bucketed(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE {name}")
+    remove_path(spark, scratch_path(spark, name))
+
+
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """The different texts (did, size, text, copies, least_id) as a table bucketed by did and size, and its name.
 
     Copies combine map-side, so a text that a third of all rows repeat reaches the shuffle once a task. Joins
-    on did and size read the buckets in place and don't move texts again. The caller drops the table.
+    on did and size read the buckets in place and don't move texts again.
     """
-    spark = docs.sparkSession
-    name = f"texts_{uuid.uuid4().hex}"
-    (docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                 *text_key(F.col(text_col)))
-     .groupBy("did", "size").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"),
-                                 F.min("id").alias("least_id"))
-     .write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "did", "size")
-     .saveAsTable(name))
-    return spark.table(name), name
+    return bucketed(docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                                *text_key(F.col(text_col)))
+                    .groupBy("did", "size").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"),
+                                                F.min("id").alias("least_id")), ["did", "size"], "texts")

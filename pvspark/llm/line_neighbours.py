@@ -23,12 +23,10 @@ verification leaves the line in; other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pvspark.llm.common import materialise
+from pvspark.llm.common import bucketed, drop_bucketed, materialise
 
 MIN_WORDS = 8
 LAST = (1 << 63) - 1                   # place of a null doc_id
@@ -121,12 +119,10 @@ def _near(lines: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, did, line, near (alike, else equal), earlier (place of the line that stays): one row per line that goes."""
     spark = docs.sparkSession
-    name = f"lines_{uuid.uuid4().hex}"
-    (_places(docs, id_col, text_col).groupBy("k", "n")
-     .agg(F.min("place").alias("first"), F.first(F.when(F.col("n") >= MIN_WORDS, F.col("words"))).alias("words"))
-     .write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "k", "n")
-     .saveAsTable(name))
-    lines = spark.table(name)
+    lines, name = bucketed(
+        _places(docs, id_col, text_col).groupBy("k", "n")
+        .agg(F.min("place").alias("first"), F.first(F.when(F.col("n") >= MIN_WORDS, F.col("words"))).alias("words")),
+        ["k", "n"], "lines")
     near = materialise(_near(lines), "near-lines")
     places = _places(docs, id_col, text_col).select("k", "n", "place")
     gone = (places.join(lines.select("k", "n", "first").join(near, ["k", "n"], "left"), ["k", "n"])
@@ -134,7 +130,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select("place.doc", "place.did", "place.line", (F.col("place") == F.col("first")).alias("near"),
                     F.when(F.col("place") == F.col("first"), F.col("partner")).otherwise(F.col("first")).alias("earlier")))
     gone = materialise(gone, "repeated-lines")
-    spark.sql(f"DROP TABLE {name}")
+    drop_bucketed(spark, name)
     return gone
 
 

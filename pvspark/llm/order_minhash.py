@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pvspark.llm.common import distinct_texts, materialise, small_batches, text_key
+from pvspark.llm.common import distinct_texts, drop_bucketed, materialise, small_batches, text_key
 from pvspark.llm.components import components
 from pvspark.llm.words import slices, words
 
@@ -323,7 +323,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = of.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
     result = materialise(of.join(classes, "label").select("node.did", "node.size", "class_id", "class_size"),
                          "near-classes")
-    spark.sql(f"DROP TABLE {name}")
+    drop_bucketed(spark, name)
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *text_key(F.col(text_col)))
             .join(result, ["did", "size"])
             .select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
