@@ -34,22 +34,23 @@ SPACES = "\t\x0b\f\r"              # and the space itself
 
 
 def _plain(line: Column) -> Column:
-    """The words of a line with one space between; only lines that need it pay for the regular expression."""
-    line = F.trim(F.when(line.rlike(f"[{SPACES}]"), F.translate(line, SPACES, "    ")).otherwise(line))
+    """The words of a line with one space between; only lines that need it pay for more than a look."""
+    odd = F.lit(False)
+    for c in SPACES:
+        odd = odd | F.contains(line, F.lit(c))
+    line = F.trim(F.when(odd, F.translate(line, SPACES, "    ")).otherwise(line))
     return F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
 
 
 def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k, n (hash and number of words), place (doc, did, line), words (joined by single spaces): one row per line
-    that isn't blank."""
+    """k, size (hash and bytes of the words), place (doc, did, line), words (joined by single spaces): one row per
+    line that isn't blank."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = (docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
                          F.xxhash64(text).alias("did"), F.posexplode(F.split(F.lower(text), "\n")).alias("line", "t"))
              .select(F.struct("doc", "did", "line").alias("place"), _plain(F.col("t")).alias("words")))
     return (lines.filter("words != ''")
-            .select(F.xxhash64("words").alias("k"),
-                    (F.octet_length("words") - F.octet_length(F.replace("words", F.lit(" "), F.lit(""))) + 1).alias("n"),
-                    "place", "words"))
+            .select(F.xxhash64("words").alias("k"), F.octet_length("words").alias("size"), "place", "words"))
 
 
 def _halves(n: Column, words: Column) -> Column:
@@ -79,11 +80,13 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 
 def _near(lines: DataFrame) -> DataFrame:
-    """k, n, partner (place of the earliest alike line, earlier than the line's own first place), verified."""
-    long = lines.filter(F.col("n") >= MIN_WORDS)
-    halves = long.select("k", "n", F.explode(_halves(F.col("n"), F.col("words"))).alias("x")).select("k", "n", "x.half", "x.head")
+    """k, size, partner (place of the earliest alike line, earlier than the line's own first place), verified."""
+    spaces = F.col("size") - F.octet_length(F.replace("words", F.lit(" "), F.lit("")))
+    long = lines.withColumn("n", spaces + 1).filter(F.col("n") >= MIN_WORDS)
+    halves = (long.select("k", "size", F.explode(_halves(F.col("n"), F.col("words"))).alias("x"))
+              .select("k", "size", "x.half", "x.head"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("half")
-    able = (halves.join(shared, "half").groupBy("k", "n")
+    able = (halves.join(shared, "half").groupBy("k", "size")
             .agg(F.max("head").alias("head"), F.max(~F.col("head")).alias("tail")))
     able = materialise(able, "line-halves")
     n = F.col("n")
@@ -93,39 +96,38 @@ def _near(lines: DataFrame) -> DataFrame:
         F.when(F.col("tail"), F.sequence(F.lit(1), F.floor(n / 2).cast("int") + 1)).otherwise(F.array().cast("array<int>"))))
     keys = F.concat(F.array(F.struct(F.lit(0).alias("i"), F.xxhash64(n, F.col("ws")).alias("v"))),
                     F.transform(drop, lambda i: F.struct(i.alias("i"), F.xxhash64(n - 1, _without(F.col("ws"), n, i)).alias("v"))))
-    variants = materialise(lines.join(able, ["k", "n"]).withColumn("ws", F.split("words", " "))
-                           .select("k", "n", "first", F.explode(keys).alias("x"))
-                           .select("k", "n", "first", "x.i", "x.v"), "line-variants")
-    ref = F.struct(F.col("first"), F.col("k"), F.col("n"))
+    variants = materialise(lines.join(able, ["k", "size"]).withColumn("ws", F.split("words", " ")).withColumn("n", F.size("ws"))
+                           .select("k", "size", "first", F.explode(keys).alias("x"))
+                           .select("k", "size", "first", "x.i", "x.v"), "line-variants")
+    ref = F.struct(F.col("first"), F.col("k"), F.col("size"))
     least = variants.groupBy("v", "i").agg(F.min(ref).alias("ref"), F.count(F.lit(1)).alias("c"))
     least = materialise(least, "variant-minima")
     replaced = least.filter("i > 0 and c > 1").select("v", "i", "ref")
     whole = least.filter("i = 0").select("v", F.col("ref").alias("ref"))
     shorter = least.filter("i > 0").groupBy("v").agg(F.min("ref").alias("ref")).join(whole.select("v"), "v", "left_semi")
     whole = whole.join(shorter.select("v"), "v", "left_semi")
-    found = (variants.filter("i > 0").join(replaced, ["v", "i"]).select("k", "n", "first", "ref")
-             .unionByName(variants.filter("i > 0").join(whole, "v").select("k", "n", "first", "ref"))
-             .unionByName(variants.filter("i = 0").join(shorter, "v").select("k", "n", "first", "ref"))
+    found = (variants.filter("i > 0").join(replaced, ["v", "i"]).select("k", "size", "first", "ref")
+             .unionByName(variants.filter("i > 0").join(whole, "v").select("k", "size", "first", "ref"))
+             .unionByName(variants.filter("i = 0").join(shorter, "v").select("k", "size", "first", "ref"))
              .filter(F.col("ref.first") < F.col("first"))
-             .groupBy("k", "n").agg(F.min("ref").alias("ref")))
-    mine = found.join(lines.select("k", "n", "words"), ["k", "n"]).select(
-        F.col("k").alias("xk"), F.col("n").alias("xn"), F.col("words").alias("xw"), F.col("ref.first").alias("partner"),
-        F.col("ref.k").alias("k"), F.col("ref.n").alias("n"))
-    return (mine.join(lines.select("k", "n", "words"), ["k", "n"])
+             .groupBy("k", "size").agg(F.min("ref").alias("ref")))
+    mine = found.join(lines.select("k", "size", "words"), ["k", "size"]).select(
+        F.col("k").alias("xk"), F.col("size").alias("xs"), F.col("words").alias("xw"), F.col("ref.first").alias("partner"),
+        F.col("ref.k").alias("k"), F.col("ref.size").alias("size"))
+    return (mine.join(lines.select("k", "size", "words"), ["k", "size"])
             .filter(_one_edit(F.split("xw", " "), F.split("words", " ")))
-            .select(F.col("xk").alias("k"), F.col("xn").alias("n"), "partner"))
+            .select(F.col("xk").alias("k"), F.col("xs").alias("size"), "partner"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, did, line, near (alike, else equal), earlier (place of the line that stays): one row per line that goes."""
     spark = docs.sparkSession
     lines, name = bucketed(
-        _places(docs, id_col, text_col).groupBy("k", "n")
-        .agg(F.min("place").alias("first"), F.first(F.when(F.col("n") >= MIN_WORDS, F.col("words"))).alias("words")),
-        ["k", "n"], "lines")
+        _places(docs, id_col, text_col).groupBy("k", "size")
+        .agg(F.min("place").alias("first"), F.first("words").alias("words")), ["k", "size"], "lines")
     near = materialise(_near(lines), "near-lines")
-    places = _places(docs, id_col, text_col).select("k", "n", "place")
-    gone = (places.join(lines.select("k", "n", "first").join(near, ["k", "n"], "left"), ["k", "n"])
+    places = _places(docs, id_col, text_col).select("k", "size", "place")
+    gone = (places.join(lines.select("k", "size", "first").join(near, ["k", "size"], "left"), ["k", "size"])
             .filter((F.col("place") != F.col("first")) | F.col("partner").isNotNull())
             .select("place.doc", "place.did", "place.line", (F.col("place") == F.col("first")).alias("near"),
                     F.when(F.col("place") == F.col("first"), F.col("partner")).otherwise(F.col("first")).alias("earlier")))
