@@ -239,6 +239,21 @@ def test_language_model(spark):
     assert pitman_yor.score(frame(spark, [(1, "x")]).limit(0)).count() == 0
 
 
+def test_pitman_yor_with_more_stretches_than_16_bits(spark, monkeypatch):
+    """One document a stretch and one range of words: its task sees all of them."""
+    monkeypatch.setattr(pitman_yor, "SLICE_ROWS", 1)
+    n = (1 << 16) + 300
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('u', id, repeat(' v', cast(id % 4 AS int))) AS text")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = pitman_yor.score(docs).select("doc_id", "n_tokens", "held_out", "n_known").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sorted(r.doc_id for r in got) == list(range(n))
+    assert all(r.n_tokens == 2 + r.doc_id % 4 and r.n_known == r.n_tokens - r.held_out for r in got)
+
+
 def test_pitman_yor_is_a_distribution():
     rng = np.random.default_rng(1)
     n_words, n_ctx = 50, 8
