@@ -2,9 +2,11 @@
 
 * Features of a word are the word itself and its first 4 to 7 characters, as 64-bit hashes.
 * Log-odds with a Dirichlet prior: for each feature, the share of toxic and of clean training documents that
-  hold it, smoothed by ``PRIOR`` pseudo-documents spread like the whole sample; a word scores the log-odds of
-  its feature that is surest (largest log-odds over its standard error), nothing if none is ``SURE``. Counts
-  and log-odds are DataFrame work; the ``FEATURES`` surest features make the table that is broadcast.
+  hold it, smoothed by ``PRIOR`` pseudo-documents that hold it and as many that don't, dealt to the classes by
+  their sizes; so the prior of a feature doesn't shrink as the sample grows, and a word of few toxic and no clean
+  documents is sure at any size. A word scores the log-odds of its feature that is surest (largest log-odds over
+  its standard error), nothing if none is ``SURE``. Counts and log-odds are DataFrame work; the ``FEATURES``
+  surest features make the table that is broadcast.
 * Each word then costs ``DRIFT``, and one pass (Ruzzo and Tompa) finds all maximal scoring segments.
 * Extreme-value calibration: with the scores of clean training words, lambda solves E[exp(lambda s)] = 1,
   and K comes from the mean of the clean documents' best segments. A segment of score S in a text of n
@@ -183,9 +185,9 @@ def _table(counted: DataFrame) -> dict[int, tuple[float, float]] | None:
     if not whole or not whole[0].clean or not whole[0].toxic:
         return None
     n0, n1 = whole[0].clean, whole[0].toxic
-    prior = PRIOR * (F.col("clean") + F.col("toxic") + 0.02) / (n0 + n1 + 0.04)
-    a, b = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(a / (n1 + PRIOR - a)) - F.log(b / (n0 + PRIOR - b))
+    p0, p1 = PRIOR * n0 / (n0 + n1), PRIOR * n1 / (n0 + n1)
+    a, b = F.col("toxic") + p1, F.col("clean") + p0
+    odds = F.log(a / (n1 + 2 * p1 - a)) - F.log(b / (n0 + 2 * p0 - b))
     rows = (counted.filter("feature >= 0").select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
             .filter(F.abs("z") >= SURE).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect())
     return {r.feature: (r.odds, r.z) for r in rows}

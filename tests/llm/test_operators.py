@@ -466,3 +466,31 @@ def test_toxicity_held_out(spark):
     assert {r.score for r in toxic_segments.score(docs, toxic_segments.fit(docs, clean)).collect()} == {0.0}
     assert {r.score for r in toxic_segments.score(docs, toxic_segments.fit(docs, lab.limit(0))).collect()} == {0.0}
     assert toxic_segments.score(docs.limit(0), model).count() == 0
+
+
+def test_toxicity_of_many_rare_words(spark):
+    """40 insults, each in a few per cent of the toxic documents and in no clean one."""
+    rng = random.Random(10)
+    bad = ["".join(rng.choices("bcdfghjklmnprstvz", k=9)) for _ in range(40)]
+    rows = []
+    for i in range(1200):
+        w = prose(rng, rng.randrange(30, 120)).split()
+        if i % 10 == 0:
+            at = rng.randrange(len(w))
+            w[at:at] = rng.sample(bad, 4)
+        rows.append((i, " ".join(w)))
+    docs = frame(spark, rows)
+    lab = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxic_segments.fit(docs, lab)
+    got = {r.doc_id: r.score for r in toxic_segments.score(docs, model).select("row.doc_id", "score").collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % toxic_segments.FOLDS == toxic_segments.HELD_OUT]
+    toxic = [i for i in held if i % 10 == 0]
+    found = [i for i in held if got[i] >= toxic_segments.CUTOFF]
+    assert len(toxic) > 15 and len(set(toxic) & set(found)) >= 0.9 * max(len(toxic), len(found))
+
+
+@pytest.mark.parametrize("n0, n1", [(260, 40), (2700, 300), (10_000, 1_000), (10_000, 10_000)])
+def test_toxic_only_words_count_at_every_size(spark, n0, n1):
+    counted = spark.createDataFrame([(-1, n0, n1), (1, 0, 5), (2, n0 // 10, n1 // 10)], "feature long, clean long, toxic long")
+    table = toxic_segments._table(counted)
+    assert table[1][0] > toxic_segments.DRIFT and 2 not in table
