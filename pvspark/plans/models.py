@@ -12,8 +12,6 @@ from pvspark.plans.layers import (master_df, silver_articles_df, silver_labels_d
                                   silver_reports_df)
 from pvspark.sources.tables import read_table
 
-QUERY_GBT = {"maxIter": 10}   # registered queries train 10 trees (library default: 200)
-
 _MASTER = O.with_layers(["reports_raw", "posts_raw", "articles_raw", "labels_raw"],
                         O.SILVER_REPORTS, O.SILVER_POSTS, O.SILVER_ARTICLES, O.SILVER_LABELS,
                         O.ADVERSE, O.sentiment(), O.RESEARCH, O.master("one"))
@@ -56,19 +54,36 @@ def _doc_features(spark, sf_dir):
             .withColumn("y_toxic", F.col("toxic").cast("double")))
 
 
+_FEATURES: dict = {}
+_FITTED: dict = {}
+
+
+def _features(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FEATURES:
+        _FEATURES[key] = model.build_features(master_df(spark, sf_dir)).cache()
+    return _FEATURES[key]
+
+
+def _fitted(spark, sf_dir, target):
+    """An outcome model and its metrics, fitted once per (session, data folder) with the library's 200 trees; all
+    model queries use the same one (training is deterministic)."""
+    key = (spark.sparkContext.applicationId, sf_dir, target)
+    if key not in _FITTED:
+        mdl, metrics, _ = model.train(_features(spark, sf_dir), f"y_{target}")
+        _FITTED[key] = mdl, metrics
+    return _FITTED[key]
+
+
 @register("model_metrics")
 def q_model_metrics(spark, sf_dir):
     """M4 + M5 + M10: four outcome models on the master features and two on documents x labels
     (a non-degenerate label); one (target, metric, value) row each (rows-only check)."""
-    feats = model.build_features(master_df(spark, sf_dir)).cache()
-    results = {}
-    for t in model.TARGETS:
-        _, m, _ = model.train(feats, f"y_{t}", **QUERY_GBT)
-        results[t] = m
+    results = {t: _fitted(spark, sf_dir, t)[1] for t in model.TARGETS}
     docs = _doc_features(spark, sf_dir).cache()
     for t in ("quality", "toxic"):
         _, m, _ = model.train(docs, f"y_{t}", threshold=0.5, key="key", categorical=["lang", "source"],
-                              continuous=["n_chars"], **QUERY_GBT)
+                              continuous=["n_chars"])
         results[f"documents_{t}"] = m
     return model.metrics_frame(spark, results)
 
@@ -76,23 +91,14 @@ def q_model_metrics(spark, sf_dir):
 @register("attribution_rank")
 def q_attribution_rank(spark, sf_dir):
     """M7 + W4 + M9: ablation contributions of the serious model per drug, ranked."""
-    feats = model.build_features(master_df(spark, sf_dir)).cache()
-    mdl, _, _ = model.train(feats, "y_serious", **QUERY_GBT)
+    feats = _features(spark, sf_dir)
+    mdl, _ = _fitted(spark, sf_dir, "serious")
     c = model.contributions(mdl, feats.withColumn("key", F.col("drug_name")), model.baselines(feats), key="key")
     return round_doubles(c.select("key", "feature", "rank", "contribution"))
 
 
-_TRAINED: dict = {}
-
-
 def _models(spark, sf_dir):
-    """Fit the four outcome models once per (session, data folder); the report, summary and
-    display queries score with the same fitted models (training is deterministic)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        feats = model.build_features(master_df(spark, sf_dir)).cache()
-        _TRAINED[key] = ({t: model.train(feats, f"y_{t}", **QUERY_GBT)[0] for t in model.TARGETS}, feats)
-    return _TRAINED[key]
+    return {t: _fitted(spark, sf_dir, t)[0] for t in model.TARGETS}, _features(spark, sf_dir)
 
 
 def _report(spark, sf_dir):

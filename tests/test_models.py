@@ -37,3 +37,19 @@ def test_train_save_load_attribution(spark, tmp_dir):
 def test_binarize_threshold(spark):
     df = spark.createDataFrame([(0.0,), (0.2,), (None,)], "r double")
     assert [r[0] for r in df.select(model.binarize("r", 0.1)).collect()] == [0.0, 1.0, 0.0]
+
+
+def test_queries_train_the_whole_model_once(spark, monkeypatch):
+    from pvspark.plans import models
+    fits, train = [], model.train
+
+    def counted(features, target, **settings):
+        out = train(features, target, **settings)
+        fits.append((target, out[0].stages[-1].getNumTrees))
+        return out
+
+    monkeypatch.setattr(models, "_FITTED", {})
+    monkeypatch.setattr(model, "train", counted)
+    assert models.q_attribution_rank(spark, SF_TINY).count() > 0
+    models.q_attribution_rank(spark, SF_TINY)
+    assert fits == [("y_serious", 200)]
