@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pvspark.llm import exact_stream, order_minhash, prefix_bpe, suffix_decontam, toxic_segments
 from pvspark.llm.common import scratch, table
 
-#: Documents go from this probability on: a filter that loses few clean documents (op10 reports from 0.3 on).
-REJECT = 0.5
+#: Documents go from this probability on: all that op10 calls toxic.
+REJECT = toxic_segments.CUTOFF
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,3 +63,12 @@ def test_empty_documents(spark, corpus):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_toxicity_stage_takes_what_op10_calls_toxic(spark, corpus, monkeypatch):
+    sf, _ = corpus
+    docs = spark.createDataFrame([(1, 0.29), (2, 0.3), (3, 0.4), (4, 0.6)], "doc_id long, p double")
+    monkeypatch.setattr(corpus_pipeline.toxic_segments, "fit", lambda *_, **__: None)
+    monkeypatch.setattr(corpus_pipeline.toxic_segments, "score",
+                        lambda d, _: d.selectExpr("struct(*) AS row", "p AS score"))
+    assert [r.doc_id for r in corpus_pipeline.toxicity(spark, docs, sf).collect()] == [1]
