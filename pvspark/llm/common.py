@@ -51,6 +51,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Scratch tables of one operator run: ``write`` makes one that ``clear`` removes, ``keep`` one that stays for the
+    caller's result."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch(self.spark, name))
+        return self.paths[-1]
+
+    def _put(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return self._put(df, self.path(name))
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self._put(df, scratch(self.spark, name))
+
+    def clear(self) -> None:
+        while self.paths:
+            remove_path(self.spark, self.paths.pop())
+
+
 def in_fold(doc_id: Column, buckets: int, fold: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``, equals ``fold`` (null ids: never)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % buckets == fold, F.lit(False))

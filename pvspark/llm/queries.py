@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.llm import bucket_pointer, chat_grammar, exact_stream, line_neighbours, order_minhash, pitman_yor, prefix_bpe, suffix_decontam, toxic_segments, url_cascade
+from pvspark.llm import (bucket_pointer, chat_grammar, exact_stream, line_neighbours, merkle_manifest, order_minhash, pitman_yor,
+                         pivotal_mix, prefix_bpe, prefix_trie, suffix_decontam, toxic_segments, url_cascade)
 from pvspark.llm.common import LOWER, UPPER, in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +152,84 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxic_segments.CUTOFF).cast("int").alias("predicted")))
 
 
+@_register("op11_pivotal_mix")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (pivotal_mix.per_row(pivotal_mix.mix(table(spark, sf_dir, "documents")))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+#: crc32 of the decimal text of ``ids(id)``, byte by byte: table ``crc(id, c)``.
+_CRC_SQL = """
+crc_bits AS (SELECT range AS n, range AS v, 0 AS k FROM range(256)
+             UNION ALL SELECT n, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT n, v FROM crc_bits WHERE k = 8),
+crc_steps AS (SELECT id, CAST(id AS VARCHAR) AS rest, CAST(4294967295 AS BIGINT) AS c FROM ids
+              UNION ALL SELECT id, substr(rest, 2), xor(c >> 8, v) FROM crc_steps JOIN crc_table ON n = xor(c, ascii(rest)) & 255
+              WHERE rest <> ''),
+crc AS (SELECT id, xor(c, 4294967295) AS c FROM crc_steps WHERE rest = '')"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + ")"
+
+
+def _fold_sql(name: str, start: str, nodes: str) -> str:
+    return f"""{name} AS ({start} UNION ALL
+  SELECT f.r, f.g, f.lvl + 1, f.i // 2, sha256(CASE WHEN s.h IS NULL THEN f.cur WHEN f.i % 2 = 0 THEN f.cur || s.h ELSE s.h || f.cur END),
+         f.proof || coalesce(s.h, ''), (f.n + 1) // 2
+  FROM {name} f LEFT JOIN {nodes} s ON s.g = f.g AND s.lvl = f.lvl AND s.i = xor(f.i, 1) WHERE f.n > 1)"""
+
+
+@_register("op12_merkle_manifest", f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL), {_CRC_SQL},
+a AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_leaf_sql("n_chars")} AS leaf,
+             CASE WHEN c % 7 = 0 THEN {_leaf_sql("n_chars + 1")} END AS other FROM documents LEFT JOIN crc ON id = doc_id),
+leaves AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                  count(*) OVER (PARTITION BY g) AS n FROM a),
+low AS (SELECT g, 0 AS lvl, i, leaf AS h, n FROM leaves UNION ALL
+        SELECT g, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM low WHERE n > 1 GROUP BY g, lvl, i // 2, n),
+sub AS (SELECT g, h FROM low WHERE n = 1),
+high AS (SELECT 0 AS g, 0 AS lvl, g AS i, h, (SELECT count(*) FROM sub) AS n FROM sub UNION ALL
+         SELECT g, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM high WHERE n > 1 GROUP BY g, lvl, i // 2, n),
+{_fold_sql("f", "SELECT r, g, 0 AS lvl, i, coalesce(other, leaf) AS cur, '' AS proof, n FROM leaves", "low")},
+{_fold_sql("t", "SELECT r, 0 AS g, 0 AS lvl, g AS i, cur, proof, (SELECT count(*) FROM sub) AS n FROM f WHERE n = 1", "high")}
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(t.proof) AS proof_sha256, t.cur AS folded_root, t.cur = root.h AS verified
+FROM leaves JOIN t USING (r) JOIN sub ON sub.g = leaves.g CROSS JOIN (SELECT h FROM high WHERE n = 1) root WHERE t.n = 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hexed = lambda c: F.lower(F.hex(c))
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[hexed(c).alias(c) for c in ("leaf", "subroot", "root")], F.sha2(hexed("proof").cast("binary"), 256).alias("proof_sha256"),
+        hexed("folded_root").alias("folded_root"), "verified")
+
+
+@_register("op13_prefix_trie", f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS id FROM conversations), {_CRC_SQL},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM conversations),
+h AS (SELECT id AS conv_id, c % 6 AS h, id - id % 100 AS base FROM crc),
+own AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+turns AS (SELECT h.conv_id, t.p AS d, role, text FROM h JOIN t ON t.conv_id = h.base WHERE t.p <= h.h
+          UNION ALL SELECT h.conv_id, least(h.h, coalesce(b.n, 0)) + t.p - h.h, role, text
+          FROM h JOIN t ON t.conv_id = h.conv_id LEFT JOIN own b ON b.conv_id = h.base WHERE t.p > h.h),
+m AS (SELECT conv_id, d, length(text) AS cp, sha256(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '')
+             OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM turns
+      UNION ALL SELECT conv_id, 0, 0, 'root' FROM h),
+node AS (SELECT k, any_value(d) AS depth, any_value(cp) AS cp, min(conv_id) AS conv_id, count(*) AS n_convs FROM m GROUP BY k),
+edge AS (SELECT DISTINCT a.k AS up, b.k AS k FROM m a JOIN m b ON a.conv_id = b.conv_id AND a.d + 1 = b.d),
+kids AS (SELECT up AS k, count(*) AS n_children FROM edge GROUP BY up),
+below AS (SELECT DISTINCT a.k AS top, b.k AS k FROM m a JOIN m b ON a.conv_id = b.conv_id AND a.d <= b.d),
+sums AS (SELECT top AS k, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * cp) AS BIGINT) AS saved_tokens
+         FROM below JOIN node USING (k) LEFT JOIN kids USING (k) GROUP BY top),
+ends AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS e
+         FROM m JOIN (SELECT conv_id, max(d) AS d FROM m GROUP BY conv_id) USING (conv_id, d) GROUP BY k)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+FROM node JOIN sums USING (k) LEFT JOIN kids USING (k) LEFT JOIN ends USING (k) LEFT JOIN edge ON edge.k = node.k LEFT JOIN node up ON up.k = edge.up""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("prefix")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
