@@ -66,7 +66,7 @@ def _xml_escape(c: Column) -> Column:
 MONTH_NAMES = list(dates.MONTHS)
 
 
-def article_xml(docs: DataFrame) -> DataFrame:
+def article_xml(docs: DataFrame, keep: str | None = None) -> DataFrame:
     """documents -> one PubmedArticle XML string per document. Lines of the text become
     AbstractText parts; the PubDate form rotates over Year+Month name, Year+number, Year only,
     a MedlineDate range and a season MedlineDate (no year)."""
@@ -88,7 +88,7 @@ def article_xml(docs: DataFrame) -> DataFrame:
         _xml_escape(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))), F.lit("</ArticleTitle><Abstract>"), F.array_join(parts, ""),
         F.lit("</Abstract><Journal><JournalIssue><PubDate>"), pubdate,
         F.lit("</PubDate></JournalIssue></Journal></Article></MedlineCitation></PubmedArticle>"))
-    return docs.select(xml.alias("xml"))
+    return docs.select(*([keep] if keep else []), xml.alias("xml"))
 
 
 def forum_payload(base: DataFrame) -> DataFrame:
@@ -159,6 +159,70 @@ def q_extract_articles(spark, sf_dir):
     return a.select("article_id", "abstract", "publish_date", "drug_name")
 
 
+SET_SIZE = 100              # articles of a fetch
+BREAKS = 4                  # every fourth set ends inside its last article
+
+
+def article_sets(docs: DataFrame) -> DataFrame:
+    """documents -> fetches of up to SET_SIZE articles: (set, value), one XML document a row. Titles carry a drug keyword
+    (2 of 5) or markup (2 of 11), every seventh article's first abstract part goes on after a child element, every
+    17th article holds another one, and every fourth set is cut off inside its last article."""
+    did = F.col("doc_id")
+    keyword = F.element_at(F.array(*[F.lit(t) for t in text.DRUG_KEYWORDS]), (did % len(text.DRUG_KEYWORDS) + 1).cast("int"))
+    head = F.when(did % 5 < 2, F.concat(keyword, F.lit(" "))).otherwise(F.lit(""))
+    mark = (F.when(did % 11 == 0, F.lit("<i>first</i> ")).when(did % 11 == 1, F.concat(head, F.lit("x &lt; y <b>bold</b> ")))
+            .otherwise(head))
+    xml = F.col("xml")
+    for at, more in (("<ArticleTitle>", mark),
+                     ("<AbstractText>", F.when(did % 7 == 0, F.lit("lead <sup>2</sup> ")).otherwise(F.lit("")))):
+        place = F.locate(at, xml) + len(at)
+        xml = F.concat(F.left(xml, place - 1), more, F.substring(xml, place, F.length(xml)))
+    inside = F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), did.cast("string"),
+                      F.lit("n</PMID><Article><ArticleTitle>held</ArticleTitle></Article></MedlineCitation></PubmedArticle></PubmedArticle>"))
+    end = len("</PubmedArticle>")
+    xml = F.when(did % 17 == 0, F.concat(F.substring(xml, F.lit(1), F.length(xml) - end), inside)).otherwise(xml)
+    rows = article_xml(docs, keep="doc_id").select("doc_id", xml.alias("xml"), F.floor(did / SET_SIZE).alias("set"))
+    sets = rows.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("doc_id", "xml"))).alias("a"))
+    body = F.array_join(F.transform("a", lambda a: a["xml"]), "")
+    # without the last article's end and the set's end
+    cut = F.col("set") % BREAKS == 1
+    value = F.when(cut, F.substring(body, F.lit(1), F.length(body) - 2 * end)).otherwise(F.concat(body, F.lit("</PubmedArticleSet>")))
+    return sets.select("set", F.concat(F.lit("<PubmedArticleSet>"), value).alias("value"))
+
+
+_SET_TITLE = f"""CASE WHEN doc_id % 11 = 0 THEN NULL ELSE nullif((CASE WHEN doc_id % 5 < 2 THEN kw[CAST(doc_id % len(kw) AS BIGINT) + 1] || ' ' ELSE '' END)
+  || (CASE WHEN doc_id % 11 = 1 THEN 'x < y ' ELSE split_part({_XML_CLEAN.format(x='text')}, chr(10), 1) END), '') END"""
+
+
+@register("articles_from_set", f"""
+WITH k AS (SELECT [{', '.join(f"'{t}'" for t in text.DRUG_KEYWORDS)}] AS kw),
+s AS (SELECT *, doc_id // {SET_SIZE} AS grp, doc_id = max(doc_id) OVER (PARTITION BY doc_id // {SET_SIZE}) AND doc_id // {SET_SIZE} % {BREAKS} = 1 AS lost
+      FROM documents, k),
+a AS (SELECT doc_id, {_SET_TITLE} AS title, kw,
+             CASE WHEN doc_id % 7 = 0 THEN list_concat(['lead '], string_split({_XML_CLEAN.format(x='text')}, chr(10))[2:])
+                  ELSE string_split({_XML_CLEAN.format(x='text')}, chr(10)) END AS parts FROM s WHERE NOT lost)
+SELECT CAST(doc_id AS VARCHAR) AS article_id, title,
+       nullif({_STRIP.format(x="array_to_string(list_filter(parts, lambda p: p <> ''), ' ')")}, '') AS abstract, {_pub_date_sql()} AS publish_date,
+       CASE WHEN title IS NULL OR title = '' THEN 'unknown' ELSE coalesce(list_filter(kw, lambda t: contains(lower(title), lower(t)))[1], 'unknown') END
+         AS drug_name, NULL::VARCHAR AS reason FROM a
+UNION ALL SELECT CAST(doc_id AS VARCHAR) || 'n', 'held', NULL, NULL, 'unknown', NULL FROM s WHERE doc_id % 17 = 0 AND NOT lost
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '{extract.BROKEN_SET}' FROM (SELECT DISTINCT grp FROM s WHERE lost)""")
+def q_articles_from_set(spark, sf_dir):
+    """S5 for whole fetches: XML files of many articles through the row source, with markup in titles and abstracts, nested
+    articles, and broken files in quarantine."""
+    import uuid
+
+    from pvspark.session import scratch_path
+    from pvspark.sources.tables import read_table
+    path = scratch_path(spark, f"article-sets-{uuid.uuid4().hex}")
+    article_sets(read_table(spark, sf_dir, "documents")).write.partitionBy("set").text(path)
+    found, broken = extract.read_article_sets(spark, f"{path}/set=*")
+    none = F.lit(None).cast("string")
+    return found.withColumn("reason", none).unionByName(broken.select(
+        *[none.alias(c) for c in ("article_id", "title", "abstract")], F.lit(None).cast(found.schema["publish_date"].dataType).alias("publish_date"),
+        none.alias("drug_name"), "reason"))
+
+
 @register("pub_date", f"SELECT CAST(doc_id AS VARCHAR) AS article_id, {_pub_date_sql()} AS publish_date FROM documents")
 def q_pub_date(spark, sf_dir):
     """S6 alone on (Year, Month, MedlineDate) text columns derived from each document id."""

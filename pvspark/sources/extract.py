@@ -100,15 +100,9 @@ def _xml_text(x: Column, path: str) -> Column:
     return F.nullif(F.xpath_string(x, F.lit(f"{path}/node()[1][self::text()]")), F.lit(""))
 
 
-def split_article_set(df: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """One fetched document with many ``PubmedArticle`` elements -> one row each, in order (``article``)."""
-    each = F.regexp_extract_all(F.col(xml_col), F.lit(r"(?s)<PubmedArticle(?:\s[^>]*)?>.*?</PubmedArticle>"), F.lit(0))
-    return df.select(*[c for c in df.columns if c != xml_col], F.posexplode(each).alias("article", xml_col))
-
-
 def extract_articles(df: DataFrame, xml_col: str = "xml", drug_terms=None) -> DataFrame:
-    """One ``PubmedArticle`` XML string per row -> article record (``split_article_set``
-    makes such rows from whole fetches).
+    """One ``PubmedArticle`` XML string per row -> article record (``read_article_sets`` reads
+    whole fetches).
 
     Abstract = non-empty AbstractText parts joined by a space, stripped, NULL when empty.
     ``drug_name`` = first dictionary term found in the title (or ``unknown``).
@@ -129,12 +123,53 @@ def extract_articles(df: DataFrame, xml_col: str = "xml", drug_terms=None) -> Da
     out = found.select(
         "article_id", "title", F.nullif(F.regexp_replace("joined", r"^\s+|\s+$", ""), F.lit("")).alias("abstract"),
         dates.pub_date(F.col("year"), F.col("month"), F.col("medline")).alias("publish_date"))
-    terms = drug_terms if drug_terms is not None else DRUG_KEYWORDS
+    return _named(out, drug_terms if drug_terms is not None else DRUG_KEYWORDS)
+
+
+def _named(articles: DataFrame, terms) -> DataFrame:
+    """``drug_name``, the first dictionary term in the title."""
     if isinstance(terms, Column):
-        out = out.withColumn("_terms", terms)
-        terms = F.col("_terms")
-    out = out.withColumn("drug_name", tag_first(F.col("title"), terms))
-    return out.drop("_terms") if "_terms" in out.columns else out
+        return articles.withColumn("_terms", terms).withColumn("drug_name", tag_first(F.col("title"), F.col("_terms"))).drop("_terms")
+    return articles.withColumn("drug_name", tag_first(F.col("title"), terms))
+
+
+_ARTICLE = ("struct<PMID:string,Article:struct<Journal:struct<JournalIssue:struct<PubDate:struct<Year:string,Month:string,"
+            "MedlineDate:string>>>,ArticleTitle:string,Abstract:struct<AbstractText:array<string>>>>")
+BROKEN_SET = "article set is not well-formed"
+
+
+def _leading(x: Column) -> Column:
+    """Leading text of an element that the reader gives as markup: what stands before its first child element, NULL when
+    empty. A ``<`` that no element follows is text."""
+    child = r"(?s)^(.*?)(?:<([A-Za-z][\w:.-]*)(?:\s[^<>]*)?(?:/>|>.*?</\2\s*>)|$)"
+    return F.nullif(F.when(F.contains(x, F.lit("<")), F.regexp_extract(x, child, 1)).otherwise(x), F.lit(""))
+
+
+def read_article_sets(spark, path: str, drug_terms=None) -> tuple[DataFrame, DataFrame]:
+    """S5 / S6 / J9 for whole fetches: XML files with any number of ``PubmedArticle`` elements -> (articles, broken).
+
+    The reader splits a file at the elements, so no file is held as one value. An article directly inside another one is an
+    article too. ``broken`` has a row (file, reason) for each file that stops being well-formed: its articles up to there
+    are kept, what follows is not read.
+    """
+    from pvspark.functions.text import DRUG_KEYWORDS
+
+    schema = f"MedlineCitation {_ARTICLE}, PubmedArticle array<struct<MedlineCitation:{_ARTICLE}>>, _corrupt string"
+    sets = (spark.read.format("xml").option("rowTag", "PubmedArticle").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt").option("ignoreSurroundingSpaces", "false").schema(schema).load(path))
+    broken = (sets.filter(F.col("_corrupt").isNotNull() & F.col("MedlineCitation").isNull())
+              .select(F.col("_metadata.file_path").alias("file"), F.lit(BROKEN_SET).alias("reason")).distinct())
+    inner = F.transform(F.coalesce("PubmedArticle", F.array().cast(f"array<struct<MedlineCitation:{_ARTICLE}>>")), lambda a: a["MedlineCitation"])
+    each = (sets.filter(F.col("_corrupt").isNull())
+            .select(F.explode(F.concat(F.array("MedlineCitation"), inner)).alias("c")).select(F.col("c.PMID").alias("id"), "c.Article.*"))
+    date = F.col("Journal.JournalIssue.PubDate")
+    parts = F.transform(F.col("Abstract.AbstractText"), _leading)
+    joined = F.array_join(F.filter(parts, lambda p: p.isNotNull()), " ")
+    out = each.select(
+        _leading(F.col("id")).alias("article_id"), _leading(F.col("ArticleTitle")).alias("title"),
+        F.nullif(F.regexp_replace(joined, r"^\s+|\s+$", ""), F.lit("")).alias("abstract"),
+        dates.pub_date(_leading(date["Year"]), _leading(date["Month"]), _leading(date["MedlineDate"])).alias("publish_date"))
+    return _named(out, drug_terms if drug_terms is not None else DRUG_KEYWORDS), broken
 
 
 FORUM_PAYLOAD = T.StructType([T.StructField("data", T.StructType([
