@@ -1,4 +1,4 @@
-"""Retrieval (R1-R7, T4, X2): corpus prep, embeddings, exact filtered kNN, context assembly.
+"""Retrieval (R1-R7, T4, X2): corpus prep, exact filtered kNN, context assembly. TF-IDF search is in ``index``.
 
 Exact kNN plan
 --------------
@@ -32,35 +32,6 @@ def prepare_corpus(articles: DataFrame) -> DataFrame:
             .withColumn("drug_name", F.coalesce("drug_name", F.lit(""))))
 
 
-def tfidf_model(fit_df: DataFrame, text_col: str, num_features: int = 256):
-    """R2 re-aimed: tokens -> HashingTF -> IDF -> L2 Normalizer, fitted once on ``fit_df`` (one
-    distributed pass for the document frequencies). A low, fixed dimension keeps vectors dense
-    for exact kNN."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern="\\W+", toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)]).fit(fit_df)
-
-
-def tfidf_apply(model, df: DataFrame, out_col: str = "embedding") -> DataFrame:
-    """Embed ``df`` (which has the model's text column) as a dense ``array<float>``."""
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(df)
-    return out.withColumn(out_col, vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
-
-
-def tfidf_embed(df: DataFrame, text_col: str, fit_df: DataFrame | None = None, num_features: int = 256,
-                out_col: str = "embedding") -> DataFrame:
-    """Fit on ``fit_df`` (default ``df``) and embed ``df``; use tfidf_model / tfidf_apply to
-    embed several frames with one fitted model."""
-    return tfidf_apply(tfidf_model(fit_df if fit_df is not None else df, text_col, num_features), df, out_col)
-
-
 def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per query the k nearest rows (by exact squared L2 distance, then id): positions and distances.
 
@@ -147,22 +118,19 @@ def context_text(hits: DataFrame, key: str = "query_id", clip: int = 1000, sep:
     return agg.select(key, F.array_join(F.transform("_l", lambda s: s["line"]), sep).alias("text"))
 
 
-def digest_context(profiles: DataFrame, articles: DataFrame, k: int = 5, clip: int = 1000,
-                   num_features: int = 256) -> DataFrame:
+def digest_context(profiles: DataFrame, articles: DataFrame, k: int = 5, clip: int = 1000) -> DataFrame:
     """Per profile (profile_id, drug_name, age_group, risk_label) the research
-    context that would be handed to the language model: the profile query text is embedded with
-    the TF-IDF model fitted on the article abstracts, the k nearest abstracts OF THAT DRUG are
-    retrieved, and formatted; no hit -> "No relevant research found for <drug>."."""
+    context that would be handed to the language model: the profile query text is looked up in the TF-IDF index of
+    the article abstracts, the k nearest abstracts OF THAT DRUG are retrieved, and formatted; no hit -> "No relevant
+    research found for <drug>."."""
+    from pvspark.operators import index
+
     corpus = prepare_corpus(articles)
-    model = tfidf_model(corpus, "abstract", num_features)
-    emb = tfidf_apply(model, corpus)
-    q = profiles.withColumn("abstract", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
-    qe = tfidf_apply(model, q)
-    hits = knn(emb.select("article_id", "embedding", "drug_name"), qe.select(
-        F.col("profile_id").alias("query_id"), "embedding", F.col("drug_name").alias("q_drug")),
-        k=k, id_col="article_id", filter_col="drug_name", query_filter_col="q_drug")
+    built = index.build(corpus, "article_id", "abstract", "drug_name")
+    q = profiles.withColumn("text", profile_query(F.col("drug_name"), F.col("age_group"), F.col("risk_label")))
+    hits = index.search(built, q, k, "profile_id", "text", "drug_name")
     meta = corpus.select("article_id", "title", "publish_year", "abstract")
-    ctx = context_text(hits.join(meta, hits["vec_id"] == meta["article_id"]), key="query_id", clip=clip)
+    ctx = context_text(hits.join(meta, hits["doc"] == meta["article_id"]), key="query_id", clip=clip)
     out = profiles.join(ctx.withColumnRenamed("query_id", "profile_id"), "profile_id", "left")
     none = F.format_string("No relevant research found for %s.", F.col("drug_name"))
     return out.select("profile_id", "drug_name", F.coalesce(F.col("text"), none).alias("text"))

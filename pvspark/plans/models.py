@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pvspark.operators import model, score
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import age_group_sql, register, round_doubles
+from pvspark.plans.retrieval import TFIDF_SQL
 from pvspark.plans.checks import requests_df
 from pvspark.plans.layers import (master_df, silver_articles_df, silver_labels_df, silver_posts_df,
                                   silver_reports_df)
@@ -139,7 +140,17 @@ def q_display_rows(spark, sf_dir):
     return score.display_rows(rep, missing)
 
 
-@register("digest_context")
+@register("digest_context", _MASTER + """,
+c AS (SELECT article_id AS id, coalesce(drug_name, '') AS key, abstract AS text, coalesce(title, '') AS title, coalesce(publish_year, 0) AS y
+      FROM silver_articles WHERE article_id IS NOT NULL AND length(abstract) > 0),
+prof AS (SELECT drug_name, 100.0 * adv_serious_reports / adv_total_reports AS pct, """ + age_group_sql("CAST(trunc(adv_avg_age) AS INTEGER)") + """ AS age_group
+         FROM master WHERE adv_total_reports > 0),
+q AS (SELECT drug_name AS query_id, drug_name AS want, drug_name || ' adverse effects ' || age_group || ' patients '
+             || CASE WHEN pct < 30 THEN 'LOW' WHEN pct < 70 THEN 'MEDIUM' ELSE 'HIGH' END || ' risk' AS text FROM prof),""" + TFIDF_SQL + """,
+ctx AS (SELECT query_id, string_agg('[' || c.id || '] ' || title || ' (' || CAST(y AS VARCHAR) || '):' || chr(10) || substr(c.text, 1, 1000),
+                                    chr(10) || chr(10) ORDER BY rank) AS text FROM r JOIN c ON c.id = r.id WHERE rank <= 5 GROUP BY query_id)
+SELECT drug_name AS profile_id, drug_name, coalesce(text, 'No relevant research found for ' || drug_name || '.') AS text
+FROM prof LEFT JOIN ctx ON query_id = drug_name""")
 def q_digest_context(spark, sf_dir):
     """Per drug profile (age group of the average age, risk label of the serious-report
     rate) the retrieved research context text (TF-IDF retrieval filtered to the drug)."""

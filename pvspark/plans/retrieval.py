@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pvspark.operators import retrieve
+from pvspark.operators import index, retrieve
 from pvspark.operators.dedup import upsert_latest
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import r6, register
@@ -84,17 +84,33 @@ def q_context_text(spark, sf_dir):
     return retrieve.context_text(j)
 
 
-@register("tfidf_knn")
+TFIDF_SQL = """
+n AS (SELECT count(*) AS n FROM c),
+cw AS (SELECT id, key, term, count(*) AS tf FROM (SELECT id, key, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+')) AS term FROM c)
+       WHERE term <> '' GROUP BY id, key, term),
+v AS (SELECT term, ln((n.n + 1) / (count(*) + 1)) AS idf FROM cw, n GROUP BY term, n.n),
+dw AS (SELECT id, key, term, tf * idf AS w, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY id)) AS norm FROM cw JOIN v USING (term)),
+qw AS (SELECT query_id, want, term, tf * idf AS w, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY query_id)) AS norm
+       FROM (SELECT query_id, want, term, count(*) AS tf FROM (
+               SELECT query_id, want, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+')) AS term FROM q)
+             WHERE term <> '' GROUP BY query_id, want, term) JOIN v USING (term)),
+hit AS (SELECT query_id, id, sum(qw.w * dw.w / qw.norm / dw.norm) AS score FROM qw JOIN dw USING (term)
+        WHERE qw.w > 0 AND dw.w > 0 AND (want IS NULL OR want = key) GROUP BY query_id, id),
+full_ AS (SELECT q.query_id, c.id, round(coalesce(score, 0.0), 9) AS score FROM q JOIN c ON want IS NULL OR want = key
+          LEFT JOIN hit ON hit.query_id = q.query_id AND hit.id = c.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM full_)"""
+
+
+@register("tfidf_knn", f"""
+WITH c AS (SELECT doc_id AS id, NULL::VARCHAR AS key, text FROM documents),
+q AS (SELECT item_id AS query_id, NULL::VARCHAR AS want, text FROM benchmark), {TFIDF_SQL}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id AS doc_id, round(score, 6) AS similarity FROM r WHERE rank <= 5""")
 def q_tfidf_knn(spark, sf_dir):
-    """R2 + R4: TF-IDF embeddings of every document; each benchmark passage retrieves its 5
-    nearest documents (Spark-side only; brute-force checked in tests)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    bench = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    model = retrieve.tfidf_model(docs, "text")            # one IDF fit, reused for both sides
-    corpus = retrieve.tfidf_apply(model, docs)
-    queries = retrieve.tfidf_apply(model, bench)
-    hits = retrieve.knn(corpus.withColumnRenamed("doc_id", "vec_id"), queries, k=5)
-    return hits.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("doc_id"))
+    """R2 + R4: TF-IDF vectors of every document over the whole vocabulary; each benchmark passage retrieves its 5 nearest
+    documents from the inverted index."""
+    built = index.build(read_table(spark, sf_dir, "documents"))
+    hits = index.search(built, read_table(spark, sf_dir, "benchmark"), k=5, id_col="item_id")
+    return hits.select("query_id", "rank", F.col("doc").alias("doc_id"), r6("score").alias("similarity"))
 
 
 def _list_sql() -> str:

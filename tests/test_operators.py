@@ -259,7 +259,7 @@ def test_digest_context_filters_by_drug(spark):
         "article_id string, title string, abstract string, drug_name string, publish_year int")
     prof = spark.createDataFrame([("p1", "ASPIRIN", "65+", "HIGH"), ("p2", "NONE", "0-17", "LOW")],
                                  "profile_id string, drug_name string, age_group string, risk_label string")
-    out = {r.profile_id: r.text for r in digest_context(prof, arts, k=5, num_features=32).collect()}
+    out = {r.profile_id: r.text for r in digest_context(prof, arts, k=5).collect()}
     assert "[1] t1 (2001):" in out["p1"] and "[2] t2 (2002):" in out["p1"] and "[3]" not in out["p1"]
     assert out["p2"] == "No relevant research found for NONE."
 

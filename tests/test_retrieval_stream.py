@@ -80,11 +80,45 @@ def test_research_list_empty_result(spark):
     assert got == {"a": "- [7] t (1999): " + "x" * 300, "b": "No relevant research papers found for B."}
 
 
-def test_tfidf_embeddings_are_unit_vectors(spark):
-    docs = read_table(spark, SF_TINY, "documents").select("doc_id", "text")
-    e = retrieve.tfidf_embed(docs, "text", num_features=64).select("embedding").limit(20).toPandas()
-    norms = [np.linalg.norm(np.asarray(v, dtype=np.float64)) for v in e.embedding]
-    assert all(abs(n - 1.0) < 1e-5 or n == 0.0 for n in norms)
+def test_index_prunes_and_equals_brute_force(spark, monkeypatch):
+    """Small blocks and few seeds, so that salts, levels and bounds all matter."""
+    import math
+    import random
+    import re
+
+    from pvspark.operators import index
+    monkeypatch.setattr(index, "BLOCK", 4)
+    monkeypatch.setattr(index, "SEEDS", 1)
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(40)] + ["é中", "the", "the", "the"]
+    docs = [(f"d{i:03d}", " ".join(rng.choices(vocab, k=rng.randrange(1, 30))) + " The", rng.choice("ab")) for i in range(150)]
+    docs += [("e1", None, "a"), ("e2", " ,; ", "b"), ("e3", "only here", None)]
+    asked = [("q1", "w1 w2, W3 the é中", None), ("q2", "w5 w5 w7", "a"), ("q3", "unknown words", None), ("q4", None, "b"), ("q5", "w9", "zz"), ("q6", "here", None)]
+    built = index.build(spark.createDataFrame(docs, "id string, text string, grp string"), "id", "text", "grp")
+    got = index.search(built, spark.createDataFrame(asked, "q string, text string, want string"), 7, "q", "text", "want").collect()
+
+    split = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    tf = {i: {w: split(t).count(w) for w in split(t)} for i, t, _ in docs}
+    idf = {w: math.log((len(docs) + 1) / (sum(w in v for v in tf.values()) + 1)) for v in tf.values() for w in v}
+
+    def vec(counts):
+        v = {w: n * idf[w] for w, n in counts.items() if idf.get(w, 0) > 0}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vecs, want = {i: vec(v) for i, v in tf.items()}, []
+    for q, t, g in asked:
+        v = vec({w: split(t).count(w) for w in split(t)})
+        scored = sorted((-round(sum(x * vecs[i].get(w, 0) for w, x in v.items()), 9), i) for i, _, grp in docs if g is None or grp == g)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:7])]
+    assert sorted((r.query_id, r.rank, r.doc) for r in got) == sorted(w[:3] for w in want)
+    assert all(abs(r.score - dict(((a, b), d) for a, b, _, d in want)[r.query_id, r.rank]) < 1e-8 for r in got)
+
+
+def test_index_without_rows(spark):
+    from pvspark.operators import index
+    built = index.build(spark.createDataFrame([], "doc_id long, text string"))
+    assert index.search(built, spark.createDataFrame([(1, "a")], "query_id long, text string")).collect() == []
 
 
 def _write_lines(path, lines):
