@@ -55,6 +55,20 @@ def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -
     return out
 
 
+def part_search(k: int):
+    """Cogroup function: a part's vectors (vec_id, v) and its queries (query_id, q) -> query_id, vec_id, distance."""
+    def search(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if c.empty or q.empty:
+            return pd.DataFrame({"query_id": q["query_id"][:0], "vec_id": c["vec_id"][:0], "distance": np.zeros(0)})
+        vectors = np.stack(c["v"].to_numpy()).astype(np.float64)
+        ids = c["vec_id"].to_numpy()
+        found = nearest(vectors, ids, np.stack(q["q"].to_numpy()).astype(np.float64), k)
+        return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(), [len(p) for p, _ in found]),
+                             "vec_id": ids[np.concatenate([p for p, _ in found])],
+                             "distance": np.concatenate([d for _, d in found])})
+    return search
+
+
 def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding", filter_col: str | None = None,
         query_filter_col: str | None = None, part: int = PART) -> DataFrame:
@@ -77,19 +91,9 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
     every = asked.filter("want is null").withColumn("one", F.lit(1)).join(slots.withColumn("one", F.lit(1)), "one")
     sent = some.select("query_id", "q", "slot", "n").unionByName(every.select("query_id", "q", "slot", "n"))
 
-    def search(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if c.empty or q.empty:
-            return pd.DataFrame({"query_id": q["query_id"][:0], "vec_id": c["vec_id"][:0], "distance": np.zeros(0)})
-        vectors = np.stack(c["v"].to_numpy()).astype(np.float64)
-        ids = c["vec_id"].to_numpy()
-        found = nearest(vectors, ids, np.stack(q["q"].to_numpy()).astype(np.float64), k)
-        return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(), [len(p) for p, _ in found]),
-                             "vec_id": ids[np.concatenate([p for p, _ in found])],
-                             "distance": np.concatenate([d for _, d in found])})
-
     types = {f.name: f.dataType.simpleString() for f in [*asked.schema, *rows.schema]}
     cand = (dealt.groupBy("key", "part").cogroup(sent.groupBy("slot", "n"))
-            .applyInPandas(search, f"query_id {types['query_id']}, vec_id {types['vec_id']}, distance double"))
+            .applyInPandas(part_search(k), f"query_id {types['query_id']}, vec_id {types['vec_id']}, distance double"))
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col("vec_id").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "distance", (F.lit(1.0) - F.col("distance")).alias("similarity")))

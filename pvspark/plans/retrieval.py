@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from pvspark.operators import index, retrieve
+from pvspark.operators import cells, index, retrieve
 from pvspark.operators.dedup import upsert_latest
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import r6, register
@@ -48,6 +50,45 @@ def q_knn_all(spark, sf_dir):
     return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", r6("distance").alias("distance"))
 
 
+def _cells(spark, sf_dir, key_col=None):
+    from pvspark.session import scratch_path
+    emb = read_table(spark, sf_dir, "embeddings")
+    return cells.build(emb, scratch_path(spark, f"vectors-{uuid.uuid4().hex}"), key_col=key_col), emb
+
+
+def _hit_columns(hits):
+    return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", r6("distance").alias("distance"))
+
+
+@register("knn_cells", _knn_sql(False))
+def q_knn_cells(spark, sf_dir):
+    """R4 / T4 over k-means cells, exact: the rows of ``knn_all``, from the cells that can hold them."""
+    built, emb = _cells(spark, sf_dir)
+    return _hit_columns(cells.search(built, _queries(emb), k=5)[0])
+
+
+@register("knn_cells_filtered", _knn_sql(True))
+def q_knn_cells_filtered(spark, sf_dir):
+    """R4 / T4 over k-means cells with the equality filter."""
+    built, emb = _cells(spark, sf_dir, "label")
+    return _hit_columns(cells.search(built, _queries(emb), k=5, query_key_col="query_label")[0])
+
+
+@register("knn_probe_recall")
+def q_knn_probe_recall(spark, sf_dir):
+    """R4, approximate: every 100th vector asks for its 10 nearest among the CELLS / 4 nearest cells; recall against the
+    exact search and the share of (query, cell) pairs that each reads (rows-only check: k-means)."""
+    built, emb = _cells(spark, sf_dir)
+    q = emb.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    exact, read = cells.search(built, q, k=10)
+    some, probed = cells.search(built, q, k=10, probes=cells.CELLS // 4)
+    hit = exact.join(some, ["query_id", "vec_id"], "left_semi")
+    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    pairs = n(q) * n(built.stats)
+    return spark.range(1).select((n(hit) / n(exact)).alias("recall"), (n(read) / pairs).alias("cells_read_exact"),
+                                 (n(probed) / pairs).alias("cells_read_probes"))
+
+
 @register("upsert_latest", """
 WITH u AS (SELECT vec_id, label, 1 AS version FROM embeddings
            UNION ALL SELECT vec_id, label + 100, 2 FROM embeddings WHERE embedding[1] > 0)

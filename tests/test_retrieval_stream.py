@@ -80,6 +80,30 @@ def test_research_list_empty_result(spark):
     assert got == {"a": "- [7] t (1999): " + "x" * 300, "b": "No relevant research papers found for B."}
 
 
+def test_cells_equal_brute_force_and_skip_cells(spark, tmp_dir):
+    from pvspark.operators import cells
+    rng = np.random.default_rng(5)
+    middles = rng.normal(0, 20, (12, 6))
+    rows = [(f"v{i:04d}", [float(x) for x in middles[i % 12] + rng.normal(0, 1, 6)], "ab"[i % 2]) for i in range(600)]
+    rows += [("same1", rows[0][1], "a"), ("same0", rows[0][1], "a"), ("null", None, "a"), ("nokey", rows[5][1], None)]
+    corpus = spark.createDataFrame(rows, "vec_id string, embedding array<double>, grp string")
+    asked = [(i, rows[i * 7][1], ("a", None, "b", "none")[i % 4]) for i in range(16)] + [(99, None, "a")]
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>, want string")
+    built = cells.build(corpus, f"{tmp_dir}/cells", cells=12, key_col="grp")
+    got, read = cells.search(built, queries, k=4, query_key_col="want", part=16)
+    want = []
+    for q, v, g in asked:
+        if v is not None:
+            near = sorted((float(((np.array(x) - np.array(v)) ** 2).sum()), i) for i, x, grp in rows if x is not None and g in (None, grp))[:4]
+            want += [(q, n + 1, i) for n, (_, i) in enumerate(near)]
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got.collect()) == sorted(want)
+    assert read.filter("query_id % 4 = 1").count() < 4 * 12                       # unfiltered queries skip cells
+    near, _ = cells.search(built, queries, k=4, query_key_col="want", probes=1)
+    assert {r.query_id for r in near.collect()} <= {q for q, *_ in asked}
+    empty = cells.build(corpus.limit(0), f"{tmp_dir}/none", cells=3)
+    assert cells.search(empty, queries, k=2)[0].collect() == []
+
+
 def test_index_prunes_and_equals_brute_force(spark, monkeypatch):
     """Small blocks and few seeds, so that salts, levels and bounds all matter."""
     import math
