@@ -79,6 +79,10 @@ def tag_first(text, terms: Sequence[str] | Column) -> Column:
 
 
 GRAM = 4            # characters of a key of the dictionary join; shorter terms are their own key
+PIECE = 256         # characters of a text that are cut into grams at once (cutting is linear in the text then)
+BITS = 63           # used bits of a filter word
+KEY_BITS = 16       # filter bits for a key
+FILTER_WORDS = 1 << 15      # at most 256 KB of filter; with more keys it lets more grams pass, none less
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -88,14 +92,34 @@ def _grams(text: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def _bit(gram: Column, words: Column) -> tuple[Column, Column]:
+    """Filter word and bit of a gram."""
+    at = F.pmod(F.xxhash64(gram), words * BITS)
+    return F.floor(at / BITS).cast("int"), (at % BITS).cast("int")
+
+
+def _gram_filter(keys: DataFrame) -> tuple[Column, Column]:
+    """The filter over ``keys(g)`` as two scalars: an array of words, and their number. Spark builds the bits with one
+    aggregation a word; its size follows the number of keys up to FILTER_WORDS."""
+    words = keys.agg(F.least(F.lit(FILTER_WORDS), F.ceil((F.count(F.lit(1)) + 1) * KEY_BITS / BITS)).cast("int")).scalar()
+    word, bit = _bit(F.col("g"), words)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    none = F.explode(F.sequence(F.lit(0), words - 1))
+    full = (keys.select(word.alias("w"), one.alias("b"))
+            .unionByName(keys.sparkSession.range(1).select(none.alias("w"), F.lit(0).cast("bigint").alias("b")))
+            .groupBy("w").agg(F.bit_or("b").alias("b")))
+    bits = full.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"])).scalar()
+    return bits, words
+
+
 def match_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: str = "term", out: str = "terms") -> DataFrame:
     """J6 / J8 for a dictionary table of any size: ``df`` plus ``out``, the array of all terms that the text contains
     (case-insensitively), in the terms' order; null for a text without a match.
 
-    Each term is keyed by its rarest n-gram in the dictionary, each different text emits its distinct n-grams, an
-    equi-join brings candidates together and ``contains`` decides. Texts travel as hashes and are joined back to
-    their candidates, so a text that many rows share is matched once. A frequent n-gram is split by Spark's
-    skew-join handling; nothing is broadcast or collected, and no term x text table exists.
+    Each term is keyed by its rarest n-gram in the dictionary. Texts are cut into grams of the lengths that keys have, and a
+    filter of the keys' own grams is tested before a gram leaves its row, so only grams that are (very likely) keys
+    are shuffled, as hashes of their text. An equi-join brings candidate terms together, and ``contains`` decides where
+    the text is. A frequent gram is split by Spark's skew-join handling; nothing of the texts is broadcast or collected.
     """
     low = F.lower(F.coalesce(text, F.lit("")))
     terms = (dictionary.select(F.col(col).alias("t")).filter("t is not null and t != ''").distinct()
@@ -103,13 +127,21 @@ def match_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: st
     grams = terms.select("t", "l", F.explode(F.when(F.length("l") < GRAM, F.array("l")).otherwise(_grams(F.col("l"), GRAM))).alias("g"))
     rarity = grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     keyed = grams.join(rarity, "g").groupBy("t", "l").agg(F.min(F.struct("n", "g")).alias("k")).select("t", "l", F.col("k.g").alias("g"))
+    keys = keyed.select("g").distinct()
+    bits, words = _gram_filter(keys)
+    lengths = keys.agg(F.coalesce(F.collect_set(F.length("g")), F.array().cast("array<int>"))).scalar()
     rows = df.withColumns({"__hay": low, "__h": F.xxhash64(low)})
-    hays = rows.select("__h", "__hay").distinct()
-    sizes = F.flatten(F.array(*[_grams(F.col("__hay"), n) for n in range(1, GRAM + 1)]))
-    found = (hays.select("__h", F.explode(sizes).alias("g")).join(keyed, "g").select("__h", "t", "l")
-             .join(hays, "__h").filter(F.contains("__hay", F.col("l")))
-             .groupBy("__h", "__hay").agg(F.array_sort(F.collect_set("t")).alias(out)))
-    return rows.join(found, ["__h", "__hay"], "left").drop("__h", "__hay")
+    pieces = (rows.select("__h", "__hay", F.explode(F.sequence(F.lit(1), F.greatest(F.length("__hay"), F.lit(1)), F.lit(PIECE))).alias("p"))
+              .select("__h", F.substr("__hay", F.col("p"), F.lit(PIECE + GRAM - 1)).alias("piece")))
+    cut = (pieces.select("__h", "piece", F.explode(lengths).alias("n"))
+           .select("__h", "piece", "n", F.explode(F.sequence(F.lit(1), F.lit(PIECE))).alias("i"))
+           .filter(F.col("i") + F.col("n") - 1 <= F.length("piece")).select("__h", F.substr("piece", F.col("i"), F.col("n")).alias("g")))
+    word, bit = _bit(F.col("g"), words)
+    known = F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    found = (cut.filter(known).distinct().join(keyed, "g").groupBy("__h").agg(F.collect_set(F.struct("t", "l")).alias("__c")))
+    hit = F.array_sort(F.transform(F.filter("__c", lambda c: F.contains("__hay", c["l"])), lambda c: c["t"]))
+    joined = rows.join(found, "__h", "left").withColumn(out, hit)
+    return joined.withColumn(out, F.when(F.size(out) > 0, F.col(out))).drop("__h", "__hay", "__c")
 
 
 def tag_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: str = "term", out: str = "drug_mentions") -> DataFrame:

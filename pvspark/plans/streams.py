@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pvspark.plans.base import register
 from pvspark.session import scratch_path
 from pvspark.sources import fixtures
-from pvspark.streaming import ingest
+from pvspark.streaming import batches, ingest
 
 DEDUP_DELAY = "1 day"
 REPLAY_DAYS = 60            # the replayed messages come this much later
@@ -37,9 +37,8 @@ def write_messages(spark: SparkSession, msgs: DataFrame) -> str:
 
 def run_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = write_messages(spark, messages(spark, sf_dir))
-    terms = [r.term for r in fixtures.drug_dictionary(spark, sf_dir).orderBy("term").collect()]   # the caller's list
-    stream = ingest.enrich(ingest.decode_messages(ingest.read_messages(spark, "files", f"{root}/in")), terms)
-    q = ingest.write_batches(stream, f"{root}/out", f"{root}/ckpt")
+    stream = ingest.decode_messages(ingest.read_messages(spark, "files", f"{root}/in"))
+    q = ingest.write_batches(stream, f"{root}/out", f"{root}/ckpt", dictionary=fixtures.drug_dictionary(spark, sf_dir))
     q.awaitTermination()
     return ingest.read_batches(spark, f"{root}/out")
 
@@ -98,3 +97,31 @@ def q_stream_dedup(spark, sf_dir):
     again.select(ingest.message_json(again, F.col("tie1")).alias("value")).write.mode("append").text(f"{root}/in")
     drain()
     return spark.read.parquet(f"{root}/dedup").groupBy("post_id").agg(F.count(F.lit(1)).alias("passes"))
+
+
+LANES = 4
+
+
+@register("stream_batches", fixtures.oracle_ctes("posts_base") + f"""
+, m AS (SELECT CASE WHEN tie1 % 43 = 0 OR tie1 % 101 = 0 OR tie1 % 103 = 0 THEN 0 ELSE CAST(post_id AS BIGINT) % {LANES} END AS lane FROM posts_base)
+SELECT CAST(lane AS VARCHAR) AS lane, count(*) AS messages, count(*) // {batches.SIZE} AS full_batches,
+       CAST(count(*) % {batches.SIZE} > 0 AS BIGINT) AS idle_batches, max({batches.SIZE})::BIGINT AS largest, 0::BIGINT AS lost
+FROM m GROUP BY lane""")
+def q_stream_batches(spark, sf_dir):
+    """ST3 + ST5: batches that close at 100 messages or when a lane is idle. Half of the messages come first, and the query is
+    stopped with messages waiting; the rest comes after the restart, and the idle timers flush what is left."""
+    msgs = messages(spark, sf_dir)
+    text = msgs.select("tie1", ingest.message_json(msgs, F.col("tie1")).alias("value"))
+    root = scratch_path(spark, f"batches-{uuid.uuid4().hex}")
+    lane = F.coalesce(F.try_variant_get(F.try_parse_json("value"), "$.post_id", "bigint") % LANES, F.lit(0).cast("bigint"))
+    text.filter("tie1 % 2 = 0").select("value").write.text(f"{root}/in")
+    stream = ingest.read_messages(spark, "files", f"{root}/in")
+    batches.run_until_quiet(stream, lane, f"{root}/out", f"{root}/ckpt", idle_seconds=3600, quiet=2)
+    text.filter("tie1 % 2 = 1").select("value").write.mode("append").text(f"{root}/in")
+    batches.run_until_quiet(stream, lane, f"{root}/out", f"{root}/ckpt", idle_seconds=2)
+    out = spark.read.schema(batches.BATCH).parquet(f"{root}/out")
+    lost = spark.read.text(f"{root}/in").exceptAll(out.select(F.explode("values").alias("value"))).agg(F.count(F.lit(1))).scalar()
+    size = F.size("values").cast("bigint")
+    return (out.groupBy("lane").agg(F.sum(size).alias("messages"), F.count_if(F.col("closed_by") == "size").alias("full_batches"),
+                                    F.count_if(F.col("closed_by") == "idle").alias("idle_batches"), F.max(size).alias("largest"))
+            .withColumn("lost", lost))

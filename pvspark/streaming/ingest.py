@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pvspark.functions.text import DRUG_KEYWORDS, tag_all
+from pvspark.functions.text import DRUG_KEYWORDS, tag_all, tag_dictionary
 from pvspark.operators.validate import post_rules, reason
 
 DECODE_ERROR = "could not decode message"
@@ -86,6 +86,13 @@ def enrich(df: DataFrame, terms=DRUG_KEYWORDS) -> DataFrame:
     return df.withColumn("drug_mentions", F.coalesce(F.col("drug_mentions"), tag_all(hay, terms)))
 
 
+def enrich_batch(batch: DataFrame, dictionary: DataFrame, col: str = "term") -> DataFrame:
+    """ST6 with a dictionary table of any size, for a micro-batch: fill missing ``drug_mentions``."""
+    hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")))
+    return (tag_dictionary(batch, hay, dictionary, col, "__found")
+            .withColumn("drug_mentions", F.coalesce("drug_mentions", "__found")).drop("__found"))
+
+
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the query that owns a checkpoint (its metadata file, written before the first batch)."""
     row = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
@@ -93,15 +100,18 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def write_batches(decoded: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                  query_name: str | None = None, quality_out: str | None = None) -> StreamingQuery:
+                  query_name: str | None = None, quality_out: str | None = None, dictionary: DataFrame | None = None) -> StreamingQuery:
     """K2 + K11 + ST4: valid rows and quarantine, one partitioned overwrite per query and batch id.
 
+    ``dictionary`` (column ``term``): fill missing ``drug_mentions`` of each batch from this table (ST6).
+
     With ``quality_out`` the posts suite (Q7) also runs on each batch's valid rows and its
     per-check results are written below ``quality_out`` likewise (recorded, not a gate: a stream
     keeps running). The micro-batch is persisted for the two passes and released afterwards."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         part = f"query={_query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
-        tagged = batch.withColumn("is_valid", F.col("reject_reason").isNull())
+        tagged = batch if dictionary is None else enrich_batch(batch, dictionary)
+        tagged = tagged.withColumn("is_valid", F.col("reject_reason").isNull())
         if quality_out:
             tagged = tagged.persist()
         tagged.write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/{part}")

@@ -90,3 +90,26 @@ def test_pub_date_forms(spark):
 def test_report_date_parse(spark):
     got = _col(spark, ["20240131", "20241341", "2024", None], "string", dates.report_date)
     assert [str(x) if x else None for x in got] == ["2024-01-31", None, None, None]
+
+
+def test_match_dictionary_equals_contains(spark, monkeypatch):
+    """Short and long terms, texts across pieces, a filter so small that it lets much pass, nulls and no rows."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pvspark.functions import text as t
+    monkeypatch.setattr(t, "PIECE", 16)
+    rng = random.Random(8)
+    letters = "abcdé "
+    texts = [None, "", "a", "ABC"] + ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 120))) for _ in range(150)]
+    terms = sorted({"".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 4, 5, 9]))) for _ in range(120)} | {"", None, "ABC", "é"}, key=str)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    words = spark.createDataFrame([(w,) for w in terms], "term string")
+    want = {i: sorted(w for w in terms if w and w.lower() in (x or "").lower()) or None for i, x in enumerate(texts)}
+    for most in (1, t.FILTER_WORDS):
+        monkeypatch.setattr(t, "FILTER_WORDS", most)
+        got = {r.i: r.terms for r in t.match_dictionary(df, F.col("x"), words).collect()}
+        assert got == want
+    assert all(r.terms is None for r in t.match_dictionary(df, F.col("x"), words.limit(0)).collect())
+    assert t.match_dictionary(df.limit(0), F.col("x"), words).collect() == []

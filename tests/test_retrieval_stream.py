@@ -188,3 +188,21 @@ def test_invalid_utf8_bytes_rejected(spark):
                                 (bytearray(b"\xff\xfe{"),)], "value binary")
     got = [r.reject_reason for r in ingest.decode_messages(df).collect()]
     assert got == [None, "could not decode message"]
+
+
+def test_batches_close_by_size_or_idle_and_survive_a_stop(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from pvspark.streaming import batches
+    src, lane = f"{tmp_dir}/in", F.col("value").cast("long") % 2
+    _write_lines(src, [str(i) for i in range(25)])
+    stream = spark.readStream.format("text").load(src)
+    batches.run_until_quiet(stream, lane, f"{tmp_dir}/out", f"{tmp_dir}/ck", size=5, idle_seconds=3600, quiet=2)
+    assert sorted((r.lane, r.batch) for r in spark.read.schema(batches.BATCH).parquet(f"{tmp_dir}/out").collect()) == [
+        ("0", 0), ("0", 1), ("1", 0), ("1", 1)]                                    # 3 and 2 messages wait
+    _write_lines(src, [str(i) for i in range(25, 34)])
+    batches.run_until_quiet(stream, lane, f"{tmp_dir}/out", f"{tmp_dir}/ck", size=5, idle_seconds=1)
+    rows = spark.read.schema(batches.BATCH).parquet(f"{tmp_dir}/out").collect()
+    assert sorted(int(v) for r in rows for v in r["values"]) == list(range(34))
+    assert all(len(r["values"]) == 5 if r.closed_by == "size" else 0 < len(r["values"]) < 5 for r in rows)
+    assert sorted(r.lane for r in rows if r.closed_by == "idle") == ["0", "1"]
