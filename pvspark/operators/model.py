@@ -7,7 +7,10 @@
   unlike ``randomSplit``.
 * Model (M4): StringIndexer(keep) -> OneHotEncoder -> VectorAssembler -> GBTClassifier. Gradient-boosted trees
   replace the leaf-wise learner; scores are not comparable with it.
-* Attribution (M7): ABLATION, not SHAP - each (row, feature) copy has that feature set to its
+* Metrics (M5): AUC, F1 and log-loss from one table of distinct scores, by ranks with ties (``exact_metrics``).
+* Attribution (M7): ``path_contributions`` follows each row through each tree; every split passed credits its feature with
+  the change of the node value, so a row's contributions and the base add up to its log-odds. It is not SHAP (no
+  average over feature orders). ``contributions`` is the ABLATION form - each (row, feature) copy has that feature set to its
   baseline (training mean / most frequent category) and the contribution is the drop in log-odds.
   Rows are multiplied by the fixed feature count (10), never by data size, and scored in one
   ``transform``.
@@ -15,17 +18,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pvspark.functions.rules import age_group
+from pvspark.operators import ranks
+from pvspark.session import scratch_path
 
 # --- fixed values that must equal the reference's behaviour -------------------------------
 CATEGORICAL = ["drug_name", "age_group"]
@@ -88,20 +93,46 @@ def positive_probability(pred: DataFrame, out: str = "p1") -> DataFrame:
     return pred.withColumn(out, vector_to_array("probability")[1])
 
 
+def exact_metrics(scored: DataFrame, label: str = "label", score: str = "p1", by: Sequence[str] = (), folder: str | None = None) -> DataFrame:
+    """M5: one row (auc, f1, log_loss) over rows with a 0 / 1 label and a score from 0 to 1; with ``by``, one for each group.
+
+    Rows combine map-side into distinct scores; those go to range partitions, and each score's rank follows from its
+    partition's prefix sum. AUC counts ties as one half and is 0 if a class is missing; F1 is that of scores from 0.5 on, 0 if
+    there is nothing to find; log-loss clips scores by 1e-15 and is 0 without rows. Null labels or scores are left out.
+    """
+    y, s = F.col(label).cast("double"), F.col(score).cast("double")
+    per = (scored.filter(y.isNotNull() & s.isNotNull()).groupBy(*by, s.alias("s"))
+           .agg(F.count_if(y == 1.0).alias("pos"), F.count_if(y != 1.0).alias("neg")))
+    by = list(by)
+    ranged = ranks.range_parts(per, [*[F.col(c) for c in by], F.col("s")], folder)
+    before = ranks.part_offsets(ranged, by, F.col("neg"), "all_neg", "part_neg")
+    before = before.select(F.col("__part").alias("p"), *[F.col(c).alias(f"__{c}") for c in by], "part_neg")
+    inside = F.sum("neg").over(Window.partitionBy("__part", *by).orderBy("s")) - F.col("neg")
+    on = F.col("__part") == F.col("p")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    below = ranged.withColumn("inside", inside).join(before, on)
+    p = F.least(F.greatest(F.col("s"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = -(F.col("pos") * F.log(p) + F.col("neg") * F.log(1 - p))
+    hit = F.col("s") >= 0.5
+    a = below.groupBy(*by).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+                  F.sum(F.col("pos") * (F.col("part_neg") + F.col("inside") + F.col("neg") / 2)).alias("won"),
+                  F.sum(F.when(hit, F.col("pos"))).alias("tp"), F.sum(F.when(hit, F.col("neg"))).alias("fp"), F.sum(loss).alias("loss"))
+    zero = F.lit(0.0)
+    tp, fp = F.coalesce("tp", F.lit(0)), F.coalesce("fp", F.lit(0))
+    return a.select(*by, F.coalesce(F.try_divide(F.col("won"), F.col("pos") * F.col("neg")), zero).alias("auc"),
+                    F.coalesce(F.try_divide(2.0 * tp, F.col("pos") + tp + fp), zero).alias("f1"),
+                    F.coalesce(F.try_divide(F.col("loss"), F.col("pos") + F.col("neg")), zero).alias("log_loss"))
+
+
 def evaluate(pred: DataFrame, label: str = "label") -> dict:
-    """M5: AUC, F1 of the positive class at 0.5, log-loss; 0.0 where undefined (one class)."""
-    classes = pred.select(label).distinct().count()
-    metrics = {}
-    metrics["auc"] = (BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                                    metricName="areaUnderROC").evaluate(pred)
-                      if classes == 2 else 0.0)
-    metrics["f1"] = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                      metricName="fMeasureByLabel", metricLabel=1.0).evaluate(pred) \
-        if pred.filter(F.col(label) == 1.0).limit(1).count() else 0.0
-    metrics["log_loss"] = MulticlassClassificationEvaluator(labelCol=label, probabilityCol="probability",
-                                                            metricName="logLoss").evaluate(pred) \
-        if classes >= 1 else 0.0
-    return metrics
+    """M5 of a model's predictions as a dict."""
+    return exact_metrics(positive_probability(pred), label).collect()[0].asDict()
+
+
+def medians(features: DataFrame, targets: Sequence[str] = tuple(TARGETS)) -> dict[str, float]:
+    """The median rate of each target over the (per-drug) features: a threshold with both classes."""
+    return features.agg(*[F.median(f"y_{t}").alias(t) for t in targets]).collect()[0].asDict()
 
 
 def train(features: DataFrame, target: str, threshold: float = 0.0, key: str = "drug_name",
@@ -111,7 +142,16 @@ def train(features: DataFrame, target: str, threshold: float = 0.0, key: str = "
     tr, te = data.filter("_split = 'train'"), data.filter("_split = 'test'")
     model = pipeline(categorical, continuous, **gbt).fit(tr)
     pred = model.transform(te)
-    return model, (evaluate(pred) if te.limit(1).count() else {"auc": 0.0, "f1": 0.0, "log_loss": 0.0}), te
+    return model, evaluate(pred), te
+
+
+def train_all(features: DataFrame, thresholds: dict[str, float], parallel: int = 4, **settings) -> dict[str, tuple[PipelineModel, dict]]:
+    """M4: one model and its metrics per target; the fits are independent jobs, ``parallel`` of them at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(parallel) as pool:
+        fits = {t: pool.submit(train, features, f"y_{t}", threshold=x, **settings) for t, x in thresholds.items()}
+        return {t: f.result()[:2] for t, f in fits.items()}
 
 
 def metrics_frame(spark, results: dict) -> DataFrame:
@@ -170,6 +210,79 @@ def contributions(model: PipelineModel, rows: DataFrame, baseline: DataFrame, ke
     return contrib.withColumn("rank", F.row_number().over(w))
 
 
+def ensemble_nodes(model: PipelineModel, folder: str, categorical=CATEGORICAL, continuous=CONTINUOUS) -> tuple[DataFrame, float, int]:
+    """The split nodes of a fitted ensemble as a table, the log-odds that all roots give, and the depth of the trees.
+
+    A row is (tree, node, feature, where the feature's value is, the split, and for both sides the child and the change of
+    log-odds). Read from the saved form; its size is bounded by the training settings (trees x nodes), not by data.
+    """
+    gbt, spark = model.stages[-1], SparkSession.active()
+    gbt.write().overwrite().save(folder)
+    n = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*").select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("prediction").alias("value"), "leftChild", "rightChild",
+        F.col("split.featureIndex").alias("at"), F.col("split.leftCategoriesOrThreshold").alias("left_if"),
+        (F.col("split.numCategories") == -1).alias("ordered"))
+    weights = spark.createDataFrame(list(enumerate(map(float, gbt.treeWeights))), "tree int, weight double")
+    n = n.join(F.broadcast(weights), "tree")                       # one row a tree
+    base = n.filter("node = 0").agg(F.sum(2.0 * F.col("weight") * F.col("value")).alias("b")).collect()[0].b
+    labels = [st.labels for st in model.stages if hasattr(st, "labels")]
+    # the encoder keeps a place for invalid values after each column's categories
+    sizes = [n + 1 for st in model.stages if hasattr(st, "categorySizes") for n in st.categorySizes]
+    used = [r["at"] for r in n.filter("leftChild >= 0").select("at").distinct().collect()]      # at most the number of nodes
+    rows = []
+    for at in used:
+        start = 0
+        for c, known, size in zip(categorical, labels, sizes, strict=True):
+            if start <= at < start + size:
+                rows.append((at, c, categorical.index(c), known[at - start] if at - start < len(known) else None, None))
+            start += size
+        if at >= start:
+            rows.append((at, continuous[at - start], None, None, at - start))
+    where = spark.createDataFrame(rows, "at int, feature string, cat int, category string, num int")
+    child = n.select("tree", F.col("node").alias("child"), F.col("value").alias("child_value"))
+    split = n.filter("leftChild >= 0").join(F.broadcast(where), "at")
+    for side in ("left", "right"):
+        split = (split.join(child.withColumnRenamed("child", f"{side}Child"), ["tree", f"{side}Child"])
+                 .withColumn(f"{side}_gain", 2.0 * F.col("weight") * (F.col("child_value") - F.col("value"))).drop("child_value"))
+    return (split.select("tree", "node", "feature", "cat", "category", "num", "left_if", "ordered", F.col("leftChild").alias("left"),
+                         F.col("rightChild").alias("right"), "left_gain", "right_gain"), base, gbt.getMaxDepth())
+
+
+def path_contributions(model: PipelineModel, rows: DataFrame, key: str = "row_id", categorical=CATEGORICAL, continuous=CONTINUOUS,
+                       folder: str | None = None) -> DataFrame:
+    """Key, feature, contribution (log-odds), rank by |contribution| desc then feature, and base: per key,
+    base + the sum of contributions = log(p / (1 - p)). Keys must be unique.
+
+    Each row walks down all trees at once, a level a join with the node table, and its steps are summed in its own
+    task before the one shuffle.
+    """
+    spark = rows.sparkSession
+    folder = folder or scratch_path(spark, f"ensemble-{uuid.uuid4().hex}")
+    nodes, base, depth = ensemble_nodes(model, folder, list(categorical), list(continuous))
+    nodes.write.parquet(f"{folder}-nodes")
+    nodes = F.broadcast(spark.read.schema(nodes.schema).parquet(f"{folder}-nodes"))             # bounded by the settings
+    trees = model.stages[-1].getNumTrees
+    walk = rows.select(F.col(key).alias("key"), F.array(*[F.col(c) for c in categorical]).alias("cats"),
+                       F.array(*[F.col(c).cast("double") for c in continuous]).alias("nums"),
+                       F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumns(
+        {"node": F.lit(0), "steps": F.array().cast("array<struct<feature:string,gain:double>>")})
+    x = F.when(F.col("cat").isNull(), F.get("nums", F.col("num"))).otherwise(
+        F.when(F.get("cats", F.col("cat")).eqNullSafe(F.col("category")), 1.0).otherwise(0.0))
+    left = F.when(F.col("ordered"), x <= F.get("left_if", F.lit(0))).otherwise(F.array_contains("left_if", x))
+    for _ in range(depth):
+        walk = walk.join(nodes, ["tree", "node"], "left").select(
+            "key", "cats", "nums", "tree", F.when(left, F.col("left")).otherwise(F.col("right")).alias("node"),
+            F.when(F.col("feature").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array(F.struct(
+                "feature", F.when(left, F.col("left_gain")).otherwise(F.col("right_gain")).alias("gain"))))).alias("steps"))
+    steps = walk.select("key", F.explode("steps").alias("s")).select("key", "s.feature", "s.gain")
+    none = rows.select(F.col(key).alias("key"), F.explode(F.array(*[F.lit(c) for c in [*categorical, *continuous]])).alias("feature"),
+                       F.lit(0.0).alias("gain"))
+    total = steps.unionByName(none).groupBy("key", "feature").agg(F.sum("gain").alias("contribution"))
+    # the order of additions must not decide between features of equal weight
+    w = Window.partitionBy("key").orderBy(F.round(F.abs("contribution"), 9).desc(), "feature")
+    return total.select(F.col("key").alias(key), "feature", "contribution", F.row_number().over(w).alias("rank"), F.lit(base).alias("base"))
+
+
 def importance(contrib: DataFrame) -> DataFrame:
     """M9: mean absolute contribution per feature (the summary-plot table)."""
     return contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pvspark.functions import rules
 from pvspark.functions.text import DEPENDENCY_TERMS, NEGATIVE_RESEARCH_TERMS, WITHDRAWAL_TERMS
 from pvspark.operators import kpi, marts
-from pvspark.operators.model import CATEGORICAL, CONTINUOUS, baselines, contributions, positive_probability, scoring_rows, split_column
+from pvspark.operators.model import CATEGORICAL, CONTINUOUS, path_contributions, positive_probability, scoring_rows
 
 _ML_COLS = ["drug_name_idx", "age_group_idx", "drug_name_ohe", "age_group_ohe", "features", "rawPrediction", "probability", "prediction", "p1"]
 
@@ -37,8 +37,7 @@ def top5_lists(reports: DataFrame) -> DataFrame:
 
 
 def risk_report(requests: DataFrame, master: DataFrame, posts: DataFrame, articles: DataFrame,
-                labels: DataFrame, reports: DataFrame, models: dict, train_features: DataFrame,
-                key_mode: str = "normalized", dependency_terms=DEPENDENCY_TERMS,
+                labels: DataFrame, reports: DataFrame, models: dict, key_mode: str = "normalized", dependency_terms=DEPENDENCY_TERMS,
                 withdrawal_terms=WITHDRAWAL_TERMS, research_terms=NEGATIVE_RESEARCH_TERMS
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Requests (request_id, drug_name, age, weight) -> (report rows, not-found requests,
@@ -48,8 +47,7 @@ def risk_report(requests: DataFrame, master: DataFrame, posts: DataFrame, articl
     rows = scoring_rows(found, master).withColumn("drug_name", F.col("lookup_key"))
     scored = predict_all(rows, models)
 
-    contrib = contributions(models["serious"], rows.select("request_id", *CATEGORICAL, *CONTINUOUS),
-                            baselines(train_features.filter(split_column() == "train")), key="request_id")
+    contrib = path_contributions(models["serious"], rows.select("request_id", *CATEGORICAL, *CONTINUOUS), key="request_id")
     shap = contrib.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct(
         "rank", "feature", "contribution"))).alias("_c")).select(
         "request_id",

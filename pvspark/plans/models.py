@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from pvspark.operators import model, score
+from pvspark.operators import kpi, model, score
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import age_group_sql, register, round_doubles
 from pvspark.plans.retrieval import TFIDF_SQL
 from pvspark.plans.checks import requests_df
 from pvspark.plans.layers import (master_df, silver_articles_df, silver_labels_df, silver_posts_df,
                                   silver_reports_df)
+from pvspark.session import scratch_path
 from pvspark.sources.tables import read_table
 
 _MASTER = O.with_layers(["reports_raw", "posts_raw", "articles_raw", "labels_raw"],
@@ -30,13 +33,18 @@ def q_features(spark, sf_dir):
     return round_doubles(model.build_features(master_df(spark, sf_dir)).select(*model.FEATURES))
 
 
-@register("labels_binarized", _MASTER + "\nSELECT drug_name, " + ", ".join(
-    f"CASE WHEN {src} / CAST(adv_total_reports AS DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y_{t}"
-    for t, src in model.TARGETS.items()) + " FROM master WHERE adv_total_reports > 0")
+@register("labels_binarized", _MASTER + ",\nrate AS (SELECT drug_name, " + ", ".join(
+    f"{src} / CAST(adv_total_reports AS DOUBLE) AS {t}" for t, src in model.TARGETS.items()) + " FROM master WHERE adv_total_reports > 0)"
+    "\nSELECT drug_name, " + ", ".join(
+    f"CASE WHEN {t} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y_{t}, "
+    f"CASE WHEN {t} > (SELECT median({t}) FROM rate) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS m_{t}" for t in model.TARGETS) + " FROM rate")
 def q_labels_binarized(spark, sf_dir):
-    """A10 + M2: outcome rates binarised at > 0 (the reference's threshold)."""
-    f = model.build_features(master_df(spark, sf_dir))
-    return f.select("drug_name", *[model.binarize(f"y_{t}").alias(f"y_{t}") for t in model.TARGETS])
+    """A10 + M2: outcome rates binarised at > 0 (the reference's threshold, y_*) and above the median rate (m_*), which gives both
+    classes and is what the registered models learn."""
+    f = _features(spark, sf_dir)
+    cut = model.medians(f)
+    return f.select("drug_name", *[model.binarize(f"y_{t}").alias(f"y_{t}") for t in model.TARGETS],
+                    *[model.binarize(f"y_{t}", cut[t]).alias(f"m_{t}") for t in model.TARGETS])
 
 
 @register("split_stable")
@@ -47,74 +55,123 @@ def q_split_stable(spark, sf_dir):
 
 
 def _doc_features(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = read_table(spark, sf_dir, "labels")
-    return (docs.join(lab, "doc_id").withColumn("key", F.col("doc_id").cast("string"))
-            .withColumn("n_chars", F.col("n_chars").cast("double"))
-            .withColumn("y_quality", F.col("quality").cast("double"))
-            .withColumn("y_toxic", F.col("toxic").cast("double")))
+    text = F.coalesce("text", F.lit(""))
+    n_words, n = F.regexp_count(text, F.lit(r"\S+")).cast("double"), F.greatest(F.length(text), F.lit(1))
+    share = lambda c: F.regexp_count(text, F.lit(c)) / n
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", F.length(text).cast("double").alias("chars"), n_words.alias("words"), share("[A-Z]").alias("capitals"),
+        share("[0-9]").alias("digits"), share(r"\n").alias("lines"), share(r"[^\w\s]").alias("marks"))
+    return (docs.join(read_table(spark, sf_dir, "labels"), "doc_id").withColumn("key", F.col("doc_id").cast("string"))
+            .withColumns({f"y_{c}": F.col(c).cast("double") for c in ("quality", "toxic")}))
 
 
-_FEATURES: dict = {}
+_STORED: dict = {}
 _FITTED: dict = {}
 
 
+def _stored(spark, sf_dir, name, make):
+    """A table that several queries of a session use, written once to the shared scratch folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        df = make()
+        path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        _STORED[key] = path, df.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def _features(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FEATURES:
-        _FEATURES[key] = model.build_features(master_df(spark, sf_dir)).cache()
-    return _FEATURES[key]
+    # per-drug rows: one file, so that the many small jobs of a fit have one task each
+    return _stored(spark, sf_dir, "model-features", lambda: model.build_features(_master(spark, sf_dir)).coalesce(1))
+
 
+def _master(spark, sf_dir):
+    return _stored(spark, sf_dir, "master", lambda: master_df(spark, sf_dir))
 
-def _fitted(spark, sf_dir, target):
-    """An outcome model and its metrics, fitted once per (session, data folder) with the library's 200 trees; all
-    model queries use the same one (training is deterministic)."""
-    key = (spark.sparkContext.applicationId, sf_dir, target)
-    if key not in _FITTED:
-        mdl, metrics, _ = model.train(_features(spark, sf_dir), f"y_{target}")
-        _FITTED[key] = mdl, metrics
-    return _FITTED[key]
+
+def _fitted(spark, sf_dir, targets=tuple(model.TARGETS)):
+    """The outcome models (rates above the median) and their metrics, fitted once per session and data folder with the
+    library's 200 trees; all model queries use the same ones (training is deterministic)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    have = _FITTED.setdefault(key, {})
+    missing = [t for t in targets if t not in have]
+    if missing:
+        features = _features(spark, sf_dir).cache()
+        cut = model.medians(features)
+        have.update(model.train_all(features, {t: cut[t] for t in missing}))
+        features.unpersist()
+    return have
 
 
 @register("model_metrics")
 def q_model_metrics(spark, sf_dir):
-    """M4 + M5 + M10: four outcome models on the master features and two on documents x labels
-    (a non-degenerate label); one (target, metric, value) row each (rows-only check)."""
-    results = {t: _fitted(spark, sf_dir, t)[1] for t in model.TARGETS}
+    """M4 + M5 + M10: the four outcome models on the master features; one (target, metric, value) row each (rows-only check)."""
+    have = _fitted(spark, sf_dir)
+    return model.metrics_frame(spark, {t: have[t][1] for t in model.TARGETS})
+
+
+DOC_TREES = 40
+
+
+@register("model_metrics_documents")
+def q_model_metrics_documents(spark, sf_dir):
+    """M4 + M5 on labelled documents: quality and toxicity from the text's measures, lang and source (rows-only check)."""
     docs = _doc_features(spark, sf_dir).cache()
-    for t in ("quality", "toxic"):
-        _, m, _ = model.train(docs, f"y_{t}", threshold=0.5, key="key", categorical=["lang", "source"],
-                              continuous=["n_chars"])
-        results[f"documents_{t}"] = m
-    return model.metrics_frame(spark, results)
+    fits = model.train_all(docs, {"quality": 0.5, "toxic": 0.5}, key="key", categorical=["lang", "source"],
+                           continuous=["chars", "words", "capitals", "digits", "lines", "marks"], maxIter=DOC_TREES)
+    docs.unpersist()
+    return model.metrics_frame(spark, {f"documents_{t}": m for t, (_, m) in fits.items()})
+
+
+@register("metrics_exact", """
+WITH x AS (SELECT CAST(toxic AS DOUBLE) AS y, doc_id % 53 / 52.0 AS s, lang FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT *, rank() OVER (PARTITION BY lang ORDER BY s) + (count(*) OVER (PARTITION BY lang, s) - 1) / 2.0 AS place FROM x),
+a AS (SELECT lang, sum(y) AS pos, sum(1 - y) AS neg, sum(y * place) AS ranks, sum(CASE WHEN s >= 0.5 THEN y END) AS tp,
+             sum(CASE WHEN s >= 0.5 THEN 1 - y END) AS fp,
+             avg(-(y * ln(least(greatest(s, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(s, 1e-15), 1 - 1e-15)))) AS loss FROM r GROUP BY lang)
+SELECT lang, round(CASE WHEN pos * neg > 0 THEN (ranks - pos * (pos + 1) / 2) / (pos * neg) ELSE 0.0 END, 6)::DOUBLE AS auc,
+       round(coalesce(2 * tp / nullif(pos + tp + fp, 0), 0.0), 6)::DOUBLE AS f1, round(loss, 6)::DOUBLE AS log_loss FROM a""")
+def q_metrics_exact(spark, sf_dir):
+    """M5 on given scores with many ties, for each language: AUC by ranks, F1 at 0.5, log-loss."""
+    x = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id").select(
+        "lang", F.col("toxic").alias("label"), (F.col("doc_id") % 53 / F.lit(52.0)).alias("p1"))
+    return round_doubles(model.exact_metrics(x, by=["lang"]))
+
+
+def _paths(spark, sf_dir):
+    feats = _features(spark, sf_dir)
+    return model.path_contributions(_fitted(spark, sf_dir, ("serious",))["serious"][0], feats.withColumn("key", F.col("drug_name")), key="key")
 
 
 @register("attribution_rank")
 def q_attribution_rank(spark, sf_dir):
-    """M7 + W4 + M9: ablation contributions of the serious model per drug, ranked."""
-    feats = _features(spark, sf_dir)
-    mdl, _ = _fitted(spark, sf_dir, "serious")
-    c = model.contributions(mdl, feats.withColumn("key", F.col("drug_name")), model.baselines(feats), key="key")
-    return round_doubles(c.select("key", "feature", "rank", "contribution"))
+    """M7 + W4: contributions of the serious model's features to each drug's log-odds, along the trees' paths, ranked."""
+    return round_doubles(_paths(spark, sf_dir).select("key", "feature", "rank", "contribution"))
 
 
-def _models(spark, sf_dir):
-    return {t: _fitted(spark, sf_dir, t)[0] for t in model.TARGETS}, _features(spark, sf_dir)
+@register("importance_summary")
+def q_importance_summary(spark, sf_dir):
+    """M9: mean absolute contribution of each feature (rows-only check)."""
+    return round_doubles(model.importance(_paths(spark, sf_dir)))
 
 
 def _report(spark, sf_dir):
-    models, feats = _models(spark, sf_dir)
+    """The report and the written tables it is made from."""
+    have = _fitted(spark, sf_dir)
     req = requests_df(spark, sf_dir).withColumn(
         "request_id", F.concat_ws("|", "drug_name", F.col("age").cast("string"), F.col("weight").cast("string")))
-    return score.risk_report(req, master_df(spark, sf_dir), silver_posts_df(spark, sf_dir),
-                             silver_articles_df(spark, sf_dir), silver_labels_df(spark, sf_dir),
-                             silver_reports_df(spark, sf_dir), models, feats)
+    silver = {n: _stored(spark, sf_dir, f"silver-{n}", lambda make=make: make(spark, sf_dir)) for n, make in (
+        ("posts", silver_posts_df), ("articles", silver_articles_df), ("labels", silver_labels_df), ("reports", silver_reports_df))}
+    rep, _, _ = score.risk_report(req, _master(spark, sf_dir), silver["posts"], silver["articles"], silver["labels"], silver["reports"],
+                                  {t: have[t][0] for t in model.TARGETS})
+    return rep, req
 
 
 @register("risk_report")
 def q_risk_report(spark, sf_dir):
     """The 16-field report for every valid, known request in one pass (rows-only check)."""
-    rep, _, _ = _report(spark, sf_dir)
+    rep, _ = _report(spark, sf_dir)
     return rep.select(*[F.to_json(c).alias(c) if c in ("shap_values", "top_5_reactions", "known_interactions")
                         else F.col(c) for c in rep.columns])
 
@@ -122,21 +179,16 @@ def q_risk_report(spark, sf_dir):
 @register("risk_summary_text")
 def q_risk_summary_text(spark, sf_dir):
     """The 12-line summary text of each report row (rows-only check)."""
-    rep, _, _ = _report(spark, sf_dir)
-    return score.summary_text(rep)
+    return score.summary_text(_report(spark, sf_dir)[0])
 
 
 @register("display_rows")
 def q_display_rows(spark, sf_dir):
     """Display strings for every request - found drugs formatted, unknown drugs an
     all-N/A row (exact key rule, so mixed-case requests exercise the not-found path)."""
-    models, feats = _models(spark, sf_dir)
-    req = requests_df(spark, sf_dir).withColumn(
-        "request_id", F.concat_ws("|", "drug_name", F.col("age").cast("string"), F.col("weight").cast("string")))
-    tables = (master_df(spark, sf_dir), silver_posts_df(spark, sf_dir), silver_articles_df(spark, sf_dir),
-              silver_labels_df(spark, sf_dir), silver_reports_df(spark, sf_dir))
-    rep, _, _ = score.risk_report(req, *tables, models, feats)
-    _, missing, _ = score.risk_report(req, *tables, models, feats, key_mode="exact")
+    rep, req = _report(spark, sf_dir)
+    valid, _ = kpi.validate_requests(req)
+    _, missing = kpi.lookup(valid, _master(spark, sf_dir).select("drug_name"), "exact")
     return score.display_rows(rep, missing)
 
 

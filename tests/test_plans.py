@@ -132,7 +132,7 @@ def test_tfidf_knn_ranks(spark):
 def test_model_metrics_bounds(spark):
     qs, _ = _qs()
     got = {(r.target, r.metric): r.value for r in qs["model_metrics"](spark, SF_TINY).collect()}
-    assert len(got) == 18 and all(0.0 <= v <= 1.0 for (_, m), v in got.items() if m != "log_loss")
+    assert len(got) == 12 and all(0.0 <= v <= 1.0 for (_, m), v in got.items() if m != "log_loss")
     assert all(v >= 0.0 for (_, m), v in got.items() if m == "log_loss")
 
 
