@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from pvspark.llm.common import materialise
 
 
-def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 100, materialise=materialise) -> DataFrame:
     """``links(a, b)`` -> (node, label): the least node of each node's component.
 
     Every round takes the least label among the neighbours, then the label of that label, so long chains
     halve. Each round ends in a written table; no link is collected. Labels combine map-side, and the joins
     are on nodes, whose label table has one row each. Nodes may be structs; self-links and repeats do no
-    harm; no links give no rows.
+    harm; no links give no rows. ``materialise`` writes the tables between rounds.
     """
     edges = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                         .distinct(), "links")

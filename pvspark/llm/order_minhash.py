@@ -11,10 +11,11 @@ similarity of 0.8 allows. With ``kept`` aligned k-mers the similarity is kept /
 order-preserving Jaccard similarity of five-word shingles; pairs of 0.8 or more are linked, and classes are the
 connected components of the links.
 
-Which candidates are verified. Equal texts are one text from the start. A bucket (equal sketch) of up to
-``SMALL`` texts is compared pair by pair. In a larger one every text is compared with the bucket's centre, the
-member that meets most others. No link is lost by that: members of larger buckets that still hold several
-classes are joined exactly.
+Which candidates are verified. Equal texts are one text from the start. Sketches are taken up in rounds, and after each one
+the classes found so far are contracted: a later bucket (equal sketch) whose texts are all of one class is done, and only
+texts of different classes are compared. A bucket of up to ``SMALL`` texts is compared pair by pair. In a larger one every
+text is compared with the bucket's centre, the member that meets most others. No link is lost by that: members of
+larger buckets that still hold several classes are joined exactly.
 
 * Two such texts with different centres: k-mers are ordered by rarity, and texts of similarity 0.8 share one
   of their first n - ceil(0.8 n) + 1 (prefix join).
@@ -24,8 +25,9 @@ classes are joined exactly.
   centre does not have (all of them for texts near the centre). Near copies that differ from their
   original in different places therefore don't meet each other.
 
-Within a key of these joins, the most frequent class is joined with the others only, so neither a group of near
-copies nor a passage that many texts share makes all pairs.
+Before these joins make pairs, ``STARS`` rounds compare the texts under each key with one of them only and contract the classes
+again: a group of near copies that meets under a key becomes one class by as many comparisons as it has texts. In what
+is left, a key's most frequent class is joined with the others only.
 
 Texts sit in a table bucketed by fingerprint; sketches, pairs and labels are small rows that go to them.
 
@@ -37,6 +39,7 @@ repeated rows share their class, and rows that repeat the least id all count as
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -46,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pvspark.llm.common import distinct_texts, drop_bucketed, materialise, small_batches, text_key
+from pvspark.llm.common import Scratch, distinct_texts, drop_bucketed, small_batches, text_key
 from pvspark.llm.components import components
 from pvspark.llm.words import slices, words
 
@@ -55,6 +58,8 @@ SIMILAR = 0.8
 ELL = 3
 SKETCHES = 18
 SMALL = 8
+ROUNDS = (0, 3, 9, SKETCHES)   # sketches of the first, second and third round
+STARS = 2
 STAR = 1_000                   # partners of a text in one task
 NEAR = 0.25                    # of a near text's k-mers are not in its centre
 KNOWN_WORDS = 200_000
@@ -174,22 +179,22 @@ def _sketch_batches(batches):
             grams, n = kmers(*ids.of(part.column(2).to_pylist()))
             there = np.flatnonzero(n)
             keys = sketches(grams, n[there]) if len(there) else np.empty((SKETCHES, 0), _U)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(there) + 1) * SKETCHES, pa.int32()),
+                                             pa.array(np.ascontiguousarray(keys.T).ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)),
-                 pa.array(np.tile(part.column(0).to_numpy()[there], SKETCHES)),
-                 pa.array(np.tile(part.column(1).to_numpy()[there], SKETCHES), pa.int32())], ["key", "did", "size"])
+                [pa.array(part.column(0).to_numpy()[there]), pa.array(part.column(1).to_numpy()[there], pa.int32()), lists], ["did", "size", "keys"])
 
 
 def _kmer_batches(batches):
-    """node, label, centre, member, text -> one row per labelled k-mer."""
+    """node, centre, member, text -> one row per labelled k-mer."""
     ids = WordIds()
     with np.errstate(over="ignore"):
-        for part in slices(batches, SLICE_ROWS, 4, SLICE_CHARS):
-            grams, n = kmers(*ids.of(part.column(4).to_pylist()))
+        for part in slices(batches, SLICE_ROWS, 3, SLICE_CHARS):
+            grams, n = kmers(*ids.of(part.column(3).to_pylist()))
             take = pa.array(np.repeat(np.arange(len(n)), n))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(k).take(take) for k in range(4)), pa.array(np.repeat(n, n), pa.int32()),
-                 pa.array(grams.view(np.int64))], ["node", "label", "centre", "member", "n", "kmer"])
+                [*(part.column(k).take(take) for k in range(3)), pa.array(np.repeat(n, n), pa.int32()),
+                 pa.array(grams.view(np.int64))], ["node", "centre", "member", "n", "kmer"])
 
 
 def _verify_batches(batches):
@@ -232,36 +237,42 @@ def _ordered(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _bucket_pairs(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of all buckets; and the members of larger ones: key, node, centre (of the node)."""
-    sizes = sketch.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    rows = materialise(sketch.join(sizes, "key").select("key", "members", F.struct("did", "size").alias("node")), "sketch-members")
-    few = rows.filter(F.col("members") <= SMALL).select("key", "node")
-    other = few.select(F.col("key"), F.col("node").alias("other"))
-    pairs = few.join(other, "key").filter("node < other").select(*_ordered(F.col("node"), F.col("other")))
-    many = rows.filter(F.col("members") > SMALL)
+def _bucket_pairs(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``rows(node, label, keys)`` -> candidate pairs of the buckets that hold several classes; and the members of the larger ones: key,
+    node, c (weight, h, node, label of the centre)."""
+    each = rows.select("node", "label", F.explode("keys").alias("key"))
+    split = (each.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("x"), F.max("label").alias("y"))
+             .filter("x != y").select("key", "members"))
+    rows = scratch.write(each.join(split, "key"), "sketch-members")
+    few = rows.filter(F.col("members") <= SMALL).select("key", "node", "label")
+    other = few.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
+    pairs = (few.join(other, "key").filter("node < other and label != other_label")
+             .select(*_ordered(F.col("node"), F.col("other"))))
     # the text that meets most others stands nearest to what a group has in common
-    weight = many.groupBy("node").agg(F.sum("members").alias("weight"))
-    many = many.join(weight, "node").select("key", "node", F.struct("weight", F.xxhash64("node.did").alias("h"), "node").alias("r"))
+    met = (rows.filter(F.col("members") > SMALL).groupBy("node", "label")
+           .agg(F.sum("members").alias("weight"), F.collect_list("key").alias("keys")))
+    many = met.select(F.explode("keys").alias("key"), "node", "label", F.struct("weight", F.xxhash64("node.did").alias("h"), "node", "label").alias("r"))
     centres = many.groupBy("key").agg(F.max("r").alias("c"))
-    many = materialise(many.join(centres, "key").select("key", "node", "c"), "large-buckets")
-    stars = many.filter("node != c.node").select(F.col("node").alias("a"), F.col("c.node").alias("b"))
-    own = many.groupBy("node").agg(F.max("c").alias("m")).select("node", F.col("m.node").alias("centre"))
-    return pairs.unionByName(stars).distinct(), many.select("key", "node").join(own, "node")
-
-
-def _rest_pairs(many: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of different classes among the members of larger buckets that may be similar: see the module's text."""
-    labelled = many.join(labels, "node", "left").select("key", "node", "centre", F.coalesce("label", "node").alias("label"))
+    many = scratch.write(many.select("key", "node", "label").join(centres, "key"), "large-buckets")
+    stars = many.filter("label != c.label").select(*_ordered(F.col("node"), F.col("c.node")))
+    return pairs.unionByName(stars).distinct(), many.select("key", "node", "c")
+
+
+def _rest_rows(many: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Prefixes of the members of larger buckets that hold several classes: node, centre, n, common, kmer, rank, any, apart. See
+    the module's text."""
+    own = many.groupBy("node").agg(F.max("c").alias("m"), F.collect_set("key").alias("keys"))
+    labelled = (own.join(labels, "node", "left").select("node", F.col("m.node").alias("centre"), F.coalesce("label", "node").alias("label"),
+                                                        F.explode("keys").alias("key")))
+    labelled = scratch.write(labelled, "rest-members")
     split = labelled.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).filter("split").select("key")
-    nodes = labelled.join(split, "key").select("node", "label", "centre").distinct().withColumn("member", F.lit(True))
+    nodes = labelled.join(split, "key", "left_semi").select("node", "centre").distinct().withColumn("member", F.lit(True))
     centres = nodes.select(F.col("centre").alias("node")).distinct()
-    extra = (centres.join(nodes.select("node"), "node", "left_anti")
-             .select("node", F.col("node").alias("label"), F.col("node").alias("centre"), F.lit(False).alias("member")))
-    rows = (nodes.unionByName(extra).select("node", "label", "centre", "member", "node.did", "node.size")
-            .join(texts.select("did", "size", "text"), ["did", "size"]).select("node", "label", "centre", "member", "text")
-            .mapInArrow(_kmer_batches, f"node {NODE}, label {NODE}, centre {NODE}, member boolean, n int, kmer long"))
-    rows = materialise(rows, "rest-kmers")
+    extra = (centres.join(nodes.select("node"), "node", "left_anti").select("node", F.col("node").alias("centre"), F.lit(False).alias("member")))
+    rows = (nodes.unionByName(extra).select("node", "centre", "member", "node.did", "node.size")
+            .join(texts.select("did", "size", "text"), ["did", "size"]).select("node", "centre", "member", "text")
+            .mapInArrow(_kmer_batches, f"node {NODE}, centre {NODE}, member boolean, n int, kmer long"))
+    rows = scratch.write(rows, "rest-kmers")
     core = rows.join(centres, "node", "left_semi").select(F.col("node").alias("centre"), "kmer", F.lit(1).alias("core"))
     rows = rows.filter("member").drop("member")
     df = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"))
@@ -276,8 +287,33 @@ def _rest_pairs(many: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
     ranked = (ranked.withColumns({"any": (F.col("rank") <= length) & (F.col("df") > 1),
                                   "apart": (F.col("own") == 1) & (F.col("df") > 1) & (near | (F.col("own_rank") <= length))})
               .filter(F.col("any") | F.col("apart") | (F.col("rank") == 1)))
-    ranked = materialise(ranked.select("node", "label", "centre", "n", "common", "kmer", "rank", "any", "apart"), "rest-prefixes")
-    alike = (F.col("xl") != F.col("label")) & (F.least("n", "xn") >= SIMILAR * F.greatest("n", "xn") - 1e-9)
+    return scratch.write(ranked.select("node", "centre", "n", "common", "kmer", "rank", "any", "apart"), "rest-prefixes")
+
+
+def _labelled(ranked: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.write(ranked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "rest-labelled")
+
+
+def _size_alike(n, m):
+    return F.least(n, m) >= SIMILAR * F.greatest(n, m) - 1e-9
+
+
+def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different classes under each key: one text, the same for many keys, with all others."""
+    out = []
+    for flag, on in (("any", ["kmer"]), ("apart", ["centre", "kmer"])):
+        side = ranked.filter(flag)
+        pick = F.struct(F.xxhash64(F.lit(turn), "node.did", "node.size").alias("h"), "node", "label", "n")
+        mid = (side.groupBy(*on).agg(F.min(pick).alias("m"), F.min("label").alias("x"), F.max("label").alias("y"))
+               .filter("x != y").select(*on, "m"))
+        out.append(side.join(mid, on).filter((F.col("label") != F.col("m.label")) & _size_alike(F.col("n"), F.col("m.n")))
+                   .select(*_ordered(F.col("node"), F.col("m.node"))))
+    return out[0].unionByName(out[1]).distinct()
+
+
+def _rest_pairs(ranked: DataFrame) -> DataFrame:
+    """Pairs of different classes that may be similar, from labelled prefixes: see the module's text."""
+    alike = (F.col("xl") != F.col("label")) & _size_alike(F.col("n"), F.col("xn"))
 
     def meet(side: DataFrame, on: list[str], also) -> DataFrame:
         """Pairs on equal keys, the key's most frequent class being joined with the others only."""
@@ -308,22 +344,37 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key (did, size): one row per document."""
     spark = docs.sparkSession
     small_batches(spark)
+    scratch = Scratch(spark)
     texts, name = distinct_texts(docs, id_col, text_col)
-    sketch = materialise(texts.select("did", "size", "text").mapInArrow(_sketch_batches, "key long, did long, size int"),
-                         "sketches")
-    pairs, many = _bucket_pairs(sketch)
-    links = materialise(_verified(pairs, texts), "verified")
-    labels = components(links)
-    rest = materialise(_verified(_rest_pairs(many, labels, texts), texts), "verified-rest")
-    if not rest.isEmpty():
-        labels = components(links.unionByName(rest))
+    sketch = scratch.write(texts.select("did", "size", "text").mapInArrow(_sketch_batches, "did long, size int, keys array<long>"),
+                           "sketches").select(F.struct("did", "size").alias("node"), "keys")
+    links, labels, large = None, None, []
+
+    def linked(pairs: DataFrame):
+        nonlocal links, labels
+        found = scratch.write(_verified(pairs, texts), "verified")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links, materialise=scratch.write)
+
+    for low, high in zip(ROUNDS, ROUNDS[1:], strict=False):
+        rows = sketch.select("node", F.slice("keys", low + 1, high - low).alias("keys"))
+        rows = rows.withColumn("label", F.col("node")) if labels is None else (
+            rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        pairs, many = _bucket_pairs(rows, scratch)
+        large.append(many)
+        linked(pairs)
+    prefixes = _rest_rows(reduce(DataFrame.unionByName, large), labels, texts, scratch)
+    for turn in range(STARS):
+        linked(_star_pairs(_labelled(prefixes, labels, scratch), turn))
+    linked(_rest_pairs(_labelled(prefixes, labels, scratch)))
     of = (texts.select(F.struct("did", "size").alias("node"), "copies", "least_id").join(labels, "node", "left")
           .select("node", F.coalesce("label", "node").alias("label"), "copies", "least_id"))
-    of = materialise(of, "text-classes")
+    of = scratch.write(of, "text-classes")
     classes = of.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    result = materialise(of.join(classes, "label").select("node.did", "node.size", "class_id", "class_size"),
-                         "near-classes")
+    result = scratch.keep(of.join(classes, "label").select("node.did", "node.size", "class_id", "class_size"), "near-classes")
     drop_bucketed(spark, name)
+    scratch.clear()
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *text_key(F.col(text_col)))
             .join(result, ["did", "size"])
             .select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
