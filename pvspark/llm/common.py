@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, the shuffle files of a query go when it ends: for tables that are written and read again. (Spark would keep them
+    until the driver collects its garbage; a query that is run again makes them anew.)"""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Scratch tables of one operator run: ``write`` makes one that ``clear`` removes, ``keep`` one that stays for the
     caller's result."""
@@ -63,7 +77,8 @@ class Scratch:
         return self.paths[-1]
 
     def _put(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(path)
+        with shuffles_dropped(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -93,8 +108,9 @@ def bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, str]
     read the buckets in place. The caller ends it with ``drop_bucketed``."""
     spark = df.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
-    (df.write.option("compression", "zstd").option("path", scratch_path(spark, name))
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).saveAsTable(name))
+    with shuffles_dropped(spark):
+        (df.write.option("compression", "zstd").option("path", scratch_path(spark, name))
+         .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).saveAsTable(name))
     return spark.table(name), name
 
 

@@ -58,7 +58,7 @@ SIMILAR = 0.8
 ELL = 3
 SKETCHES = 18
 SMALL = 8
-ROUNDS = (0, 3, 9, SKETCHES)   # sketches of the first, second and third round
+ROUNDS = (0, 4, SKETCHES)      # sketches of the first and the second round
 STARS = 2
 STAR = 1_000                   # partners of a text in one task
 NEAR = 0.25                    # of a near text's k-mers are not in its centre
@@ -350,12 +350,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            "sketches").select(F.struct("did", "size").alias("node"), "keys")
     links, labels, large = None, None, []
 
-    def linked(pairs: DataFrame):
+    def linked(pairs: DataFrame) -> bool:
+        """Verify pairs and contract the classes; False if there was nothing to contract."""
         nonlocal links, labels
         found = scratch.write(_verified(pairs, texts), "verified")
-        if links is None or not found.isEmpty():
+        more = not found.isEmpty()
+        if links is None or more:
             links = found if links is None else links.unionByName(found)
             labels = components(links, materialise=scratch.write)
+        return more
 
     for low, high in zip(ROUNDS, ROUNDS[1:], strict=False):
         rows = sketch.select("node", F.slice("keys", low + 1, high - low).alias("keys"))
@@ -365,9 +368,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         large.append(many)
         linked(pairs)
     prefixes = _rest_rows(reduce(DataFrame.unionByName, large), labels, texts, scratch)
-    for turn in range(STARS):
-        linked(_star_pairs(_labelled(prefixes, labels, scratch), turn))
-    linked(_rest_pairs(_labelled(prefixes, labels, scratch)))
+    if not prefixes.isEmpty():
+        for turn in range(STARS):
+            if not linked(_star_pairs(_labelled(prefixes, labels, scratch), turn)):
+                break
+        linked(_rest_pairs(_labelled(prefixes, labels, scratch)))
     of = (texts.select(F.struct("did", "size").alias("node"), "copies", "least_id").join(labels, "node", "left")
           .select("node", F.coalesce("label", "node").alias("label"), "copies", "least_id"))
     of = scratch.write(of, "text-classes")
