@@ -15,12 +15,15 @@ NULL keys form one group, as in ``dropDuplicates``. Null ordering follows ANSI/D
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pvspark.session import remove_path, scratch_path
+
 
 def _parse(spec: str) -> tuple[str, bool]:
     parts = spec.strip().split()
@@ -100,3 +103,38 @@ def upsert_latest(current: DataFrame, updates: DataFrame, key: str | Sequence[st
                                                             if c not in ([key] if isinstance(key, str) else key)
                                                             and c != version_col
                                                             and not isinstance(both.schema[c].dataType, (T.ArrayType, T.MapType))])
+
+
+BUCKETS = 64
+
+
+def id_bucket(key: str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def create_buckets(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """A table of unique keys, partitioned by ``bucket`` (a hash of the key)."""
+    df.withColumn("bucket", id_bucket(key, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+
+def upsert_buckets(path: str, updates: DataFrame, key: str, version_col: str, buckets: int = BUCKETS) -> list[int]:
+    """K8 / R3 by bucket: the newest version of each key, rewriting only the buckets that ``updates`` touch; the others' files
+    stay as they are. Returns the touched buckets.
+
+    ``buckets`` is the table's number, so the list of touched ones is bounded by it. The merged buckets are written to the
+    scratch folder first: the table never reads what it overwrites, and a lost job can be run again.
+    """
+    spark = updates.sparkSession
+    new = updates.withColumn("bucket", id_bucket(key, buckets))
+    touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    table = spark.read.parquet(path)
+    old = table.filter(F.col("bucket").isin(touched))               # partition filter: other folders are not listed
+    merged = upsert_latest(old, new.select(*old.columns), key, version_col)
+    stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    merged.write.partitionBy("bucket").parquet(stage)
+    (spark.read.schema(table.schema).parquet(stage).repartition("bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    remove_path(spark, stage)
+    return touched

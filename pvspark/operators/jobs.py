@@ -52,6 +52,7 @@ class IngestResult:
     published: str
     quarantine: str
     checks: list
+    counts: dict
 
 
 def run_ingest(spark: SparkSession, source: str, ds: str, records: DataFrame, root: str,
@@ -61,15 +62,21 @@ def run_ingest(spark: SparkSession, source: str, ds: str, records: DataFrame, ro
     The batch is written once to a staging folder of its own under the shared checkpoint folder (two
     runs of a day do not meet; cutting the lineage, so the gate and the publish read materialised rows, not a recomputation); the gate
     runs on the staged valid rows and only a passing batch is published as the dated NDJSON
-    batch. A failing gate raises ``QualityGateError`` and nothing is published.
+    batch. A failing gate raises ``QualityGateError`` and nothing is published. The counters of kept and dropped rows
+    (per rule) come from the staging write itself; a failing gate's error has them as ``counts``.
     """
     stage = scratch_path(spark, f"stage/{source}/ds={ds}/{uuid.uuid4().hex}")
-    tagged = validate.tag(records, RULES[source](records))
-    validate.write_split(tagged, stage)
+    rules = RULES[source](records)
+    tagged = validate.tag(records, rules)
+    counts = validate.write_split(tagged, stage, reasons=[r for r, _ in rules])
     # a batch without any valid row has no valid=true folder: read the parent with its schema
     whole = spark.read.schema(tagged.withColumn("valid", F.lit(True)).schema).parquet(stage)
     valid = whole.filter("valid").drop("reject_reason", "valid", "openfda_present")
-    checks = quality.gate(quality.run_named_suite(valid, suite or source))
+    try:
+        checks = quality.gate(quality.run_named_suite(valid, suite or source))
+    except quality.QualityGateError as e:
+        e.counts = counts
+        raise
     published = sinks.write_batch(valid, root, source, ds)
     remove_path(spark, f"{stage}/valid=true")
-    return IngestResult(published, f"{stage}/valid=false", checks)
+    return IngestResult(published, f"{stage}/valid=false", checks, counts)

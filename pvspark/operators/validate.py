@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pvspark.functions.rules import VALID_SEVERITIES, blank
@@ -78,7 +78,13 @@ def reject_counts(tagged: DataFrame, source: str, col: str = "reject_reason") ->
 
 
 def write_split(tagged: DataFrame, path: str, col: str = "reject_reason", fmt: str = "parquet",
-                mode: str = "overwrite") -> None:
-    """One pass writes ``valid=true`` rows and the ``valid=false`` quarantine (with reason)."""
-    (tagged.withColumn("valid", F.col(col).isNull())
+                mode: str = "overwrite", reasons: Sequence[str] = ()) -> dict[str, int]:
+    """K11 + A11: one pass writes ``valid=true`` rows and the ``valid=false`` quarantine (with reason) and counts them: ``kept``,
+    ``dropped``, and each of ``reasons``. The counts are observed on the rows as they are written; nothing is read twice."""
+    seen = Observation()
+    counts = [F.count_if(F.col(col).isNull()).alias("kept"), F.count_if(F.col(col).isNotNull()).alias("dropped"),
+              *[F.count_if(F.col(col) == r).alias(f"r{i}") for i, r in enumerate(reasons)]]
+    (tagged.observe(seen, *counts).withColumn("valid", F.col(col).isNull())
      .write.mode(mode).partitionBy("valid").format(fmt).save(path))
+    got = seen.get
+    return {"kept": got["kept"], "dropped": got["dropped"]} | {r: got[f"r{i}"] for i, r in enumerate(reasons)}

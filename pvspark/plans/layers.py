@@ -174,6 +174,14 @@ def q_mart_sentiment_profile(spark, sf_dir):
     return round_doubles(marts.sentiment_profile(silver_posts_df(spark, sf_dir)))
 
 
+@register("mart_sentiment_merged", O.with_layers(["posts_raw"], O.SILVER_POSTS, O.sentiment()) + """
+SELECT drug_name, total_mentions, round(avg_score, 6) AS avg_score, subreddit_count,
+       round(avg_body_length, 6) AS avg_body_length FROM sentiment""")
+def q_mart_sentiment_merged(spark, sf_dir):
+    """A3 from daily states with sketches of the forums (few here, so the estimate is exact)."""
+    return round_doubles(marts.sentiment_merge(marts.sentiment_daily(silver_posts_df(spark, sf_dir))))
+
+
 @register("mart_sentiment_exact_keys", O.with_layers(["posts_raw"], O.SILVER_POSTS, O.sentiment("trim(m)")) + """
 SELECT drug_name, total_mentions, round(avg_score, 6) AS avg_score, subreddit_count,
        round(avg_body_length, 6) AS avg_body_length FROM sentiment""")

@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from pvspark.operators import cells, index, retrieve
-from pvspark.operators.dedup import upsert_latest
+from pvspark.operators.dedup import create_buckets, upsert_buckets, upsert_latest
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import r6, register
 from pvspark.plans.layers import silver_articles_df
+from pvspark.session import scratch_path
 from pvspark.sources.tables import read_table
 
 def _queries(emb):
@@ -51,7 +52,6 @@ def q_knn_all(spark, sf_dir):
 
 
 def _cells(spark, sf_dir, key_col=None):
-    from pvspark.session import scratch_path
     emb = read_table(spark, sf_dir, "embeddings")
     return cells.build(emb, scratch_path(spark, f"vectors-{uuid.uuid4().hex}"), key_col=key_col), emb
 
@@ -104,6 +104,23 @@ def q_upsert_latest(spark, sf_dir):
     return upsert_latest(old, new, "vec_id", "version").select("vec_id", "label", "version")
 
 
+@register("upsert_buckets", """
+WITH u AS (SELECT vec_id, label, 1 AS version FROM embeddings
+           UNION ALL SELECT vec_id, label + 100, 2 FROM embeddings WHERE embedding[1] > 0
+           UNION ALL SELECT -1 - vec_id, label, 1 FROM embeddings WHERE embedding[1] > 0)
+SELECT vec_id, label, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY version DESC, label) AS rn FROM u) WHERE rn = 1""")
+def q_upsert_buckets(spark, sf_dir):
+    """K8 / R3 on a stored table partitioned by id bucket: newer versions and new ids, only touched buckets rewritten."""
+    path = scratch_path(spark, f"vectors-{uuid.uuid4().hex}")
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label", F.lit(1).alias("version"))
+    create_buckets(emb, path, "vec_id")
+    some = emb.filter(F.get("embedding", 0) > 0)
+    upsert_buckets(path, some.withColumns({"label": F.col("label") + 100, "version": F.lit(2)}), "vec_id", "version")
+    upsert_buckets(path, some.withColumn("vec_id", -1 - F.col("vec_id")), "vec_id", "version")
+    return spark.read.schema("vec_id long, label int, version int").parquet(path).select("vec_id", "label", "version")
+
+
 def _context_sql() -> str:
     knn = _knn_sql(True).strip()
     knn = knn[len("WITH "):knn.rindex("SELECT query_id, CAST(rank")].rstrip()

@@ -332,3 +332,44 @@ def test_extract_articles_leading_text_semantics(spark):
     assert (a.title, a.publish_date, a.drug_name) == ("About Xanax use", "1998-01-01", "Xanax")
     b = out["8"]
     assert (b.title, b.abstract, b.publish_date, b.drug_name) == (None, None, None, "unknown")
+
+
+def test_upsert_buckets_rewrites_touched_buckets_only(spark, tmp_dir):
+    old = spark.createDataFrame([(i, f"v{i}", 1) for i in range(200)], "id long, v string, version int")
+    path = f"{tmp_dir}/t"
+    dedup.create_buckets(old, path, "id", 16)
+
+    def files():
+        return {r.f: (r.b, r.m) for r in spark.read.parquet(path).select(
+            F.col("_metadata.file_path").alias("f"), F.col("bucket").alias("b"), F.col("_metadata.file_modification_time").alias("m")).distinct().collect()}
+
+    before = files()
+    new = spark.createDataFrame([(3, "new", 2), (7, "stale", 0), (1000, "added", 1)], "id long, v string, version int")
+    touched = dedup.upsert_buckets(path, new, "id", "version", 16)
+    after = files()
+    assert {f: x for f, x in before.items() if x[0] not in touched} == {f: x for f, x in after.items() if x[0] not in touched}
+    assert all(f not in before for f, (b, _) in after.items() if b in touched) and 0 < len(touched) <= 3
+    got = {r.id: (r.v, r.version) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 201 and got[3] == ("new", 2) and got[7] == ("v7", 1) and got[1000] == ("added", 1)
+    assert dedup.upsert_buckets(path, new.limit(0), "id", "version", 16) == []
+
+
+def test_sketches_of_days_merge_to_one_run(spark):
+    rows = [("2024-01-%02d 10:00:00" % (1 + i % 9), f"f{i % 700}", i % 5, 10, "A,b" if i % 2 else "B") for i in range(3000)]
+    posts = spark.createDataFrame(rows, "created_utc string, subreddit string, score int, body_length int, drug_mentions string").withColumn(
+        "created_utc", F.col("created_utc").cast("timestamp"))
+    daily = marts.sentiment_daily(posts)
+    merged = {r.drug_name: r for r in marts.sentiment_merge(daily).collect()}
+    exact = {r.drug_name: r for r in marts.sentiment_profile(posts).collect()}
+    for d, r in exact.items():
+        assert (merged[d].total_mentions, merged[d].avg_score, merged[d].avg_body_length) == (r.total_mentions, r.avg_score, r.avg_body_length)
+        assert abs(merged[d].subreddit_count - r.subreddit_count) <= 0.05 * r.subreddit_count
+    some = marts.sentiment_merge(daily.filter("day <= '2024-01-04'"))
+    once = marts.sentiment_merge(marts.sentiment_daily(posts.filter("created_utc < '2024-01-05'")))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_staging_write_counts_its_rows(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, "a"), (4, "b")], "id int, reject_reason string")
+    assert validate.write_split(df, f"{tmp_dir}/s", reasons=["a", "b", "c"]) == {"kept": 1, "dropped": 3, "a": 2, "b": 1, "c": 0}
+    assert validate.write_split(df.limit(0), f"{tmp_dir}/e", reasons=["a"]) == {"kept": 0, "dropped": 0, "a": 0}
