@@ -32,3 +32,14 @@ def components(links: DataFrame, max_rounds: int = 100, materialise=materialise)
         if new.filter("moved").isEmpty():
             return labels
     raise RuntimeError("components did not settle")
+
+
+def hooked(links: DataFrame, write) -> DataFrame:
+    """``links(a, b)`` -> (node, label): the least label among the neighbours of the least neighbours. Nodes of one label are
+    connected, and a star has one label; chains may have several. Two aggregations, to contract what has been found
+    between rounds of comparing."""
+    ends = links.select("a", "b")
+    edges = write(ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
+                  .unionByName(ends.select("a", F.col("a").alias("b"))).unionByName(ends.select(F.col("b").alias("a"), "b")), "hooks")
+    least = write(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "hooked")
+    return write(edges.join(least, edges["b"] == least["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label")), "hooked")

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pvspark.llm.common import Scratch, distinct_texts, drop_bucketed, small_batches, text_key
-from pvspark.llm.components import components
+from pvspark.llm.components import components, hooked
 from pvspark.llm.words import slices, words
 
 SHINGLE = 5
@@ -350,14 +350,18 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            "sketches").select(F.struct("did", "size").alias("node"), "keys")
     links, labels, large = None, None, []
 
-    def linked(pairs: DataFrame) -> bool:
+    def linked(pairs: DataFrame, contract: bool = True) -> bool:
         """Verify pairs and contract the classes; False if there was nothing to contract."""
         nonlocal links, labels
+        pairs = scratch.write(pairs, "pairs")
+        if links is not None and pairs.isEmpty():
+            return False
         found = scratch.write(_verified(pairs, texts), "verified")
         more = not found.isEmpty()
         if links is None or more:
             links = found if links is None else links.unionByName(found)
-            labels = components(links, materialise=scratch.write)
+            if contract:
+                labels = hooked(links, scratch.write)
         return more
 
     for low, high in zip(ROUNDS, ROUNDS[1:], strict=False):
@@ -372,7 +376,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for turn in range(STARS):
             if not linked(_star_pairs(_labelled(prefixes, labels, scratch), turn)):
                 break
-        linked(_rest_pairs(_labelled(prefixes, labels, scratch)))
+        linked(_rest_pairs(_labelled(prefixes, labels, scratch)), contract=False)
+    labels = components(links, materialise=scratch.write)
     of = (texts.select(F.struct("did", "size").alias("node"), "copies", "least_id").join(labels, "node", "left")
           .select("node", F.coalesce("label", "node").alias("label"), "copies", "least_id"))
     of = scratch.write(of, "text-classes")
