@@ -154,7 +154,8 @@ def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .agg(F.count_if(~F.col("near")).alias("n_equal"), F.count_if("near").alias("n_alike"),
                  F.array_sort(F.collect_list("line")).alias("gone")))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    n_lines = F.size(F.filter(F.split(text, "\n"), lambda t: F.trim(F.translate(t, SPACES, "    ")) != ""))
+    # one match a line that isn't blank: from its first other character to its end
+    n_lines = F.regexp_count(text, F.lit(r"[^ \t\x0B\f\r\n][^\n]*+"))
     zero = F.lit(0).cast("bigint")
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
