@@ -25,9 +25,9 @@ larger buckets that still hold several classes are joined exactly.
   centre does not have (all of them for texts near the centre). Near copies that differ from their
   original in different places therefore don't meet each other.
 
-Before these joins make pairs, ``STARS`` rounds compare the texts under each key with one of them only and contract the classes
-again: a group of near copies that meets under a key becomes one class by as many comparisons as it has texts. In what
-is left, a key's most frequent class is joined with the others only.
+Before these joins make pairs, up to ``STARS`` rounds compare each text with one other only, the one that stands for most of its
+keys, and contract the classes again: a group of near copies becomes one class by as many comparisons as it has texts.
+In what is left, a key's most frequent class is joined with the others only.
 
 Texts sit in a table bucketed by fingerprint; sketches, pairs and labels are small rows that go to them.
 
@@ -59,7 +59,7 @@ ELL = 3
 SKETCHES = 18
 SMALL = 8
 ROUNDS = (0, 4, SKETCHES)      # sketches of the first and the second round
-STARS = 2
+STARS = 4
 STAR = 1_000                   # partners of a text in one task
 NEAR = 0.25                    # of a near text's k-mers are not in its centre
 KNOWN_WORDS = 200_000
@@ -299,7 +299,8 @@ def _size_alike(n, m):
 
 
 def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different classes under each key: one text, the same for many keys, with all others."""
+    """One pair a text: under each key, one text (the same for many keys) stands against those of other classes, and each text
+    meets the one that it shares most keys with."""
     out = []
     for flag, on in (("any", ["kmer"]), ("apart", ["centre", "kmer"])):
         side = ranked.filter(flag)
@@ -307,8 +308,10 @@ def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
         mid = (side.groupBy(*on).agg(F.min(pick).alias("m"), F.min("label").alias("x"), F.max("label").alias("y"))
                .filter("x != y").select(*on, "m"))
         out.append(side.join(mid, on).filter((F.col("label") != F.col("m.label")) & _size_alike(F.col("n"), F.col("m.n")))
-                   .select(*_ordered(F.col("node"), F.col("m.node"))))
-    return out[0].unionByName(out[1]).distinct()
+                   .select("node", F.col("m.node").alias("other")))
+    shared = out[0].unionByName(out[1]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("keys"))
+    best = shared.groupBy("node").agg(F.max(F.struct("keys", F.xxhash64(F.lit(turn), "other.did").alias("h"), "other")).alias("m"))
+    return best.select(*_ordered(F.col("node"), F.col("m.other"))).distinct()
 
 
 def _rest_pairs(ranked: DataFrame) -> DataFrame:
