@@ -134,7 +134,8 @@ def match_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: st
     pieces = (rows.select("__h", "__hay", F.explode(F.sequence(F.lit(1), F.greatest(F.length("__hay"), F.lit(1)), F.lit(PIECE))).alias("p"))
               .select("__h", F.substr("__hay", F.col("p"), F.lit(PIECE + GRAM - 1)).alias("piece")))
     cut = (pieces.select("__h", "piece", F.explode(lengths).alias("n"))
-           .select("__h", "piece", "n", F.explode(F.sequence(F.lit(1), F.lit(PIECE))).alias("i"))
+           .select("__h", "piece", "n", F.explode(F.sequence(F.lit(1), F.least(
+               F.lit(PIECE), F.greatest(F.length("piece") - F.col("n") + 1, F.lit(1))))).alias("i"))
            .filter(F.col("i") + F.col("n") - 1 <= F.length("piece")).select("__h", F.substr("piece", F.col("i"), F.col("n")).alias("g")))
     word, bit = _bit(F.col("g"), words)
     known = F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
