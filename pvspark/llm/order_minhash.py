@@ -25,6 +25,9 @@ larger buckets that still hold several classes are joined exactly.
   centre does not have (all of them for texts near the centre). Near copies that differ from their
   original in different places therefore don't meet each other.
 
+A pair of these joins counts only if the shared k-mer lies inside the band of both texts' alignment and if as many k-mers as
+the alignment still needs follow it in the order of rarity on both sides: the first k-mer that the alignment keeps does.
+
 Before these joins make pairs, up to ``STARS`` rounds compare each text with one other only, the one that stands for most of its
 keys, and contract the classes again: a group of near copies becomes one class by as many comparisons as it has texts.
 In what is left, a key's most frequent class is joined with the others only.
@@ -192,9 +195,10 @@ def _kmer_batches(batches):
         for part in slices(batches, SLICE_ROWS, 3, SLICE_CHARS):
             grams, n = kmers(*ids.of(part.column(3).to_pylist()))
             take = pa.array(np.repeat(np.arange(len(n)), n))
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(k).take(take) for k in range(3)), pa.array(np.repeat(n, n), pa.int32()),
-                 pa.array(grams.view(np.int64))], ["node", "centre", "member", "n", "kmer"])
+                 pa.array(place, pa.int32()), pa.array(grams.view(np.int64))], ["node", "centre", "member", "n", "place", "kmer"])
 
 
 def _verify_batches(batches):
@@ -259,8 +263,8 @@ def _bucket_pairs(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
 
 
 def _rest_rows(many: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Prefixes of the members of larger buckets that hold several classes: node, centre, n, common, kmer, rank, any, apart. See
-    the module's text."""
+    """Prefixes of the members of larger buckets that hold several classes: node, centre, n, common, kmer, place, rank,
+    own_rank, any, apart. See the module's text."""
     own = many.groupBy("node").agg(F.max("c").alias("m"), F.collect_set("key").alias("keys"))
     labelled = (own.join(labels, "node", "left").select("node", F.col("m.node").alias("centre"), F.coalesce("label", "node").alias("label"),
                                                         F.explode("keys").alias("key")))
@@ -271,7 +275,7 @@ def _rest_rows(many: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Sc
     extra = (centres.join(nodes.select("node"), "node", "left_anti").select("node", F.col("node").alias("centre"), F.lit(False).alias("member")))
     rows = (nodes.unionByName(extra).select("node", "centre", "member", "node.did", "node.size")
             .join(texts.select("did", "size", "text"), ["did", "size"]).select("node", "centre", "member", "text")
-            .mapInArrow(_kmer_batches, f"node {NODE}, centre {NODE}, member boolean, n int, kmer long"))
+            .mapInArrow(_kmer_batches, f"node {NODE}, centre {NODE}, member boolean, n int, place int, kmer long"))
     rows = scratch.write(rows, "rest-kmers")
     core = rows.join(centres, "node", "left_semi").select(F.col("node").alias("centre"), "kmer", F.lit(1).alias("core"))
     rows = rows.filter("member").drop("member")
@@ -287,7 +291,8 @@ def _rest_rows(many: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Sc
     ranked = (ranked.withColumns({"any": (F.col("rank") <= length) & (F.col("df") > 1),
                                   "apart": (F.col("own") == 1) & (F.col("df") > 1) & (near | (F.col("own_rank") <= length))})
               .filter(F.col("any") | F.col("apart") | (F.col("rank") == 1)))
-    return scratch.write(ranked.select("node", "centre", "n", "common", "kmer", "rank", "any", "apart"), "rest-prefixes")
+    return scratch.write(ranked.select("node", "centre", "n", "common", "kmer", "place", "rank", "own_rank", "any", "apart"),
+                         "rest-prefixes")
 
 
 def _labelled(ranked: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
@@ -316,7 +321,14 @@ def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
 
 def _rest_pairs(ranked: DataFrame) -> DataFrame:
     """Pairs of different classes that may be similar, from labelled prefixes: see the module's text."""
-    alike = (F.col("xl") != F.col("label")) & _size_alike(F.col("n"), F.col("xn"))
+    share = SIMILAR / (1 + SIMILAR)
+    need = F.ceil((F.col("n") + F.col("xn")) * share - 1e-9)
+    in_centre = F.least(F.col("common"), F.col("xcommon"))
+    # the first k-mer in order of rarity that an alignment keeps is in its band, and enough k-mers follow it on both sides
+    alike = ((F.col("xl") != F.col("label")) & _size_alike(F.col("n"), F.col("xn"))
+             & (F.abs(F.col("place") - F.col("xplace")) <= F.greatest(F.col("n"), F.col("xn")) - need))
+    follow = 1 + F.least(F.col("n") - F.col("rank"), F.col("xn") - F.col("xrank"))
+    own_follow = 1 + F.least(F.col("n") - F.col("common") - F.col("own_rank"), F.col("xn") - F.col("xcommon") - F.col("xown_rank"))
 
     def meet(side: DataFrame, on: list[str], also) -> DataFrame:
         """Pairs on equal keys, the key's most frequent class being joined with the others only."""
@@ -324,14 +336,14 @@ def _rest_pairs(ranked: DataFrame) -> DataFrame:
         major = (per_class.groupBy(*on).agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("classes"))
                  .filter("classes > 1").select(*on, F.col("m.label").alias("major")))
         minor = side.join(major, on).filter("label != major").select(
-            *on, F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"), F.col("centre").alias("xc"))
+            *on, F.col("node").alias("x"), F.col("label").alias("xl"), F.col("centre").alias("xc"),
+            *(F.col(c).alias(f"x{c}") for c in ("n", "common", "place", "rank", "own_rank")))
         return minor.join(side, on).filter(alike & also).select(*_ordered(F.col("x"), F.col("node")))
 
-    here = ["node", "label", "centre", "n", "kmer"]
-    others = meet(ranked.filter("any").select(*here), ["kmer"], F.col("xc") != F.col("centre"))
-    apart = meet(ranked.filter("apart").select(*here), ["centre", "kmer"], F.lit(True))
+    here = ["node", "label", "centre", "n", "common", "kmer", "place", "rank", "own_rank"]
+    others = meet(ranked.filter("any").select(*here), ["kmer"], (F.col("xc") != F.col("centre")) & (follow >= need))
+    apart = meet(ranked.filter("apart").select(*here), ["centre", "kmer"], (in_centre < need) & (own_follow + in_centre >= need))
     # no k-mer of their own in common: both must share enough with the centre
-    share = SIMILAR / (1 + SIMILAR)
     one = ranked.filter("rank = 1").select("node", "label", "centre", "n", "common")
     low, high = F.ceil(F.col("n") * SIMILAR - 1e-9).cast("int"), F.least(F.col("n"), F.floor(F.col("common") / share + 1e-9).cast("int") - F.col("n"))
     longer = one.filter(high >= low).select("centre", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"),
