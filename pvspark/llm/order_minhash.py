@@ -30,7 +30,7 @@ the alignment still needs follow it in the order of rarity on both sides: the fi
 
 Before these joins make pairs, up to ``STARS`` rounds compare each text with one other only, the one that stands for most of its
 keys, and contract the classes again: a group of near copies becomes one class by as many comparisons as it has texts.
-In what is left, a key's most frequent class is joined with the others only.
+The connected components of all links so far are then taken. In what is left, a key's most frequent class is joined with the others only.
 
 Texts sit in a table bucketed by fingerprint; sketches, pairs and labels are small rows that go to them.
 
@@ -58,6 +58,7 @@ from pvspark.llm.words import slices, words
 
 SHINGLE = 5
 SIMILAR = 0.8
+SHARE = SIMILAR / (1 + SIMILAR)      # of both sizes together that similar texts have in common
 ELL = 3
 SKETCHES = 18
 SMALL = 8
@@ -219,6 +220,7 @@ def _verify_batches(batches):
 
 
 NODE = "struct<did:bigint,size:int>"
+COUNTS = ("n", "common", "place", "rank", "own_rank")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -303,16 +305,29 @@ def _size_alike(n, m):
     return F.least(n, m) >= SIMILAR * F.greatest(n, m) - 1e-9
 
 
+def _possible(on: list[str], x: str):
+    """Whether a k-mer shared by a text and another (columns with prefix ``x``) can be the first in order of rarity that their
+    alignment keeps: it lies in the band, and enough k-mers follow it on both sides."""
+    n, m = F.col("n"), F.col(f"{x}n")
+    need = F.ceil((n + m) * SHARE - 1e-9)
+    other = (F.col("label") != F.col(f"{x}label")) & _size_alike(n, m)
+    band = F.abs(F.col("place") - F.col(f"{x}place")) <= F.greatest(n, m) - need
+    if on == ["kmer"]:
+        return other & band & (1 + F.least(n - F.col("rank"), m - F.col(f"{x}rank")) >= need)
+    own = F.least(n - F.col("common") - F.col("own_rank"), m - F.col(f"{x}common") - F.col(f"{x}own_rank"))
+    return other & band & (1 + own + F.least(F.col("common"), F.col(f"{x}common")) >= need)
+
+
 def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
     """One pair a text: under each key, one text (the same for many keys) stands against those of other classes, and each text
     meets the one that it shares most keys with."""
     out = []
     for flag, on in (("any", ["kmer"]), ("apart", ["centre", "kmer"])):
         side = ranked.filter(flag)
-        pick = F.struct(F.xxhash64(F.lit(turn), "node.did", "node.size").alias("h"), "node", "label", "n")
+        pick = F.struct(F.xxhash64(F.lit(turn), "node.did", "node.size").alias("h"), "node", "label", *COUNTS)
         mid = (side.groupBy(*on).agg(F.min(pick).alias("m"), F.min("label").alias("x"), F.max("label").alias("y"))
                .filter("x != y").select(*on, "m"))
-        out.append(side.join(mid, on).filter((F.col("label") != F.col("m.label")) & _size_alike(F.col("n"), F.col("m.n")))
+        out.append(side.join(mid, on).filter(_possible(on, "m."))
                    .select("node", F.col("m.node").alias("other")))
     shared = out[0].unionByName(out[1]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("keys"))
     best = shared.groupBy("node").agg(F.max(F.struct("keys", F.xxhash64(F.lit(turn), "other.did").alias("h"), "other")).alias("m"))
@@ -321,14 +336,6 @@ def _star_pairs(ranked: DataFrame, turn: int) -> DataFrame:
 
 def _rest_pairs(ranked: DataFrame) -> DataFrame:
     """Pairs of different classes that may be similar, from labelled prefixes: see the module's text."""
-    share = SIMILAR / (1 + SIMILAR)
-    need = F.ceil((F.col("n") + F.col("xn")) * share - 1e-9)
-    in_centre = F.least(F.col("common"), F.col("xcommon"))
-    # the first k-mer in order of rarity that an alignment keeps is in its band, and enough k-mers follow it on both sides
-    alike = ((F.col("xl") != F.col("label")) & _size_alike(F.col("n"), F.col("xn"))
-             & (F.abs(F.col("place") - F.col("xplace")) <= F.greatest(F.col("n"), F.col("xn")) - need))
-    follow = 1 + F.least(F.col("n") - F.col("rank"), F.col("xn") - F.col("xrank"))
-    own_follow = 1 + F.least(F.col("n") - F.col("common") - F.col("own_rank"), F.col("xn") - F.col("xcommon") - F.col("xown_rank"))
 
     def meet(side: DataFrame, on: list[str], also) -> DataFrame:
         """Pairs on equal keys, the key's most frequent class being joined with the others only."""
@@ -336,20 +343,21 @@ def _rest_pairs(ranked: DataFrame) -> DataFrame:
         major = (per_class.groupBy(*on).agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("classes"))
                  .filter("classes > 1").select(*on, F.col("m.label").alias("major")))
         minor = side.join(major, on).filter("label != major").select(
-            *on, F.col("node").alias("x"), F.col("label").alias("xl"), F.col("centre").alias("xc"),
-            *(F.col(c).alias(f"x{c}") for c in ("n", "common", "place", "rank", "own_rank")))
-        return minor.join(side, on).filter(alike & also).select(*_ordered(F.col("x"), F.col("node")))
-
-    here = ["node", "label", "centre", "n", "common", "kmer", "place", "rank", "own_rank"]
-    others = meet(ranked.filter("any").select(*here), ["kmer"], (F.col("xc") != F.col("centre")) & (follow >= need))
-    apart = meet(ranked.filter("apart").select(*here), ["centre", "kmer"], (in_centre < need) & (own_follow + in_centre >= need))
+            *on, F.col("node").alias("x"), F.col("label").alias("xlabel"), F.col("centre").alias("xcentre"),
+            *(F.col(c).alias(f"x{c}") for c in COUNTS))
+        there = side.select("node", "label", "centre", "kmer", *COUNTS)
+        return minor.join(there, on).filter(_possible(on, "x") & also).select(*_ordered(F.col("x"), F.col("node")))
+
+    others = meet(ranked.filter("any"), ["kmer"], F.col("xcentre") != F.col("centre"))
+    need = F.ceil((F.col("n") + F.col("xn")) * SHARE - 1e-9)
+    apart = meet(ranked.filter("apart"), ["centre", "kmer"], F.least(F.col("common"), F.col("xcommon")) < need)
     # no k-mer of their own in common: both must share enough with the centre
     one = ranked.filter("rank = 1").select("node", "label", "centre", "n", "common")
-    low, high = F.ceil(F.col("n") * SIMILAR - 1e-9).cast("int"), F.least(F.col("n"), F.floor(F.col("common") / share + 1e-9).cast("int") - F.col("n"))
+    low, high = F.ceil(F.col("n") * SIMILAR - 1e-9).cast("int"), F.least(F.col("n"), F.floor(F.col("common") / SHARE + 1e-9).cast("int") - F.col("n"))
     longer = one.filter(high >= low).select("centre", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("n").alias("xn"),
                                             F.explode(F.sequence(low, high)).alias("n"))
     within = (longer.join(one, ["centre", "n"])
-              .filter((F.col("xl") != F.col("label")) & (F.col("common") >= share * (F.col("n") + F.col("xn")) - 1e-9))
+              .filter((F.col("xl") != F.col("label")) & (F.col("common") >= SHARE * (F.col("n") + F.col("xn")) - 1e-9))
               .select(*_ordered(F.col("x"), F.col("node"))))
     return others.unionByName(apart).unionByName(within).distinct()
 
@@ -391,6 +399,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for turn in range(STARS):
             if not linked(_star_pairs(_labelled(prefixes, labels, scratch), turn)):
                 break
+        labels = components(links, materialise=scratch.write)      # whole classes, before the pairs that are left meet
         linked(_rest_pairs(_labelled(prefixes, labels, scratch)), contract=False)
     labels = components(links, materialise=scratch.write)
     of = (texts.select(F.struct("did", "size").alias("node"), "copies", "least_id").join(labels, "node", "left")
