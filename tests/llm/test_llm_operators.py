@@ -361,6 +361,25 @@ def test_lines_brute_force(spark):
     assert line_neighbours.summary(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_lines_of_many_words(spark):
+    """Lines of 1 to 20,000 words, of block borders too, with one word changed, put in or left out at either end and inside."""
+    rng = random.Random(16)
+    rows = []
+    for n in (8, 63, 64, 65, 66, 128, 129, 130, 20_000):
+        words = [f"w{rng.randrange(1000)}" for _ in range(n)]
+        at = sorted({0, 1, n // 2, n - 2, n - 1})
+        lines = [words]
+        for i in at:
+            lines += [words[:i] + ["new"] + words[i + 1:], words[:i] + words[i + 1:], words[:i] + ["put"] + words[i:]]
+        lines += [words + ["put"], words[:1] + ["two", "more"] + words[3:] + ["end"]]
+        rows.append((n, "\n".join(" ".join(x) for x in lines)))
+    for r in line_neighbours.summary(frame(spark, rows)).collect():
+        # the line itself stays, and the one of three edits; of 8 words, those of 7 are too short to be compared
+        lines = [l.split() for l in dict(rows)[r.doc_id].split("\n")]
+        stay = {0, len(lines) - 1} | {k for k, l in enumerate(lines) if len(l) < line_neighbours.MIN_WORDS and l not in lines[:k]}
+        assert r.dropped_lines == ",".join(str(k) for k in range(len(lines)) if k not in stay), r.doc_id
+
+
 # ---- 8 substrings ----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("contexts", [4096, 1])
