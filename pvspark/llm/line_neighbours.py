@@ -16,7 +16,8 @@ and the others leave out only words of the half that differs.
 A line of n words costs about n times ``BLOCK / 2`` small steps: the keys of its variants are running hashes.
 
 Skew: all minima combine map-side, and joins back to the rows are on keys with one row each, so a line that a
-third of all documents repeat is one row a task in every shuffle but the last, which carries places only.
+third of all documents repeat is one row a task in those shuffles. Places of lines that hold more than 1 in
+``HOT`` of all places (so fewer than ``HOT`` lines, broadcast without their words) find their line before the last shuffle.
 
 Defined results: null counts as empty; a null doc_id comes last; rows that repeat id and text are at one place
 and don't remove each other's lines; documents without lines have zero counts; a hash collision found by the
@@ -32,6 +33,7 @@ from pvspark.llm.common import bucketed, drop_bucketed, materialise
 
 MIN_WORDS = 8
 BLOCK = 64                             # words whose keys are summed in one step
+HOT = 2000                             # a line with more than 1 / HOT of all places is hot, so there are fewer than HOT of them
 LAST = (1 << 63) - 1                   # place of a null doc_id
 SPACES = "\t\x0b\f\r"              # and the space itself
 
@@ -165,10 +167,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     lines, name = bucketed(
         _places(docs, id_col, text_col).groupBy("k", "size")
-        .agg(F.min("place").alias("first"), F.first("words").alias("words")), ["k", "size"], "lines")
+        .agg(F.min("place").alias("first"), F.first("words").alias("words"), F.count(F.lit(1)).alias("c")),
+        ["k", "size"], "lines")
     near = materialise(_near(lines), "near-lines")
-    places = _places(docs, id_col, text_col).select("k", "size", "place")
-    gone = (places.join(lines.select("k", "size", "first").join(near, ["k", "size"], "left"), ["k", "size"])
+    known = lines.select("k", "size", "first", "c").join(near, ["k", "size"], "left")
+    total = lines.agg(F.sum("c")).first()[0] or 0
+    hot = F.broadcast(known.filter(F.col("c") * HOT > total).select("k", "size", F.struct("first", "partner").alias("hot")))
+    # places of hot lines know their line already: they go on with scattered keys, which no line has to meet
+    places = (_places(docs, id_col, text_col).select("k", "size", "place").join(hot, ["k", "size"], "left")
+              .withColumn("k", F.when(F.col("hot").isNull(), F.col("k")).otherwise(F.xxhash64("place"))))
+    gone = (places.join(known.select("k", "size", F.struct("first", "partner").alias("line")), ["k", "size"], "left")
+            .select("place", F.coalesce("hot", "line").alias("line")).select("place", "line.first", "line.partner")
             .filter((F.col("place") != F.col("first")) | F.col("partner").isNotNull())
             .select("place.doc", "place.did", "place.line", (F.col("place") == F.col("first")).alias("near"),
                     F.when(F.col("place") == F.col("first"), F.col("partner")).otherwise(F.col("first")).alias("earlier")))
