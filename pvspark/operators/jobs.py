@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.operators import quality, silver, sinks, validate
+from pvspark.operators import marts, quality, silver, sinks, validate
 from pvspark.session import remove_path, scratch_path
+from pvspark.sources.tables import read_catalog_table
 
 
 def run_silver(raw: dict[str, DataFrame], orders: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
@@ -37,6 +38,21 @@ def silver_counts(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> Dat
     return u.groupBy("table").agg(F.sum("i").cast("long").alias("rows_in"), F.sum("o").cast("long").alias("rows_out"))
 
 
+def run_marts(clean: dict[str, DataFrame], database: str, key_mode: str = "normalized", label_pick: str = "one") -> dict[str, str]:
+    """Every mart as a table of ``database`` (created or replaced), and their names by mart. The master is joined from the
+    saved per-drug tables, so each fact table is read once, whoever reads the marts later."""
+    spark = clean["reports"].sparkSession
+    names = {m: f"{database}.mart_{m}" for m in ("adverse", "sentiment", "research", "labels", "master")}
+    frames = {"adverse": marts.adverse_profile(clean["reports"]), "sentiment": marts.sentiment_profile(clean["posts"], key_mode),
+              "research": marts.research_profile(clean["articles"]), "labels": marts.pick_labels(clean["labels"], label_pick)}
+    for mart, df in frames.items():
+        sinks.save_table(df, names[mart])
+    saved = {m: read_catalog_table(spark, names[m]) for m in frames}
+    sinks.save_table(marts.master_profile(saved["adverse"], saved["sentiment"], saved["research"], saved["labels"], "all"),
+                     names["master"])
+    return names
+
+
 def _label_rules(records: DataFrame) -> list[validate.Rule]:
     """P16 on flat records; extraction leaves ``openfda_present`` if the payload may lack it."""
     present = F.col("openfda_present") if "openfda_present" in records.columns else F.lit(True)

@@ -31,3 +31,11 @@ def latest_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """Most recent ``n`` rows under a total order -> TakeOrderedAndProject (each task
     keeps its own top n; only n rows per task reach the final merge)."""
     return df.orderBy(*order_columns(order)).limit(n)
+
+
+def newest_labels(payloads: DataFrame, n: int = 100) -> DataFrame:
+    """S7 on label payloads (VARIANT column ``v``): the ``n`` newest by ``effective_time``, ties by id, those without a day last.
+    Only those are validated and extracted afterwards."""
+    keyed = payloads.select("v", F.try_variant_get("v", "$.effective_time", "string").alias("day"),
+                            F.try_variant_get("v", "$.id", "string").alias("id"))
+    return latest_n(keyed, n, ["day desc", "id"]).select("v")

@@ -52,7 +52,10 @@ def label_payload_json(raw: DataFrame) -> DataFrame:
 
     openfda = F.when(key % 37 == 0, F.lit("null")).otherwise(
         F.to_json(F.struct(names("brand_name").alias("brand_name"), names("generic_name").alias("generic_name"))))
-    doc = F.concat(F.lit('{"id":'), _json_str(F.col("drug_id")), F.lit(',"openfda":'), openfda,
+    # a day of 2000 to 2024; every 41st label has none
+    day = F.when(key % 41 == 0, F.lit("null")).otherwise(F.concat(
+        F.lit('"'), (2000 + key * 7 % 25).cast("string"), F.lpad((1 + key % 12).cast("string"), 2, "0"), F.lit('15"')))
+    doc = F.concat(F.lit('{"id":'), _json_str(F.col("drug_id")), F.lit(',"effective_time":'), day, F.lit(',"openfda":'), openfda,
                    F.lit(',"warnings":'), text_field("warnings"),
                    F.lit(',"drug_interactions":'), text_field("interactions"), F.lit("}"))
     return raw.select(doc.alias("value"))
@@ -135,6 +138,22 @@ def q_extract_labels(spark, sf_dir):
     return extract.extract_labels(valid, clip=500).drop("ingestion_ts")
 
 
+@register("latest_labels", fixtures.oracle_ctes("labels_raw") + """,
+newest AS (SELECT *, CASE WHEN CAST(drug_id AS BIGINT) % 41 <> 0 THEN CAST(2000 + CAST(drug_id AS BIGINT) * 7 % 25 AS VARCHAR)
+                       || lpad(CAST(1 + CAST(drug_id AS BIGINT) % 12 AS VARCHAR), 2, '0') || '15' END AS day
+           FROM labels_raw ORDER BY day DESC NULLS LAST, drug_id LIMIT 100)
+SELECT drug_id, brand_name, generic_name, substr(warnings, 1, 500) AS warnings,
+       substr(interactions, 1, 500) AS interactions
+FROM newest WHERE CAST(drug_id AS BIGINT) % 37 <> 0""")
+def q_latest_labels(spark, sf_dir):
+    """S7 + P16 + S4: the 100 newest label payloads by effective day (the limit is the feature), then validated and extracted."""
+    from pvspark.operators.posts import newest_labels
+    v = newest_labels(extract.label_variant(label_payload_json(fixtures.labels_raw(spark, sf_dir))), 100)
+    valid, _ = validate.split_valid(v.withColumn("drug_id", F.try_variant_get("v", "$.id", "string")),
+                                    validate.label_rules(extract.label_openfda_present(F.col("v"))))
+    return extract.extract_labels(valid, clip=500).drop("ingestion_ts")
+
+
 _STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 _XML_CLEAN = "regexp_replace({x}, '[\\x00-\\x08\\x0B\\x0C\\x0D\\x0E-\\x1F]', '', 'g')"
 

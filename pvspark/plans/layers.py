@@ -125,6 +125,15 @@ def q_invariant_serious(spark, sf_dir):
     return marts.invariant_serious(adverse_df(spark, sf_dir)).select("drug_name", "serious_reports", "total_reports")
 
 
+@register("invariant_violations", O.with_layers(["reports_raw"], O.SILVER_REPORTS, O.ADVERSE) + """
+SELECT drug_name, serious_reports, hospitalization_reports AS total_reports
+FROM adverse WHERE serious_reports > hospitalization_reports""")
+def q_invariant_violations(spark, sf_dir):
+    """Q10 on a mart whose total was filled from the wrong column: the drugs that the check has to name."""
+    wrong = adverse_df(spark, sf_dir).withColumn("total_reports", F.col("hospitalization_reports"))
+    return marts.invariant_serious(wrong).select("drug_name", "serious_reports", "total_reports")
+
+
 @register("outcome_rates", O.with_layers(["reports_raw"], O.SILVER_REPORTS, O.ADVERSE) + """
 SELECT drug_name,
   round(serious_reports / CAST(total_reports AS DOUBLE), 6) AS serious_rate,

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from pvspark.operators import jobs, marts, quality, sinks, validate
 from pvspark.plans import oracle_ctes as O
-from pvspark.plans.base import register
-from pvspark.plans.layers import POST_ORDER, REPORT_ORDER, silver_labels_df, silver_reports_df
+from pvspark.plans.base import register, round_doubles
+from pvspark.plans.layers import (MASTER_COLS, POST_ORDER, REPORT_ORDER, _master_oracle, silver_articles_df, silver_labels_df,
+                                  silver_posts_df, silver_reports_df)
 from pvspark.session import scratch_path
 from pvspark.sources import fixtures
 from pvspark.sources.tables import read_catalog_table, read_table
@@ -208,6 +209,19 @@ def q_clean_tables(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@register("mart_tables", _master_oracle("upper(trim(m))", "one"))
+def q_mart_tables(spark, sf_dir):
+    """K3 + K10: all five marts saved as tables (twice: create or replace), the master joined from the saved ones and read
+    back from the catalog."""
+    db = f"pv_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    clean = {"reports": silver_reports_df(spark, sf_dir), "posts": silver_posts_df(spark, sf_dir),
+             "articles": silver_articles_df(spark, sf_dir), "labels": silver_labels_df(spark, sf_dir)}
+    for _ in range(2):
+        names = jobs.run_marts(clean, db)
+    return round_doubles(read_catalog_table(spark, names["master"]).select(*MASTER_COLS))
+
+
 @register("key_value_roundtrip", fixtures.oracle_ctes("posts_raw") + """
 SELECT coalesce(post_id, '') AS key, post_id, subreddit, score, body, drug_mentions FROM posts_raw""")
 def q_key_value_roundtrip(spark, sf_dir):
