@@ -106,12 +106,19 @@ def route(df: DataFrame, table: str, schema: list[tuple[str, str]], target: str
 
 
 def write_batch(df: DataFrame, root: str, source: str, ds: str) -> str:
-    """K1: one dated NDJSON batch per (source, day); re-running the day overwrites it."""
+    """K1: one dated NDJSON batch per (source, day); re-running the day overwrites it. The lines are compressed: they repeat
+    every field name, and a task's file is read by one task again."""
     path = batch_path(root, source, ds)
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
     return path
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once and read back: rows that several sinks publish are computed once."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def to_key_value(df: DataFrame, key: str) -> DataFrame:
     """K7: keyed JSON records (``key`` as string, ``value`` = the whole row as JSON)."""
     return df.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),

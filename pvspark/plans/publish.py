@@ -92,7 +92,7 @@ def q_bronze_load(spark, sf_dir):
     less = raw.filter(~F.col("report_date").startswith("1995"))
     lines = less.select(F.to_json(F.struct(*[c for c in raw.columns if c not in plain])).alias("value")).unionByName(
         less.filter("tie2 % 10 = 0").select(F.concat(F.lit('{"report_id": '), F.col("report_id"), F.lit(" oops")).alias("value")))
-    lines.write.mode("overwrite").text(path)
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
     table = sinks.bronze_load(spark, path, f"{root}/faers_events", "faers_events", "2024-01-01")
     bad = sinks.quarantined(spark, f"{root}/faers_events", "2024-01-01")
     none = F.lit(0).cast("bigint")
