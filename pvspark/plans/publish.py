@@ -172,7 +172,7 @@ def q_publish_routed(spark, sf_dir):
     """K4 / K5 / K6: the router publishes the silver reports twice in the trial (append: twice the rows) and twice
     after it (overwrite: the rows once)."""
     root = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
-    reports = silver_reports_df(spark, sf_dir)
+    reports = sinks.stage(silver_reports_df(spark, sf_dir), f"{root}/silver")
     start = dt.date(2024, 1, 1)
     out = None
     for day in (dt.date(2024, 1, 31), dt.date(2024, 2, 1)):

@@ -30,3 +30,17 @@ def test_raw_batches_are_compressed(spark, tmp_dir):
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert files and all(f.endswith(".json.gz") for f in files)
     assert sinks.bronze_load(spark, path, f"{tmp_dir}/t", "faers_events", "2024-01-01").count() == 2000
+
+
+def test_routed_reports_are_cleaned_once(spark, monkeypatch):
+    from pvspark.plans.publish import q_publish_routed
+    seen = _spy(monkeypatch, sinks, "route", lambda df, *_: [df])
+    got = {r.target: r.n for r in q_publish_routed(spark, SF_TINY).collect()}
+    assert seen == [False] * 4 and got["append"] == 2 * got["overwrite"] > 0
+
+
+def test_saved_tables_are_cleaned_once(spark, monkeypatch):
+    from pvspark.plans.publish import q_clean_tables
+    seen = _spy(monkeypatch, sinks, "save_table", lambda df, *_: [df])
+    assert len(q_clean_tables(spark, SF_TINY).collect()) == 5
+    assert seen == [False] * 6
