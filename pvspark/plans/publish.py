@@ -195,8 +195,9 @@ def q_clean_tables(spark, sf_dir):
     from the catalog, and a staging view over them."""
     db = f"pv_{uuid.uuid4().hex}"
     raw = sinks.create_raw_tables(spark, db, location=scratch_path(spark, db))
-    reports = silver_reports_df(spark, sf_dir)
-    frames = {"clean_reports": reports, "clean_labels": silver_labels_df(spark, sf_dir),
+    root = scratch_path(spark, f"clean-{uuid.uuid4().hex}")
+    reports = sinks.stage(silver_reports_df(spark, sf_dir), f"{root}/reports")
+    frames = {"clean_reports": reports, "clean_labels": sinks.stage(silver_labels_df(spark, sf_dir), f"{root}/labels"),
               "mart_adverse": marts.adverse_profile(reports)}
     for name, df in frames.items():
         for _ in range(2):
