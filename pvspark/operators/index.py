@@ -64,12 +64,12 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_c
     vocabulary = _stored(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
                          .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))), folder, "vocabulary")
     weighted = counts.join(vocabulary, "term").select("doc", "key", "term", "df", (F.col("tf") * F.col("idf")).alias("w"))
-    vectors = (weighted.groupBy("doc", "key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-                                                  F.collect_list(F.struct("term", "df", "w")).alias("vec"))
-               .withColumn("vec", F.filter("vec", lambda t: t["w"] > 0)))
-    vectors = rows.select("doc", "key").join(
-        vectors.select(F.col("doc").alias("d"), F.transform("vec", lambda t: F.struct(t["term"].alias("term"), t["df"].alias("df"), (t["w"] / F.col("norm")).alias("w")))
-                       .alias("vec")), F.col("doc") == F.col("d"), "left").select("doc", "key", "vec")
+    # a row without a term for each document keeps those without a word, so vectors need no second shuffle to meet the documents
+    blank = rows.select("doc", "key", *[F.lit(None).cast(weighted.schema[c].dataType).alias(c) for c in ("term", "df", "w")])
+    vectors = (weighted.unionByName(blank).groupBy("doc", "key").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.when(F.col("w") > 0, F.struct("term", "df", "w"))).alias("vec"))
+               .select("doc", "key", F.transform("vec", lambda t: F.struct(
+                   t["term"].alias("term"), t["df"].alias("df"), (t["w"] / F.col("norm")).alias("w"))).alias("vec")))
     vectors = _stored(vectors, folder, "vectors")
     posts = vectors.select("doc", "key", F.explode("vec").alias("t")).select("doc", "key", "t.*")
     # a term's share of a level is at most df / BLOCK blocks; most levels of most terms are one
@@ -82,9 +82,11 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_c
 
 
 def _full_scores(pairs: DataFrame, index: Index, terms: DataFrame) -> DataFrame:
-    """(query_id, doc) -> query_id, doc, score."""
-    vec = pairs.join(index.vectors.select("doc", "vec"), "doc").select("query_id", "doc", F.explode("vec").alias("t"))
-    return (vec.select("query_id", "doc", F.col("t.term").alias("term"), F.col("t.w").alias("w")).join(terms.select("query_id", "term", "qw"), ["query_id", "term"])
+    """(query_id, doc) -> query_id, doc, score. Of a document's words, those that no query has are left out once, before the
+    document meets its queries."""
+    vec = index.vectors.select("doc", F.explode("vec").alias("t")).select("doc", F.col("t.term").alias("term"), F.col("t.w").alias("w"))
+    vec = vec.join(terms.select("term").distinct(), "term", "left_semi")
+    return (pairs.join(vec, "doc").join(terms.select("query_id", "term", "qw"), ["query_id", "term"])
             .groupBy("query_id", "doc").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
 
 

@@ -44,3 +44,22 @@ def test_saved_tables_are_cleaned_once(spark, monkeypatch):
     seen = _spy(monkeypatch, sinks, "save_table", lambda df, *_: [df])
     assert len(q_clean_tables(spark, SF_TINY).collect()) == 5
     assert seen == [False] * 6
+
+
+def test_vectors_hold_documents_without_words(spark):
+    from pvspark.operators import index
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma"), (3, " .. "), (4, None)], "doc_id long, text string")
+    built = index.build(docs)
+    assert {r.doc: sorted(t.term for t in r.vec) for r in built.vectors.collect()} == {1: ["alpha", "beta"], 2: ["beta", "gamma"], 3: [], 4: []}
+
+
+def test_scores_meet_only_words_that_queries_have(spark):
+    from pvspark.operators import index
+    built = index.build(spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma"), (3, "delta")], "doc_id long, text string"))
+    terms = spark.createDataFrame([(7, "alpha", 0.6), (7, "beta", 0.8)], "query_id long, term string, qw double")
+    pairs = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "query_id long, doc long")
+    scores = index._full_scores(pairs, built, terms)
+    assert "LeftSemi" in scores._jdf.queryExecution().optimizedPlan().toString()
+    w = {(r.doc, t.term): t.w for r in built.vectors.collect() for t in r.vec}
+    want = {1: 0.6 * w[1, "alpha"] + 0.8 * w[1, "beta"], 2: 0.8 * w[2, "beta"]}
+    assert {r.doc: round(r.score, 9) for r in scores.collect()} == {d: round(x, 9) for d, x in want.items()}
