@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pvspark.operators.sinks import stage
 from pvspark.plans.base import register
 from pvspark.session import scratch_path
 from pvspark.sources import fixtures
@@ -87,8 +88,8 @@ def q_stream_dedup(spark, sf_dir):
                             f"{root}/dedup", f"{root}/ckpt_dedup").awaitTermination()
 
     drain()
-    valid = (ingest.decode_messages(spark.read.text(f"{root}/in")).filter("reject_reason is null")
-             .select("post_id", "subreddit", "title", "body", "score", "created_utc", "drug_mentions"))
+    valid = stage(ingest.decode_messages(spark.read.text(f"{root}/in")).filter("reject_reason is null")
+                  .select("post_id", "subreddit", "title", "body", "score", "created_utc", "drug_mentions"), f"{root}/valid")
     last = valid.agg(F.max("created_utc")).scalar()
     settled = (valid.groupBy("post_id").agg(F.max("created_utc").alias("latest"))
                .filter(F.col("latest") < last - F.expr(f"INTERVAL {SETTLED_DAYS} DAY")).select("post_id"))

@@ -71,7 +71,8 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     else:
         text = raw.cast("string")
     v = F.try_parse_json(text)
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    # text that parses is an object if its first character is a brace
+    is_obj = F.coalesce(v.isNotNull() & text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
     typed = df.select(text.alias("raw"), v.alias("_v"), is_obj.alias("_obj"))
     typed = typed.select("raw", "_obj", *[F.try_variant_get("_v", f"$.{n}", t).alias(n) for n, t in MESSAGE_FIELDS])
     # presence is tested on the text of the message; text that is no time has a reason of its own

@@ -63,3 +63,27 @@ def test_scores_meet_only_words_that_queries_have(spark):
     w = {(r.doc, t.term): t.w for r in built.vectors.collect() for t in r.vec}
     want = {1: 0.6 * w[1, "alpha"] + 0.8 * w[1, "beta"], 2: 0.8 * w[2, "beta"]}
     assert {r.doc: round(r.score, 9) for r in scores.collect()} == {d: round(x, 9) for d, x in want.items()}
+
+
+def test_replay_reads_messages_decoded_once(spark, monkeypatch):
+    from pvspark.plans import streams
+    from pvspark.streaming import ingest
+    seen, real = [], ingest.message_json
+
+    def call(posts, seq):
+        seen.append([f for f in posts.inputFiles() if f.endswith(".txt")])
+        return real(posts, seq)
+
+    monkeypatch.setattr(ingest, "message_json", call)
+    assert {r.passes for r in streams.q_stream_dedup(spark, SF_TINY).collect()} <= {1, 2}
+    assert seen == [[], []]
+
+
+def test_only_objects_are_messages(spark):
+    from pvspark.streaming import ingest
+    lines = ['{"post_id":"1","body":"b","created_utc":"2024-01-01T00:00:00+00:00"}', ' \t\n{"post_id":"2","body":"b","created_utc":"2024-01-01T00:00:00+00:00"}',
+             "[1]", '"{"', "3", "null", "{broken", "", None]
+    got = ingest.decode_messages(spark.createDataFrame([(x,) for x in lines], "value string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "schema_of_variant" not in plan
+    assert [r.reject_reason for r in got.collect()] == [None, None] + [ingest.DECODE_ERROR] * 7
