@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pvspark.operators import kpi, model, score
+from pvspark.operators import kpi, marts, model, score
+from pvspark.operators.sinks import stage
 from pvspark.plans import oracle_ctes as O
 from pvspark.plans.base import age_group_sql, register, round_doubles
 from pvspark.plans.retrieval import TFIDF_SQL
@@ -75,7 +76,7 @@ def _stored(spark, sf_dir, name, make):
     if key not in _STORED:
         df = make()
         path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-        df.write.parquet(path)
+        stage(df, path)
         _STORED[key] = path, df.schema
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)
@@ -86,8 +87,24 @@ def _features(spark, sf_dir):
     return _stored(spark, sf_dir, "model-features", lambda: model.build_features(_master(spark, sf_dir)).coalesce(1))
 
 
+# what the marts, the KPIs and the digest read of the clean tables
+_CLEAN = {
+    "reports": (silver_reports_df, ["drug_name", "reaction", "age_group", "age", "is_serious", "hospitalization", "death", "disability"]),
+    "posts": (silver_posts_df, ["drug_mentions", "score", "body"]),
+    "articles": (silver_articles_df, ["article_id", "drug_name", "title", "abstract", "abstract_length", "publish_year"]),
+    "labels": (silver_labels_df, ["drug_id", "brand_name", "warnings_length", "interactions"]),
+}
+
+
+def _clean(spark, sf_dir, name):
+    make, cols = _CLEAN[name]
+    return _stored(spark, sf_dir, f"clean-{name}", lambda: make(spark, sf_dir).select(*cols))
+
+
 def _master(spark, sf_dir):
-    return _stored(spark, sf_dir, "master", lambda: master_df(spark, sf_dir))
+    # the facts are cleaned once for the mart and the reactions of the report; the mart reads the posts without their bodies
+    return _stored(spark, sf_dir, "master", lambda: marts.build_master(
+        _clean(spark, sf_dir, "reports"), silver_posts_df(spark, sf_dir), silver_articles_df(spark, sf_dir), silver_labels_df(spark, sf_dir)))
 
 
 def _fitted(spark, sf_dir, targets=tuple(model.TARGETS)):
@@ -161,8 +178,7 @@ def _report(spark, sf_dir):
     have = _fitted(spark, sf_dir)
     req = requests_df(spark, sf_dir).withColumn(
         "request_id", F.concat_ws("|", "drug_name", F.col("age").cast("string"), F.col("weight").cast("string")))
-    silver = {n: _stored(spark, sf_dir, f"silver-{n}", lambda make=make: make(spark, sf_dir)) for n, make in (
-        ("posts", silver_posts_df), ("articles", silver_articles_df), ("labels", silver_labels_df), ("reports", silver_reports_df))}
+    silver = {n: _clean(spark, sf_dir, n) for n in _CLEAN}
     rep, _, _ = score.risk_report(req, _master(spark, sf_dir), silver["posts"], silver["articles"], silver["labels"], silver["reports"],
                                   {t: have[t][0] for t in model.TARGETS})
     return rep, req
