@@ -224,8 +224,8 @@ def q_digest_context(spark, sf_dir):
     rate) the retrieved research context text (TF-IDF retrieval filtered to the drug)."""
     from pvspark.functions.rules import age_group, risk_label
     from pvspark.operators.retrieve import digest_context
-    m = master_df(spark, sf_dir).filter(F.col("adv_total_reports") > 0)
+    m = _master(spark, sf_dir).filter(F.col("adv_total_reports") > 0)
     prof = m.select(F.col("drug_name").alias("profile_id"), "drug_name",
                     age_group(F.col("adv_avg_age")).alias("age_group"),
                     risk_label(F.lit(100.0) * F.col("adv_serious_reports") / F.col("adv_total_reports")).alias("risk_label"))
-    return digest_context(prof, silver_articles_df(spark, sf_dir))
+    return digest_context(prof, _clean(spark, sf_dir, "articles"))

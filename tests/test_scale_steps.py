@@ -46,6 +46,17 @@ def test_saved_tables_are_cleaned_once(spark, monkeypatch):
     assert seen == [False] * 6
 
 
+def test_master_and_digest_read_the_clean_tables_written_once(spark, monkeypatch):
+    from pvspark.operators import marts, retrieve
+    from pvspark.plans import models
+    monkeypatch.setattr(models, "_STORED", {})
+    built = _spy(monkeypatch, marts, "build_master", lambda reports, *_: [reports])
+    asked = _spy(monkeypatch, retrieve, "digest_context", lambda *frames: frames)
+    assert models.q_digest_context(spark, SF_TINY).count() > 0
+    assert built == [False] and asked == [False, False]
+    assert not _from_source(models._clean(spark, SF_TINY, "reports"))      # what the risk report is given
+
+
 def test_vectors_hold_documents_without_words(spark):
     from pvspark.operators import index
     docs = spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma"), (3, " .. "), (4, None)], "doc_id long, text string")
