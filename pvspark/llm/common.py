@@ -19,15 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of the batches that go to Python tasks: whole texts are long, and a batch is in memory several times.
-ARROW_ROWS = 500
+#: Rows and bytes of the batches that go to Python tasks: whole texts are long, and a batch is in memory several times.
+ARROW_ROWS, ARROW_BYTES = 500, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Spark send at most ARROW_ROWS rows a batch to Python in this session (it counts rows, not bytes)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Let Spark send at most ARROW_ROWS rows and, unless a single row has more, ARROW_BYTES a batch to Python in this session."""
+    for what, most in (("Records", ARROW_ROWS), ("Bytes", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.max{what}PerBatch"
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
 
 
 def ascii_lower(c: Column) -> Column:
