@@ -13,6 +13,8 @@ Only lines that can have a neighbour emit variants: after one edit, either the f
 words is the same at the same length class, so lines whose two halves are shared by no other line are done,
 and the others leave out only words of the half that differs.
 
+Texts are split twice: for the lines, and for their places, which also give each row's number of lines.
+
 A line of n words costs about n times ``BLOCK / 2`` small steps: the keys of its variants are running hashes.
 
 Skew: all minima combine map-side, and joins back to the rows are on keys with one row each, so a line that a
@@ -47,26 +49,33 @@ def _plain(line: Column) -> Column:
     return F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
 
 
-def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k, size (hash and bytes of the words), place (doc, did, line), words (joined by single spaces): one row per
-    line that isn't blank."""
+def _split(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, did, line, words (joined by single spaces): one row per line, blank ones too (a filter here would be pushed down to
+    the lines, whose words would be made twice; and a line is lower-cased faster than a text with any other letter than ASCII)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = (docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
-                         F.xxhash64(text).alias("did"), F.posexplode(F.split(F.lower(text), "\n")).alias("line", "t"))
-             .select(F.struct("doc", "did", "line").alias("place"), _plain(F.col("t")).alias("words")))
-    return (lines.filter("words != ''")
-            .select(F.xxhash64("words").alias("k"), F.octet_length("words").alias("size"), "place", "words"))
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("did"),
+                        F.posexplode(F.split(text, "\n")).alias("line", "t"))
+            .select("doc_id", "did", "line", _plain(F.lower("t")).alias("words")))
+
+
+def _place() -> Column:
+    return F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "did", "line").alias("place")
+
+
+def _key() -> list[Column]:
+    """k, size: hash and bytes of the words."""
+    return [F.xxhash64("words").alias("k"), F.octet_length("words").alias("size")]
 
 
 def _halves(n: Column, words: Column) -> Column:
-    """Keys of both halves, as a line of its length and as one of a word less: (hash, side)."""
-    def pair(m):
-        h = F.floor(m / 2).cast("int")
-        return [F.struct(F.xxhash64(F.lit("head"), m, F.call_function("substring_index", words, F.lit(" "), h)).alias("half"),
-                         F.lit(True).alias("head")),
-                F.struct(F.xxhash64(F.lit("tail"), m, F.call_function("substring_index", words, F.lit(" "), h - m)).alias("half"),
-                         F.lit(False).alias("head"))]
-    return F.array(*pair(n), *pair(n - 1))
+    """Keys of both halves, as a line of its length and as one of a word less: (hash, side). The halves of the two lengths differ
+    in one of the sides only, so three pieces are cut out."""
+    a, even = F.floor(n / 2).cast("int"), n % 2 == 0
+    cut = lambda k: F.call_function("substring_index", words, F.lit(" "), k)
+    head, tail, third = cut(a), cut(-a), cut(F.when(even, a - 1).otherwise(-a - 1))
+    key = lambda side, m, part: F.struct(F.xxhash64(F.lit(side), m, part).alias("half"), F.lit(side == "head").alias("head"))
+    return F.array(key("head", n, head), key("tail", n, F.when(even, tail).otherwise(third)),
+                   key("head", n - 1, F.when(even, third).otherwise(head)), key("tail", n - 1, tail))
 
 
 def _let(value: Column, body) -> Column:
@@ -124,10 +133,9 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def _near(lines: DataFrame) -> DataFrame:
     """k, size, partner (place of the earliest alike line, earlier than the line's own first place), verified."""
-    spaces = F.col("size") - F.octet_length(F.replace("words", F.lit(" "), F.lit("")))
-    long = lines.withColumn("n", spaces + 1).filter(F.col("n") >= MIN_WORDS)
-    halves = (long.select("k", "size", F.explode(_halves(F.col("n"), F.col("words"))).alias("x"))
-              .select("k", "size", "x.half", "x.head"))
+    # counted and shared by the same keys, which are made once
+    halves = (materialise(lines.filter(F.col("n") >= MIN_WORDS).select("k", "size", _halves(F.col("n"), F.col("words")).alias("x")), "half-keys")
+              .select("k", "size", F.explode("x").alias("x")).select("k", "size", "x.half", "x.head"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("half")
     able = (halves.join(shared, "half").groupBy("k", "size")
             .agg(F.max("head").alias("head"), F.max(~F.col("head")).alias("tail")))
@@ -139,7 +147,7 @@ def _near(lines: DataFrame) -> DataFrame:
         F.when(F.col("tail"), F.sequence(F.lit(1), F.floor(n / 2).cast("int") + 1)).otherwise(F.array().cast("array<int>"))))
     keys = F.concat(F.array(F.struct(F.lit(0).alias("i"), F.xxhash64(n, _sequence_key(F.col("ws"))).alias("v"))),
                     _variants(F.col("ws"), n, drop))
-    variants = materialise(lines.join(able, ["k", "size"]).withColumn("ws", F.split("words", " ")).withColumn("n", F.size("ws"))
+    variants = materialise(lines.join(able, ["k", "size"]).withColumn("ws", F.split("words", " "))
                            .select("k", "size", "first", F.explode(keys).alias("x"))
                            .select("k", "size", "first", "x.i", "x.v"), "line-variants")
     ref = F.struct(F.col("first"), F.col("k"), F.col("size"))
@@ -162,19 +170,23 @@ def _near(lines: DataFrame) -> DataFrame:
             .select(F.col("xk").alias("k"), F.col("xs").alias("size"), "partner"))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, did, line, near (alike, else equal), earlier (place of the line that stays): one row per line that goes."""
+def _repeated(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The result of ``repeated_lines``; and doc_id, did, line, k, size of all lines (size 0: blank)."""
     spark = docs.sparkSession
+    given = _split(docs, id_col, text_col)
+    spaces = F.col("size") - F.octet_length(F.replace("words", F.lit(" "), F.lit("")))
     lines, name = bucketed(
-        _places(docs, id_col, text_col).groupBy("k", "size")
-        .agg(F.min("place").alias("first"), F.first("words").alias("words"), F.count(F.lit(1)).alias("c")),
+        given.select(*_key(), _place(), "words").groupBy("k", "size")
+        .agg(F.min("place").alias("first"), F.first("words").alias("words"), F.count(F.lit(1)).alias("c"))
+        .filter("words != ''").withColumn("n", spaces + 1),
         ["k", "size"], "lines")
     near = materialise(_near(lines), "near-lines")
     known = lines.select("k", "size", "first", "c").join(near, ["k", "size"], "left")
     total = lines.agg(F.sum("c")).first()[0] or 0
     hot = F.broadcast(known.filter(F.col("c") * HOT > total).select("k", "size", F.struct("first", "partner").alias("hot")))
+    numbers = materialise(given.select("doc_id", "did", "line", *_key()), "line-numbers")
     # places of hot lines know their line already: they go on with scattered keys, which no line has to meet
-    places = (_places(docs, id_col, text_col).select("k", "size", "place").join(hot, ["k", "size"], "left")
+    places = (numbers.filter("size > 0").select("k", "size", _place()).join(hot, ["k", "size"], "left")
               .withColumn("k", F.when(F.col("hot").isNull(), F.col("k")).otherwise(F.xxhash64("place"))))
     gone = (places.join(known.select("k", "size", F.struct("first", "partner").alias("line")), ["k", "size"], "left")
             .select("place", F.coalesce("hot", "line").alias("line")).select("place", "line.first", "line.partner")
@@ -183,7 +195,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.when(F.col("place") == F.col("first"), F.col("partner")).otherwise(F.col("first")).alias("earlier")))
     gone = materialise(gone, "repeated-lines")
     drop_bucketed(spark, name)
-    return gone
+    return gone, numbers
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, did, line, near (alike, else equal), earlier (place of the line that stays): one row per line that goes."""
+    return _repeated(docs, id_col, text_col)[0]
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,16 +217,15 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines (not blank), n_equal and n_alike (lines that go), dropped_lines (their numbers, from 0)."""
-    gone = (repeated_lines(docs, id_col, text_col).distinct().groupBy("doc", "did")
+    gone, numbers = _repeated(docs, id_col, text_col)
+    gone = (gone.distinct().groupBy("doc", "did")
             .agg(F.count_if(~F.col("near")).alias("n_equal"), F.count_if("near").alias("n_alike"),
                  F.array_sort(F.collect_list("line")).alias("gone")))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # one match a line that isn't blank: from its first other character to its end
-    n_lines = F.regexp_count(text, F.lit(r"[^ \t\x0B\f\r\n][^\n]*+"))
     zero = F.lit(0).cast("bigint")
-    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
-                        F.xxhash64(text).alias("did"), n_lines.cast("bigint").alias("n_lines"))
+    # rows that repeat id and text have the same lines, and each has a first one
+    rows = numbers.groupBy("doc_id", "did").agg(F.count_if(F.col("size") > 0).alias("lines"), F.count_if(F.col("line") == 0).alias("rows"))
+    return (rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "did", F.expr("lines div rows").alias("n_lines"),
+                        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))))
             .join(gone, ["doc", "did"], "left")
             .select("doc_id", "n_lines", F.coalesce("n_equal", zero).alias("n_equal"),
                     F.coalesce("n_alike", zero).alias("n_alike"),
