@@ -79,6 +79,7 @@ def tag_first(text, terms: Sequence[str] | Column) -> Column:
 
 
 GRAM = 4            # characters of a key of the dictionary join; shorter terms are their own key
+LONG = 6            # characters of the key of a term that has as many: far fewer terms share it
 PIECE = 256         # characters of a text that are cut into grams at once (cutting is linear in the text then)
 BITS = 63           # used bits of a filter word
 KEY_BITS = 16       # filter bits for a key
@@ -118,31 +119,37 @@ def match_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: st
 
     Each term is keyed by its rarest n-gram in the dictionary. Texts are cut into grams of the lengths that keys have, and a
     filter of the keys' own grams is tested before a gram leaves its row, so only grams that are (very likely) keys
-    are shuffled, as hashes of their text. An equi-join brings candidate terms together, and ``contains`` decides where
+    are shuffled, as hashes, with the hash of their text. An equi-join brings candidate terms together, and ``contains`` decides where
     the text is. A frequent gram is split by Spark's skew-join handling; nothing of the texts is broadcast or collected.
     """
     low = F.lower(F.coalesce(text, F.lit("")))
+    rows = df.withColumns({"__hay": low, "__h": F.xxhash64(low)})
+    found = _candidates(rows, dictionary, col).groupBy("__h").agg(F.collect_set("t").alias("__c"))
+    hit = F.array_sort(F.filter("__c", lambda c: F.contains("__hay", F.lower(c))))
+    joined = rows.join(found, "__h", "left").withColumn(out, hit)
+    return joined.withColumn(out, F.when(F.size(out) > 0, F.col(out))).drop("__h", "__hay", "__c")
+
+
+def _candidates(rows: DataFrame, dictionary: DataFrame, col: str) -> DataFrame:
+    """(__h, t): the terms that a text (``__hay``, its hash ``__h``) may contain; none that it contains is left out."""
     terms = (dictionary.select(F.col(col).alias("t")).filter("t is not null and t != ''").distinct()
              .withColumn("l", F.lower("t")))
-    grams = terms.select("t", "l", F.explode(F.when(F.length("l") < GRAM, F.array("l")).otherwise(_grams(F.col("l"), GRAM))).alias("g"))
+    own = F.when(F.length("l") < GRAM, F.array("l")).when(F.length("l") < LONG, _grams(F.col("l"), GRAM)).otherwise(_grams(F.col("l"), LONG))
+    grams = terms.select("t", F.explode(own).alias("g"))
     rarity = grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    keyed = grams.join(rarity, "g").groupBy("t", "l").agg(F.min(F.struct("n", "g")).alias("k")).select("t", "l", F.col("k.g").alias("g"))
+    keyed = grams.join(rarity, "g").groupBy("t").agg(F.min(F.struct("n", "g")).alias("k")).select("t", F.col("k.g").alias("g"))
     keys = keyed.select("g").distinct()
     bits, words = _gram_filter(keys)
     lengths = keys.agg(F.coalesce(F.collect_set(F.length("g")), F.array().cast("array<int>"))).scalar()
-    rows = df.withColumns({"__hay": low, "__h": F.xxhash64(low)})
     pieces = (rows.select("__h", "__hay", F.explode(F.sequence(F.lit(1), F.greatest(F.length("__hay"), F.lit(1)), F.lit(PIECE))).alias("p"))
-              .select("__h", F.substr("__hay", F.col("p"), F.lit(PIECE + GRAM - 1)).alias("piece")))
+              .select("__h", F.substr("__hay", F.col("p"), F.lit(PIECE + LONG - 1)).alias("piece")))
     cut = (pieces.select("__h", "piece", F.explode(lengths).alias("n"))
            .select("__h", "piece", "n", F.explode(F.sequence(F.lit(1), F.least(
                F.lit(PIECE), F.greatest(F.length("piece") - F.col("n") + 1, F.lit(1))))).alias("i"))
            .filter(F.col("i") + F.col("n") - 1 <= F.length("piece")).select("__h", F.substr("piece", F.col("i"), F.col("n")).alias("g")))
     word, bit = _bit(F.col("g"), words)
     known = F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
-    found = (cut.filter(known).distinct().join(keyed, "g").groupBy("__h").agg(F.collect_set(F.struct("t", "l")).alias("__c")))
-    hit = F.array_sort(F.transform(F.filter("__c", lambda c: F.contains("__hay", c["l"])), lambda c: c["t"]))
-    joined = rows.join(found, "__h", "left").withColumn(out, hit)
-    return joined.withColumn(out, F.when(F.size(out) > 0, F.col(out))).drop("__h", "__hay", "__c")
+    return cut.filter(known).select("__h", F.hash("g").alias("k")).distinct().join(keyed.select("t", F.hash("g").alias("k")), "k").select("__h", "t")
 
 
 def tag_dictionary(df: DataFrame, text: Column, dictionary: DataFrame, col: str = "term", out: str = "drug_mentions") -> DataFrame:

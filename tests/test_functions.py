@@ -113,3 +113,16 @@ def test_match_dictionary_equals_contains(spark, monkeypatch):
         assert got == want
     assert all(r.terms is None for r in t.match_dictionary(df, F.col("x"), words.limit(0)).collect())
     assert t.match_dictionary(df.limit(0), F.col("x"), words).collect() == []
+
+
+def test_texts_meet_few_terms_of_a_large_dictionary(spark):
+    """Terms of the same pieces: what a text is handed must not grow with the dictionary."""
+    from itertools import product
+
+    from pvspark.functions import text as t
+    words = [f"{a}ring{b}" for a, b in product("abcdefghijklmnopqrstuvwxyz", repeat=2)] + ["kring", "ri", "Zring"]
+    texts = [f"{'z' * k}{words[k].upper()} and {words[-7 - k]}" for k in range(0, 600, 7)]
+    rows = spark.createDataFrame([(x.lower(), i) for i, x in enumerate(texts)], "__hay string, __h long")
+    pairs = {(r["__h"], r.t) for r in t._candidates(rows, spark.createDataFrame([(w,) for w in words], "term string"), "term").collect()}
+    real = {(i, w) for i, x in enumerate(texts) for w in words if w.lower() in x.lower()}
+    assert real <= pairs and len(pairs) <= 2 * len(real)
