@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.session import remove_path, scratch_path
+from pvspark.session import remove_path, scratch_path, shuffles_dropped
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -53,19 +52,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Inside, the shuffle files of a query go when it ends: for tables that are written and read again. (Spark would keep them
-    until the driver collects its garbage; a query that is run again makes them anew.)"""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 class Scratch:
     """Scratch tables of one operator run: ``write`` makes one that ``clear`` removes, ``keep`` one that stays for the
     caller's result."""

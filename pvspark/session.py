@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the file system that holds it (any Hadoop store)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, the shuffle files of a query go when it ends: for tables that are written and read again. (Spark would keep them
+    until the driver collects its garbage; a query that is run again makes them anew.)"""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
