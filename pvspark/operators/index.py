@@ -135,9 +135,11 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_c
                                     f"docs array<{kind}>, keys array<string>"), folder, "lists")
     heads, lists = lists.filter("term is null"), lists.filter("term is not null")
     n = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    vocabulary = _stored(lists.groupBy("term").agg(F.sum("n").alias("df"))
-                         .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))), folder, "vocabulary")
-    known = lists.select(F.col("seg").alias("of"), "code", "term").join(vocabulary.select("term", "df"), "term")
+    # a word's segments come along with its documents' number, to be told of it
+    stored = _stored(lists.groupBy("term").agg(F.sum("n").alias("df"), F.collect_list(F.struct("seg", "code")).alias("places"))
+                     .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))), folder, "vocabulary")
+    vocabulary = stored.select("term", "df", "idf")
+    known = stored.select("term", "df", F.explode("places").alias("p")).select(F.col("p.seg").alias("of"), F.col("p.code").alias("code"), "term", "df")
     vectors = _stored(heads.select("seg", "lengths", "at", "tf", "docs", "keys", n.alias("total")).groupBy("seg").cogroup(known.groupBy("of")).applyInArrow(
         _segment_vectors, f"seg long, n int, doc {kind}, key string, total bigint, norm double, vec array<struct<term string, df bigint, tf int>>"),
                       folder, "vectors")

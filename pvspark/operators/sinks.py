@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pvspark.session import remove_path
+from pvspark.session import remove_path, shuffles_dropped
 from pvspark.sources.tables import batch_path, read_ndjson
 
 # --- fixed values: published (warehouse) schemas -------------------------------------------
@@ -115,7 +115,8 @@ def write_batch(df: DataFrame, root: str, source: str, ds: str) -> str:
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """``df`` written once and read back: rows that several sinks publish are computed once."""
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

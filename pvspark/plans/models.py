@@ -102,9 +102,13 @@ def _clean(spark, sf_dir, name):
 
 
 def _master(spark, sf_dir):
-    # the facts are cleaned once for the mart and the reactions of the report; the mart reads the posts without their bodies
-    return _stored(spark, sf_dir, "master", lambda: marts.build_master(
-        _clean(spark, sf_dir, "reports"), silver_posts_df(spark, sf_dir), silver_articles_df(spark, sf_dir), silver_labels_df(spark, sf_dir)))
+    # the facts are cleaned once for the mart and the reactions of the report; the mart reads the posts without their bodies, and the
+    # clean articles if the query has written them
+    def make():
+        written = (spark.sparkContext.applicationId, sf_dir, "clean-articles") in _STORED
+        articles = _clean(spark, sf_dir, "articles") if written else silver_articles_df(spark, sf_dir)
+        return marts.build_master(_clean(spark, sf_dir, "reports"), silver_posts_df(spark, sf_dir), articles, silver_labels_df(spark, sf_dir))
+    return _stored(spark, sf_dir, "master", make)
 
 
 def _fitted(spark, sf_dir, targets=tuple(model.TARGETS)):
@@ -175,10 +179,10 @@ def q_importance_summary(spark, sf_dir):
 
 def _report(spark, sf_dir):
     """The report and the written tables it is made from."""
+    silver = {n: _clean(spark, sf_dir, n) for n in _CLEAN}
     have = _fitted(spark, sf_dir)
     req = requests_df(spark, sf_dir).withColumn(
         "request_id", F.concat_ws("|", "drug_name", F.col("age").cast("string"), F.col("weight").cast("string")))
-    silver = {n: _clean(spark, sf_dir, n) for n in _CLEAN}
     rep, _, _ = score.risk_report(req, _master(spark, sf_dir), silver["posts"], silver["articles"], silver["labels"], silver["reports"],
                                   {t: have[t][0] for t in model.TARGETS})
     return rep, req
@@ -224,8 +228,9 @@ def q_digest_context(spark, sf_dir):
     rate) the retrieved research context text (TF-IDF retrieval filtered to the drug)."""
     from pvspark.functions.rules import age_group, risk_label
     from pvspark.operators.retrieve import digest_context
+    articles = _clean(spark, sf_dir, "articles")       # before the master, which reads them too
     m = _master(spark, sf_dir).filter(F.col("adv_total_reports") > 0)
     prof = m.select(F.col("drug_name").alias("profile_id"), "drug_name",
                     age_group(F.col("adv_avg_age")).alias("age_group"),
                     risk_label(F.lit(100.0) * F.col("adv_serious_reports") / F.col("adv_total_reports")).alias("risk_label"))
-    return digest_context(prof, _clean(spark, sf_dir, "articles"))
+    return digest_context(prof, articles)
